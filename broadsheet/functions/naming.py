@@ -17,8 +17,8 @@ def parse_filename(name: Column) -> Column:
 
 
 def pub_date(year: Column, month: Column, day: Column) -> Column:
-    """Midnight UTC of the publication day; NULL if it is not a date."""
-    return F.try_to_timestamp(F.concat_ws("-", year, month, day))
+    """Midnight UTC of the publication day; NULL if a part is missing or it is not a date."""
+    return F.try_to_timestamp(F.concat(year, F.lit("-"), month, F.lit("-"), day))
 
 
 def digi_date(stamp: Column) -> Column:

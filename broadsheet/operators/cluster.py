@@ -34,9 +34,10 @@ def cluster_hits(
     weigher = IDF(inputCol="tf", outputCol="features").fit(counted)
     vectors = weigher.transform(counted).select(key, "features")
     model = KMeans(k=k, seed=seed, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(vectors)
+    vocabulary_terms = counter.vocabulary
     labels = []
     for i, centre in enumerate(model.clusterCenters()):
-        best = sorted(range(len(centre)), key=lambda t: (-centre[t], counter.vocabulary[t]))[:label_terms]
-        labels.append((i, ", ".join(counter.vocabulary[t] for t in best if centre[t] > 0)))
+        best = sorted(range(len(centre)), key=lambda t: (-centre[t], vocabulary_terms[t]))[:label_terms]
+        labels.append((i, ", ".join(vocabulary_terms[t] for t in best if centre[t] > 0)))
     names = hits.sparkSession.createDataFrame(labels, "cluster int, label string")
     return model.transform(vectors).select(key, "cluster").join(names, "cluster").select(key, "cluster", "label")
