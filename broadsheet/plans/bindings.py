@@ -198,7 +198,7 @@ def marc_records(part: DataFrame) -> DataFrame:
     year = (F.lit(1800) + size).cast("string")
     serial = F.when(size < 20, "n").when(size < 40, "p").otherwise(" ")
     fixed = F.concat(
-        F.lit("800101s"), year, F.lit("    xx        "), serial, F.lit("             "),
+        F.lit("800101s"), year, F.lit("    xx    "), serial, F.lit("             "),
         F.concat(F.lit("l"), F.lpad(brand, 2, "0")), F.lit("  "),
     )
     physical = F.when(size % 5 == 0, F.concat(_letter(size, "sdkvgm"), _letter(size, "cdfxs"))).when(size % 5 == 1, "cr").otherwise("zz")

@@ -25,7 +25,7 @@ _TITLE = "concat_ws(' ', upper(colour[1]) || colour[2:], upper(thing[1]) || thin
 
 
 def _one_row(t: Tables, *columns):
-    return bind.marc_records(t.part).select(marc.first(marc.values("001")).alias("id"), *columns)
+    return bind.marc_records(t.part).select(cat.first_value("001").alias("id"), *columns)
 
 
 def _joined(column, name: str):
@@ -99,7 +99,7 @@ def catalogue_links(t: Tables):
      '245-01', reverse(p_name)) AS text FROM p""",
 )
 def catalogue_text(t: Tables):
-    return _one_row(t, marc.all_text(100, 900).alias("text"))
+    return _one_row(t, F.expr(marc.all_text(100, 900)).alias("text"))
 
 
 @query(
@@ -133,7 +133,7 @@ def catalogue_formats(t: Tables):
 )
 def catalogue_format_labels(t: Tables):
     promo = bind.marc_records(t.part.where(F.col("p_type") == "PROMO"))
-    return promo.select(marc.first(marc.values("001")).alias("id"), cat.format_label(cat.detailed_format()).alias("label"))
+    return promo.select(cat.first_value("001").alias("id"), cat.format_label(cat.detailed_format()).alias("label"))
 
 
 def _languages(t: Tables):
@@ -177,7 +177,7 @@ def catalogue_letter_facet(t: Tables):
     SELECT id, number, coalesce((SELECT label FROM {_CLASSES} WHERE starts_with(number, key) ORDER BY length(key) DESC LIMIT 1), number) AS class_label FROM n""",
 )
 def call_number_classes(t: Tables):
-    numbers = _one_row(t, marc.first(marc.values("050a")).alias("number"))
+    numbers = _one_row(t, cat.first_value("050a").alias("number"))
     return cat.class_label(numbers, "number", _classes(t))
 
 
@@ -193,7 +193,7 @@ def catalogue_dewey(t: Tables):
     records = bind.marc_records(t.part)
     classes = t.nation.select((F.col("n_nationkey") * 100).cast("string").alias("key"), F.col("n_name").alias("label"))
     facet = cat.dewey_facet(records, classes).select("id", _joined(F.col("dewey_facet"), "dewey_facet"))
-    return facet.join(_one_row(t, _joined(marc.dewey_text(), "dewey_text")), "id")
+    return facet.join(_one_row(t, _joined(F.expr(marc.dewey_text()), "dewey_text")), "id")
 
 
 _BK = {"a": ("Horn", "Piano", None, "Violin", "Flute"), "b": ("Trumpet", "Organ", None, "Viola", "Oboe"), "c": ("Cornet", "Harpsichord", None, "Violoncello", "Clarinet"), "u": ("Brass, Unknown", "Keyboard, Unknown", None, "Bowed Strings, Unknown", "Woodwinds, Unknown")}
