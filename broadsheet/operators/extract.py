@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from broadsheet.functions.naming import prefixed_id
+from broadsheet.functions.shape import computed
 from broadsheet.functions.text import clean_label, collapse_ws, text_length
 from broadsheet.schemas import ARTICLE_COLUMNS, ISSUE_DDL
 
@@ -39,7 +40,7 @@ def parse_issues(issues: DataFrame) -> DataFrame:
     Pages count through the issue and articles count within their page, both from 1. A page
     without articles still counts.
     """
-    parsed = issues.select("domid", _parse(F.col("xml")).alias("r"))
+    parsed = computed(issues, ["domid"], [_parse(F.col("xml")).alias("r")])
     per_page = F.transform(
         "r.page",
         lambda page, p: F.transform(
@@ -56,24 +57,23 @@ def parse_issues(issues: DataFrame) -> DataFrame:
         .when(F.coalesce(F.size("articles"), F.lit(0)) <= 0, EMPTY)
         .otherwise(PARSED)
     )
-    return (
-        parsed.select("domid", "r", articles.alias("articles"))
-        .select(
-            "domid",
-            status.alias("status"),
-            F.col("r.id").alias("issue_id"),
-            F.col("r.dw").alias("issue_dw"),
-            F.col("r.newspaperID").alias("issue_newspaper"),
-            "articles",
-        )
+    return computed(parsed, ["domid", "r"], [articles.alias("articles")]).select(
+        "domid",
+        status.alias("status"),
+        F.col("r.id").alias("issue_id"),
+        F.col("r.dw").alias("issue_dw"),
+        F.col("r.newspaperID").alias("issue_newspaper"),
+        "articles",
     )
 
 
 def explode_articles(parsed: DataFrame, id_prefix: str) -> DataFrame:
     """One row per article of the issues that parsed, without the manifest's attributes."""
-    rows = parsed.where(F.col("status") == PARSED).select(
-        "domid", "issue_id", "issue_dw", "issue_newspaper", F.inline("articles")
-    )
+    # An issue that failed or is empty has no articles array to expand, so only the generated
+    # rows need a test.
+    rows = parsed.select(
+        "domid", "issue_id", "issue_dw", "issue_newspaper", F.inline_outer("articles")
+    ).where(F.col("page_i").isNotNull())
     local_id = clean_label(F.col("a.id"))
     content = collapse_ws(_plain(F.array_join(F.coalesce("a.text", F.array().cast("array<string>")), "")))
     return rows.select(

@@ -6,6 +6,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
+from broadsheet.functions.shape import let
 from broadsheet.functions.text import html_escape
 from broadsheet.operators.analysis import tokenize
 from broadsheet.operators.filters import check_terms
@@ -46,19 +47,21 @@ def boundary_fragments(text: Column, size: int = FRAGMENT_SIZE, max_scan: int =
     characters after its end."""
     last_before = rf"(?s)^(?:.*[{BOUNDARY_CHARS}])?"
     first_after = rf"(?s)[{BOUNDARY_CHARS}].*$"
-    starts = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1, F.lit(size)))
+    has_boundary = f"[{BOUNDARY_CHARS}]"
+    # Cut once, then look into the neighbouring windows: linear in the text's length.
+    windows = F.regexp_extract_all(text, F.lit(rf"(?s)(.{{1,{size}}})"), F.lit(1))
 
-    def window(start: Column) -> Column:
-        back = F.least(start, F.lit(max_scan))
-        before = F.substring(text, start - back + 1, back)
-        has_before = before.rlike(f"[{BOUNDARY_CHARS}]")
-        lead = F.when(has_before, F.regexp_replace(before, last_before, "")).otherwise("")
-        after = F.substring(text, start + size + 1, F.lit(max_scan))
-        has_after = after.rlike(f"[{BOUNDARY_CHARS}]")
-        tail = F.when(has_after, F.regexp_replace(after, first_after, "")).otherwise("")
-        return F.concat(lead, F.substring(text, start + 1, F.lit(size)), tail)
+    def widened(cut: Column) -> Column:
+        def window(body: Column, i: Column) -> Column:
+            before = F.coalesce(F.right(F.get(cut, i - 1), F.lit(max_scan)), F.lit(""))
+            after = F.coalesce(F.left(F.get(cut, i + 1), F.lit(max_scan)), F.lit(""))
+            lead = F.when(before.rlike(has_boundary), F.regexp_replace(before, last_before, "")).otherwise("")
+            tail = F.when(after.rlike(has_boundary), F.regexp_replace(after, first_after, "")).otherwise("")
+            return F.concat(lead, body, tail)
 
-    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), window)
+        return F.transform(cut, window)
+
+    return let(windows, widened)
 
 
 def _tags(terms: Sequence[str], pre: str, post: str, coloured: bool) -> Callable[[Column, Column], Column]:
@@ -115,4 +118,4 @@ def highlight(
     best = F.slice(F.array_sort(matching), 1, snippets)
     shown = F.transform(best, lambda s: mark(s["piece"], terms, pre, post, coloured))
     fallback = html_escape(F.substring(text, 1, alternate))
-    return F.when(F.size(shown) > 0, F.array_join(shown, joiner)).otherwise(fallback)
+    return let(shown, lambda s: F.when(F.size(s) > 0, F.array_join(s, joiner)).otherwise(fallback))

@@ -13,6 +13,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from broadsheet.functions.shape import computed, let
 from broadsheet.operators.analysis import PLAIN, Analyser
 from broadsheet.operators.filters import check_terms
 
@@ -49,9 +50,10 @@ def _term_counts(words: Column, terms: Sequence[str]) -> Column:
 
     One hashed pass keeps the query's words; only those are compared per term.
     """
-    hits = F.filter(words, lambda w: w.isin(*terms))
-    return F.transform(
-        F.array(*[F.lit(t) for t in terms]), lambda q: F.size(F.filter(hits, lambda w: w == q)).cast("double")
+    asked = F.array(*[F.lit(t) for t in terms])
+    return let(
+        F.filter(words, lambda w: w.isin(*terms)),
+        lambda hits: F.transform(asked, lambda q: F.size(F.filter(hits, lambda w: w == q)).cast("double")),
     )
 
 
@@ -99,12 +101,15 @@ def search_fields(
     fields = list(dict.fromkeys([*weights, *phrase_weights]))
 
     def counted(source: DataFrame, extra: Sequence[Column]) -> DataFrame:
-        words = source.select(*extra, *[analyser.words(F.col(f)).alias(f"w_{f}") for f in fields])
-        return words.select(
-            *[c for c in words.columns if not c.startswith("w_")],
-            *[F.size(F.col(f"w_{f}")).cast("double").alias(f"dl_{f}") for f in fields],
-            *[_term_counts(F.col(f"w_{f}"), terms).alias(f"tf_{f}") for f in fields],
-            *[F.col(f"w_{f}") for f in phrase_weights],
+        words = computed(source, extra, [analyser.words(F.col(f)).alias(f"w_{f}") for f in fields])
+        return computed(
+            words,
+            [c for c in words.columns if not c.startswith("w_")],
+            [
+                *[F.size(F.col(f"w_{f}")).cast("double").alias(f"dl_{f}") for f in fields],
+                *[_term_counts(F.col(f"w_{f}"), terms).alias(f"tf_{f}") for f in fields],
+                *[F.col(f"w_{f}") for f in phrase_weights],
+            ],
         )
 
     # One row of statistics: per field the number of documents, mean length and, per term, the

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Mapping
+from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -16,6 +16,13 @@ MIN_DOC_FREQ = 5
 COUNT = 3
 
 
+def _field_words(df: DataFrame, keep: list[str], fields: Iterable[str], analyser: Analyser) -> DataFrame:
+    """(keep, field, words): one row per field that is present, tokenized once."""
+    items = [F.struct(F.lit(f).alias("field"), analyser.words(F.col(f)).alias("words")) for f in fields]
+    rows = df.select(*keep, F.inline_outer(F.array(*items)))
+    return rows.where(F.col("words").isNotNull())
+
+
 def more_like_this(
     df: DataFrame,
     seeds: DataFrame,
@@ -47,13 +54,9 @@ def more_like_this(
         .groupBy("field", "term")
         .agg(F.count(F.lit(1)).alias("doc_freq"))
     )
-    lengths = [
-        F.struct(F.lit(f).alias("field"), F.size(analyser.words(F.col(f))).alias("dl"))
-        for f in fields
-    ]
     per_field = (
-        df.select(F.inline(F.array(*lengths)))
-        .where(F.col("dl") >= 0)
+        _field_words(df, [], weights, analyser)
+        .select("field", F.size("words").alias("dl"))
         .groupBy("field")
         .agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl"))
     )
@@ -69,20 +72,21 @@ def more_like_this(
         .select("seed", "field", "term", "doc_freq", "n", "avg_dl")
     )
 
-    tokens = exploded_terms(df.select(key, *fields), key, fields, analyser)
+    # The length travels with the tokens, so no second table has to be joined on the key.
+    tokens = _field_words(df, [key], weights, analyser).select(
+        key, "field", F.size("words").alias("dl"), F.explode_outer("words").alias("term")
+    )
     doc_tf = (
         tokens.join(picked.select("field", "term").distinct(), ["field", "term"], "left_semi")
-        .groupBy(key, "field", "term")
+        .groupBy(key, "field", "dl", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    doc_len = df.select(F.col(key), F.inline(F.array(*lengths))).where(F.col("dl") >= 0)
     weight = F.lit(0.0)
     for f, w in weights.items():
         weight = F.when(F.col("field") == f, float(w)).otherwise(weight)
     part = weight * bm25(F.col("tf"), F.col("dl"), F.col("n"), F.col("avg_dl"), F.col("doc_freq"))
     scores = (
-        doc_tf.join(doc_len, [key, "field"])
-        .join(picked, ["field", "term"])
+        doc_tf.join(picked, ["field", "term"])
         .where(F.col(key) != F.col("seed"))
         .groupBy("seed", key)
         .agg(F.round(F.sum(part), 6).alias("score"))

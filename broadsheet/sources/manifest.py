@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from broadsheet.functions.naming import digi_date, parse_filename, pub_date
+from broadsheet.functions.shape import computed
 from broadsheet.schemas import MANIFEST_COLUMNS, MANIFEST_SCHEMA
 
 OK = "OK"
@@ -35,7 +36,7 @@ def _ctrl_a_fields(line: Column) -> Column:
 
 def _typed(lines: DataFrame, fields: Column, well_formed: Column) -> DataFrame:
     name = parse_filename(F.col("m.originalname"))
-    parsed = lines.select(F.col("value").alias("line"), fields.alias("m"), well_formed.alias("well_formed"))
+    parsed = computed(lines, [F.col("value").alias("line")], [fields.alias("m"), well_formed.alias("well_formed")])
     row = parsed.select(
         "line",
         "well_formed",

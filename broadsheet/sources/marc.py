@@ -19,16 +19,11 @@ def assemble_marc(rows: DataFrame) -> DataFrame:
     i.e. those without an id, without a 001 field or with a tag that is not three characters,
     are left out. The exchange format limits a record to 99,999 bytes, which bounds the groups.
     """
-    checks = (
-        rows.where(F.col("record_id").isNotNull())
-        .groupBy("record_id")
-        .agg(F.count_if(F.col("tag") == "001").alias("ids"), F.count_if(F.length("tag") != 3).alias("bad"))
-    )
-    sound = checks.where((F.col("ids") > 0) & (F.col("bad") == 0)).select("record_id")
-    kept = rows.join(sound, "record_id", "left_semi")
+    # One shuffle by record; both groupings below and the check keep that placement.
+    placed = rows.where(F.col("record_id").isNotNull()).repartition("record_id")
     item = F.struct("field_no", "sub_no", "code", "value")
     fields = (
-        kept.groupBy("record_id", "leader", "field_no", "tag", "ind1", "ind2", "data")
+        placed.groupBy("record_id", "leader", "field_no", "tag", "ind1", "ind2", "data")
         .agg(F.array_sort(F.collect_list(F.when(F.col("code").isNotNull(), item))).alias("subs"))
         .select(
             "record_id",
@@ -45,7 +40,12 @@ def assemble_marc(rows: DataFrame) -> DataFrame:
     )
     return (
         fields.groupBy("record_id", "leader")
-        .agg(F.array_sort(F.collect_list("f")).alias("fs"))
+        .agg(
+            F.array_sort(F.collect_list("f")).alias("fs"),
+            F.count_if(F.col("f.tag") == "001").alias("ids"),
+            F.count_if(F.length("f.tag") != 3).alias("bad"),
+        )
+        .where((F.col("ids") > 0) & (F.col("bad") == 0))
         .select(
             "record_id",
             "leader",
