@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from broadsheet.session import spread
 
-# Tables with long texts: their scans are widened when they have fewer splits than cores.
-_WIDE = {"documents", "pages"}
+# Tables whose rows take long to work on (texts, and parts as catalogue records): their scans
+# are widened when they have fewer splits than cores.
+_WIDE = {"documents", "pages", "part"}
 
 
 class Tables:

@@ -24,8 +24,10 @@ def _balanced_quotes(line: Column) -> Column:
 
 
 def _csv_fields(line: Column) -> Column:
-    # A doubled quote inside a field is the same as an escaped one; empty fields are left alone.
-    escaped = F.regexp_replace(line, '(?<=[^,])""(?=[^,])', r'\\\\"')
+    # A doubled quote inside a field is the same as an escaped one. An empty field looks alike,
+    # but follows a comma and is followed by one.
+    doubled = '(?<=[^,])""(?!$)|(?<=,)""(?=[^,"])'
+    escaped = F.regexp_replace(line, doubled, r'\\"')
     return F.from_csv(escaped, MANIFEST_SCHEMA.toDDL(), {"mode": "PERMISSIVE", "escape": "\\"})
 
 
