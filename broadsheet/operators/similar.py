@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Mapping
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from broadsheet.functions.shape import let
 from broadsheet.operators.analysis import PLAIN, Analyser, exploded_terms, exploded_vocabulary
 from broadsheet.operators.search import bm25
 
@@ -14,18 +15,28 @@ MAX_QUERY_TERMS = 25
 MIN_TERM_FREQ = 2
 MIN_DOC_FREQ = 5
 COUNT = 3
+MAX_IDS = 1024
+
+# A term table with at most this many rows (some 20 MB) is sent to every task.
+BROADCAST_ROWS = 200_000
 
 
 def _field_words(df: DataFrame, keep: list[str], fields: Iterable[str], analyser: Analyser) -> DataFrame:
-    """(keep, field, words): one row per field that is present, tokenized once."""
-    items = [F.struct(F.lit(f).alias("field"), analyser.words(F.col(f)).alias("words")) for f in fields]
-    rows = df.select(*keep, F.inline_outer(F.array(*items)))
+    """(keep, field, dl, words): one row per field that is present, tokenized once."""
+
+    def item(f: str):
+        return let(
+            analyser.words(F.col(f)),
+            lambda w: F.struct(F.lit(f).alias("field"), F.size(w).alias("dl"), w.alias("words")),
+        )
+
+    rows = df.select(*keep, F.inline_outer(F.array(*[item(f) for f in fields])))
     return rows.where(F.col("words").isNotNull())
 
 
 def more_like_this(
     df: DataFrame,
-    seeds: DataFrame,
+    ids: Sequence,
     weights: Mapping[str, float],
     key: str = "id",
     count: int = COUNT,
@@ -34,13 +45,17 @@ def more_like_this(
     min_df: int = MIN_DOC_FREQ,
     analyser: Analyser = PLAIN,
 ) -> DataFrame:
-    """(seed, key, score, rank): the ``count`` best other articles for each seed row.
+    """(seed, key, score, rank): the ``count`` best other articles for each of ``ids``.
 
-    ``seeds`` are rows of ``df``, normally one page of hits. The collection is read only for the
-    seeds' own terms: their joins keep matching tokens before anything is grouped, and the
-    picked terms are at most ``max_terms`` per seed. Spark broadcasts the term tables while
-    their measured size allows and shuffles beyond that.
+    ``ids`` are normally one page of hits. The collection's tokens are joined with the ids' terms
+    before anything is grouped. The ids' terms are counted first, which reads those rows only:
+    if they are few they are broadcast, otherwise the join shuffles. The picked terms are at
+    most ``max_terms`` per id, so their table is always small. Each intermediate table is used
+    once, so nothing is recomputed.
     """
+    if len(ids) > MAX_IDS:
+        raise ValueError(f"at most {MAX_IDS} ids are allowed, got {len(ids)}")
+    seeds = df.where(F.col(key).isin(*ids))
     fields = list(weights)
     seed_tf = (
         exploded_terms(seeds.select(F.col(key).alias("seed"), *fields), "seed", fields, analyser)
@@ -48,20 +63,19 @@ def more_like_this(
         .agg(F.count(F.lit(1)).alias("seed_tf"))
         .where(F.col("seed_tf") >= min_tf)
     )
-    doc_freq = (
-        exploded_vocabulary(df, fields, analyser)
-        .join(seed_tf.select("field", "term").distinct(), ["field", "term"], "left_semi")
-        .groupBy("field", "term")
-        .agg(F.count(F.lit(1)).alias("doc_freq"))
-    )
+    if seed_tf.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        seed_tf = F.broadcast(seed_tf)
     per_field = (
         _field_words(df, [], weights, analyser)
-        .select("field", F.size("words").alias("dl"))
         .groupBy("field")
         .agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl"))
     )
     weighed = (
-        seed_tf.join(doc_freq.where(F.col("doc_freq") >= min_df), ["field", "term"])
+        exploded_vocabulary(df, fields, analyser)
+        .join(seed_tf, ["field", "term"])
+        .groupBy("seed", "field", "term", "seed_tf")
+        .agg(F.count(F.lit(1)).alias("doc_freq"))
+        .where(F.col("doc_freq") >= min_df)
         .join(per_field, "field")
         .withColumn("telling", F.col("seed_tf") * (1 + F.log((F.col("n") + 1) / (F.col("doc_freq") + 1))))
     )
@@ -74,22 +88,18 @@ def more_like_this(
 
     # The length travels with the tokens, so no second table has to be joined on the key.
     tokens = _field_words(df, [key], weights, analyser).select(
-        key, "field", F.size("words").alias("dl"), F.explode_outer("words").alias("term")
+        key, "field", "dl", F.explode_outer("words").alias("term")
     )
     doc_tf = (
-        tokens.join(picked.select("field", "term").distinct(), ["field", "term"], "left_semi")
-        .groupBy(key, "field", "dl", "term")
+        tokens.join(F.broadcast(picked), ["field", "term"])
+        .where(F.col(key) != F.col("seed"))
+        .groupBy("seed", key, "field", "dl", "term", "doc_freq", "n", "avg_dl")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     weight = F.lit(0.0)
     for f, w in weights.items():
         weight = F.when(F.col("field") == f, float(w)).otherwise(weight)
     part = weight * bm25(F.col("tf"), F.col("dl"), F.col("n"), F.col("avg_dl"), F.col("doc_freq"))
-    scores = (
-        doc_tf.join(picked, ["field", "term"])
-        .where(F.col(key) != F.col("seed"))
-        .groupBy("seed", key)
-        .agg(F.round(F.sum(part), 6).alias("score"))
-    )
+    scores = doc_tf.groupBy("seed", key).agg(F.round(F.sum(part), 6).alias("score"))
     ranking = Window.partitionBy("seed").orderBy(F.col("score").desc(), F.col(key).asc())
     return scores.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= count)

@@ -197,9 +197,8 @@ def hits_grouped(t: Tables):
 def more_like_this(t: Tables):
     articles = bind.articles(t.documents)
     hits = _shown(se.search_fields(articles, ["the", "of"], {"content": 1.0}))
-    top = se.page(hits, se.order_columns([("score", "desc")]), rows=10).select("id")
-    seeds = articles.join(top, "id", "left_semi")
-    return similar.more_like_this(articles, seeds, {"content": 1.0})
+    shown = se.page(hits, se.order_columns([("score", "desc")]), rows=10).select("id").collect()
+    return similar.more_like_this(articles, [r.id for r in shown], {"content": 1.0})
 
 
 @query(

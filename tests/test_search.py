@@ -127,11 +127,25 @@ def test_groups_with_a_null_group(spark):
 def test_more_like_this_excludes_self_and_ranks(spark):
     texts = ["apple apple pear", "apple pear pear", "apple apple", "kiwi kiwi", "plum plum", "plum plum plum"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
-    out = similar.more_like_this(df, df.where("id in (0, 4)"), {"content": 1.0}, min_df=1, count=2)
+    out = similar.more_like_this(df, [0, 4], {"content": 1.0}, min_df=1, count=2)
     got = {(r.seed, r["rank"]): r.id for r in out.collect()}
     assert got == {(0, 1): 2, (0, 2): 1, (4, 1): 5}
 
 
+def test_more_like_this_beyond_the_broadcast_check(spark, monkeypatch):
+    texts = ["apple apple pear", "apple pear pear", "apple apple", "kiwi kiwi"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
+
+    def rows():
+        return sorted(map(tuple, similar.more_like_this(df, [0], {"content": 1.0}, min_df=1).collect()))
+
+    small = rows()
+    monkeypatch.setattr(similar, "BROADCAST_ROWS", 0)
+    assert small and rows() == small
+    with pytest.raises(ValueError):
+        similar.more_like_this(df, list(range(1025)), {"content": 1.0})
+
+
 def test_curated(spark, docs):
     rules = spark.createDataFrame(
         [("tea", 5, 1, False), ("tea", 2, 2, False), ("tea", 1, 0, True), ("tea", 777, 3, False), ("milk", 6, 1, True)],
