@@ -11,6 +11,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from broadsheet.functions.shape import let
 from broadsheet.sources.lookup import MAX_INLINE_WORDS
 
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
@@ -221,14 +222,25 @@ def detect_language(
     return counted.withColumn("language", F.coalesce(found, F.lit(fallback))).drop("_tokens", "_best")
 
 
-def exploded_terms(df: DataFrame, key: str, fields: Sequence[str], analyser: Analyser = PLAIN) -> DataFrame:
-    """(key, field, pos, term): one row per analysed token of each field."""
+def exploded_terms(
+    df: DataFrame, key: str, fields: Sequence[str], analyser: Analyser = PLAIN, lengths: bool = False
+) -> DataFrame:
+    """(key, field, pos, term): one row per analysed token of each field.
+
+    ``lengths`` adds ``dl``, the field's number of tokens, to each of its rows.
+    """
 
     def placed(f: str) -> Column:
         found = F.coalesce(analyser.terms(F.col(f)), F.array().cast("array<struct<pos:int,term:string>>"))
-        return F.transform(
-            found, lambda p: F.struct(F.lit(f).alias("field"), p["pos"].alias("pos"), p["term"].alias("term"))
-        )
+
+        def rows(tokens: Column) -> Column:
+            length = [F.size(tokens).alias("dl")] if lengths else []
+            return F.transform(
+                tokens,
+                lambda p: F.struct(F.lit(f).alias("field"), p["pos"].alias("pos"), p["term"].alias("term"), *length),
+            )
+
+        return let(found, rows)
 
     return df.select(F.col(key), F.inline(F.concat(*[placed(f) for f in fields])))
 
@@ -243,14 +255,16 @@ def exploded_vocabulary(df: DataFrame, fields: Sequence[str], analyser: Analyser
     return df.select(F.inline(F.concat(*[distinct(f) for f in fields])))
 
 
-def postings(df: DataFrame, key: str, fields: Sequence[str], analyser: Analyser = PLAIN) -> DataFrame:
-    """Inverted index rows (term, field, key, tf, positions).
+def postings(
+    df: DataFrame, key: str, fields: Sequence[str], analyser: Analyser = PLAIN, lengths: bool = False
+) -> DataFrame:
+    """Inverted index rows (term, field, key, tf, positions), with ``dl`` if ``lengths``.
 
     Grouped by (key, field, term), so no group exceeds one document however common the term.
     """
     return (
-        exploded_terms(df, key, fields, analyser)
-        .groupBy(key, "field", "term")
+        exploded_terms(df, key, fields, analyser, lengths)
+        .groupBy(key, "field", "term", *(["dl"] if lengths else []))
         .agg(
             F.count(F.lit(1)).alias("tf"),
             F.sort_array(F.collect_list("pos")).alias("positions"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from broadsheet.functions.shape import broadcast_if_small
+
 # ---- fixed values: rates as (from, to, rate) ----------------------------------------
 RATES = [
     ("USD", "ARS", 4.333871),
@@ -49,6 +51,9 @@ RATES = [
 ]
 BASE = "USD"
 
+# More currencies than this and the conversion joins by shuffle.
+BROADCAST_ROWS = 10_000
+
 
 def rates_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RATES, "`from` string, `to` string, rate double")
@@ -77,5 +82,5 @@ def factors_to(rates: DataFrame, target: str, base: str = BASE) -> DataFrame:
 
 def convert(df: DataFrame, amount: str, code: str, target: str, rates: DataFrame, base: str = BASE) -> DataFrame:
     """Add ``converted``; NULL for a currency without any rate."""
-    factors = factors_to(rates, target, base).withColumnRenamed("code", code)
+    factors = broadcast_if_small(factors_to(rates, target, base), BROADCAST_ROWS).withColumnRenamed("code", code)
     return df.join(factors, code, "left").withColumn("converted", F.col(amount) * F.col("factor")).drop("factor")

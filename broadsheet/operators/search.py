@@ -197,30 +197,25 @@ def search_postings(
     """The same ranking from a stored index (``postings`` and ``field_lengths``).
 
     The term filter reaches the postings scan, so only the query's posting lists are read.
+    Postings that carry ``dl``, as stored ones do, need no join with the lengths by key.
     """
     terms = check_terms(terms)
     fields = list(weights)
     wanted = postings.where(F.col("term").isin(*terms) & F.col("field").isin(*fields)).select(
-        key, "field", "term", "tf"
+        key, "field", "term", "tf", *(["dl"] if "dl" in postings.columns else [])
     )
     per_field = lengths.where(F.col("field").isin(*fields)).groupBy("field").agg(
         F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl")
     )
-    # One row per (field, term) at most: small by the limit on query terms.
     per_term = wanted.groupBy("field", "term").agg(F.count(F.lit(1)).alias("doc_freq"))
     stats = per_term.join(per_field, "field")
     weight = F.lit(0.0)
     for f, w in weights.items():
         weight = F.when(F.col("field") == f, float(w)).otherwise(weight)
-    scored = (
-        wanted.join(lengths, [key, "field"])
-        .join(stats, ["field", "term"])
-        .select(
-            key,
-            "term",
-            (weight * bm25(F.col("tf"), F.col("dl"), F.col("n"), F.col("avg_dl"), F.col("doc_freq"))).alias("part"),
-        )
-    )
+    sized = wanted if "dl" in wanted.columns else wanted.join(lengths, [key, "field"])
+    part = weight * bm25(F.col("tf"), F.col("dl"), F.col("n"), F.col("avg_dl"), F.col("doc_freq"))
+    # At most one row per field and query term, of which ``check_terms`` limits the number.
+    scored = sized.join(F.broadcast(stats), ["field", "term"]).select(key, "term", part.alias("part"))
     return (
         scored.groupBy(key, "term")
         .agg(F.max("part").alias("part"))
@@ -238,7 +233,7 @@ def write_index(df: DataFrame, path: str, key: str, fields: Sequence[str], analy
     from broadsheet.operators.analysis import field_lengths, postings
 
     bucket = F.pmod(F.hash("term"), F.lit(buckets)).alias("bucket")
-    rows = postings(df, key, fields, analyser).select("*", bucket).hint("rebalance", "bucket")
+    rows = postings(df, key, fields, analyser, lengths=True).select("*", bucket).hint("rebalance", "bucket")
     rows.sortWithinPartitions("bucket", "term", "field").write.partitionBy("bucket").parquet(f"{path}/postings")
     field_lengths(df, key, fields, analyser).write.parquet(f"{path}/lengths")
 

@@ -6,7 +6,7 @@ from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from broadsheet.functions.shape import let
+from broadsheet.functions.shape import broadcast_if_small, let
 from broadsheet.operators.analysis import PLAIN, Analyser, exploded_terms, exploded_vocabulary
 from broadsheet.operators.search import bm25
 
@@ -63,8 +63,7 @@ def more_like_this(
         .agg(F.count(F.lit(1)).alias("seed_tf"))
         .where(F.col("seed_tf") >= min_tf)
     )
-    if seed_tf.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        seed_tf = F.broadcast(seed_tf)
+    seed_tf = broadcast_if_small(seed_tf, BROADCAST_ROWS)
     per_field = (
         _field_words(df, [], weights, analyser)
         .groupBy("field")

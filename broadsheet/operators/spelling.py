@@ -78,7 +78,7 @@ def suggest(
     distance = F.levenshtein("query", "term", max_edits)
     similarity = 1 - F.col("distance") / F.greatest(F.length("query"), F.length("term"))
     near = (
-        considered.join(vocabulary, "head")
+        vocabulary.join(F.broadcast(considered), "head")  # at most one row per query term
         .withColumn("distance", distance)
         .where((F.col("distance") > 0) & (similarity >= accuracy))
     )

@@ -65,7 +65,7 @@ def search_minimum_match(t: Tables):
 def search_stored_postings(t: Tables):
     articles = bind.articles(t.documents)
     fields = list(_WEIGHTS)
-    rows = analysis.postings(articles, "id", fields)
+    rows = analysis.postings(articles, "id", fields, lengths=True)
     lengths = analysis.field_lengths(articles, "id", fields)
     return _shown(se.search_postings(rows, lengths, ["la", "que", "des", "un"], _WEIGHTS, mm=0.75))
 
