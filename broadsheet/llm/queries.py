@@ -11,15 +11,23 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe
+from broadsheet.llm import bpe, substring_dedup
+from broadsheet.llm.work import ship
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each text that no earlier document holds within a window of 50 words."""
+    kept = substring_dedup.dedup_substrings(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "factors")
+
+
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of each text by the rank file, and the bytes that they decode to."""
     ranks = public_tokenizers.path(BYTE_BPE)
@@ -36,6 +44,7 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 

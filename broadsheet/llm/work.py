@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="broadsheet-src-")) / f"{package.name}_src.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
