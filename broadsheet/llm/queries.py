@@ -11,7 +11,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, substring_dedup
+from broadsheet.llm import bpe, near_dedup, substring_dedup
 from broadsheet.llm.work import ship
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -28,6 +28,11 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "factors")
 
 
+def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of two-word shingles overlap by four fifths."""
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
+
+
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of each text by the rank file, and the bytes that they decode to."""
     ranks = public_tokenizers.path(BYTE_BPE)
@@ -45,6 +50,7 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 
