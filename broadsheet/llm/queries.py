@@ -9,9 +9,9 @@ from __future__ import annotations
 from typing import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, near_dedup, substring_dedup
+from broadsheet.llm import bpe, language_crf, near_dedup, substring_dedup
 from broadsheet.llm.work import ship
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -28,6 +28,17 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "factors")
 
 
+def _fold(modulus: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op3_language_crf(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of each text, learned from the labelled rows outside fold 0 of 5."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    told = language_crf.identify(docs, docs.where(_fold(5) != 0).where("lang is not null"))
+    return told.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
+
+
 def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles overlap by four fifths."""
     return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
@@ -50,6 +61,7 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_language_crf": op3_language_crf,
     "op6_near_dedup": op6_near_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
