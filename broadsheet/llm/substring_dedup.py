@@ -180,7 +180,6 @@ def dedup_substrings(
     base = base.withColumn("row", F.xxhash64("doc_id", "text"))
     spans = (
         duplicate_spans(base, window, anchor)
-        .distinct()
         .groupBy("doc_id", "row")
         .agg(F.collect_list(F.struct("start", "windows", "source")).alias("parts"))
     )
