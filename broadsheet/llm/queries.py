@@ -11,9 +11,10 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, language_crf, near_dedup, substring_dedup
+from broadsheet.llm import bpe, language_crf, lattice_lm, near_dedup, substring_dedup
 from broadsheet.llm.work import ship
 
+PIECES = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
@@ -39,6 +40,12 @@ def op3_language_crf(spark: SparkSession, folder: str) -> DataFrame:
     return told.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op5_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of each text, learned from the texts outside fold 1 of 5."""
+    docs = table(spark, folder, "documents")
+    return lattice_lm.score(docs, public_tokenizers.path(PIECES), held_out=_fold(5) == 1)
+
+
 def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles overlap by four fifths."""
     return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
@@ -62,6 +69,7 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_language_crf": op3_language_crf,
+    "op5_lattice_lm": op5_lattice_lm,
     "op6_near_dedup": op6_near_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
