@@ -11,7 +11,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, language_crf, lattice_lm, near_dedup, substring_dedup
+from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, near_dedup, substring_dedup
 from broadsheet.llm.work import ship
 
 PIECES = "piece_bpe_32k.model"
@@ -40,6 +40,14 @@ def op3_language_crf(spark: SparkSession, folder: str) -> DataFrame:
     return told.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op4_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of each text and of its edited text, and their likeness."""
+    told = fingerprint.edited_halves(table(spark, folder, "documents"))
+    return told.withColumn("edited_sha256", F.sha2("edited", 256)).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 def op5_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Log-probability of each text, learned from the texts outside fold 1 of 5."""
     docs = table(spark, folder, "documents")
@@ -69,6 +77,7 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_language_crf": op3_language_crf,
+    "op4_fingerprint": op4_fingerprint,
     "op5_lattice_lm": op5_lattice_lm,
     "op6_near_dedup": op6_near_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
