@@ -16,8 +16,9 @@ two sets agree about as often as the sets overlap.
    largest, which is the one most alike to the others. Pairs whose joint maximum-likelihood
    estimate is far below the threshold are left out; the others are verified on full sets.
 4. Linked documents form components. Members of one bucket that are not yet in one component
-   are paired too, and estimated and verified alike. A pair inside a component can't change it
-   and is never made, so large groups of copies give about one pair a member.
+   are compared too: by a join in small buckets, and in large ones in blocks within tasks, which
+   estimate and verify and let only links out. A pair inside a component can't change it and is
+   never made, so large groups of copies give about one pair a member.
 5. Components of all verified links.
 
 Cases: null texts and texts without words have empty sets and are linked with nothing; a
@@ -34,13 +35,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from broadsheet.llm.arrow_text import Powers, Words, mixed, range_hashes, slices
+from broadsheet.llm.arrow_text import Powers, Words, gathered, mixed, range_hashes, slices
 from broadsheet.llm.components import components
 from broadsheet.llm.work import stored
 
 BANDS, ROWS = 32, 5
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
-MARGIN = 0.25  # an estimate so far below the threshold rules a pair out: over seven deviations
+MARGIN = 0.15  # an estimate so far below the threshold rules a pair out: almost five deviations
+PAIRED = 32  # members of a bucket whose pairs are joined; larger buckets are compared in blocks
+BLOCK_DOCS, BLOCK_SHINGLES = 512, 400_000  # of one side of a block
 
 _SEEDS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mixed(_SEEDS) | np.uint64(1)
@@ -93,22 +96,26 @@ def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def estimated(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood Jaccard similarity of sketched sets of known sizes, row by row."""
+def _slope(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+    """Derivative of the registers' log-likelihood in the Jaccard similarity, row by row."""
     up, down = (a > b).sum(1), (a < b).sum(1)
     same = a.shape[1] - up - down
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
-    most = np.minimum(u / v, v / u)
-    low, high = np.zeros(len(u)), most.copy()
-    chance = lambda x: -np.log1p(-np.clip(x, 1e-12, 1) * (BASE - 1) / BASE) / np.log(BASE)
+    part = (BASE - 1) / BASE
 
     def slope(j: np.ndarray) -> np.ndarray:
         x, y = np.clip(u - v * j, 1e-12, 1), np.clip(v - u * j, 1e-12, 1)
-        p, q = chance(x), chance(y)
-        dp = -v / np.log(BASE) * ((BASE - 1) / BASE) / (1 - x * (BASE - 1) / BASE)
-        dq = -u / np.log(BASE) * ((BASE - 1) / BASE) / (1 - y * (BASE - 1) / BASE)
+        p, q = -np.log1p(-x * part) / np.log(BASE), -np.log1p(-y * part) / np.log(BASE)
+        dp, dq = -v / np.log(BASE) * part / (1 - x * part), -u / np.log(BASE) * part / (1 - y * part)
         return up * dp / p + down * dq / q - same * (dp + dq) / np.maximum(1 - p - q, 1e-12)
 
+    return slope, np.minimum(u / v, v / u)
+
+
+def estimated(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Maximum-likelihood Jaccard similarity of sketched sets of known sizes, row by row."""
+    slope, high = _slope(a, b, n_a, n_b)
+    low = np.zeros(len(high))
     for _ in range(24):  # the log-likelihood is concave: halve towards slope zero
         mid = (low + high) / 2
         rising = slope(mid) > 0
@@ -116,6 +123,12 @@ def estimated(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (low + high) / 2
 
 
+def estimated_at_least(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, least: float) -> np.ndarray:
+    """Whether the maximum-likelihood similarity reaches ``least``: there the slope still rises."""
+    slope, most = _slope(a, b, n_a, n_b)
+    return (most >= least) & (slope(np.minimum(least, most * (1 - 1e-9))) >= 0)
+
+
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, n_shingles, set_1, set_2, registers) of documents (doc_id, text)."""
 
@@ -145,18 +158,24 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), BANDS * ROWS)
 
 
+def band_keys(values: np.ndarray) -> np.ndarray:
+    """The bucket key of each band (column) of each sketch (row)."""
+    values = values.astype(np.uint64).reshape(len(values), BANDS, ROWS)
+    key = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :].repeat(len(values), 0)
+    for r in range(ROWS):
+        key = mixed(key + values[:, :, r])
+    return key.view(np.int64)
+
+
 def _bands(sets: DataFrame) -> DataFrame:
     """A bucket key for each band of each set: (key, doc_id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = _matrix(batch.column("registers")).astype(np.uint64).reshape(batch.num_rows, BANDS, ROWS)
-            key = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :].repeat(batch.num_rows, 0)
-            for r in range(ROWS):
-                key = mixed(key + values[:, :, r])
+            key = band_keys(_matrix(batch.column("registers")))
             doc = np.repeat(np.arange(batch.num_rows), BANDS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().view(np.int64)), batch.column("doc_id").take(pa.array(doc))], ["key", "doc_id"]
+                [pa.array(key.ravel()), batch.column("doc_id").take(pa.array(doc))], ["key", "doc_id"]
             )
 
     return sets.select("doc_id", "registers").mapInArrow(run, "key long, doc_id long")
@@ -171,8 +190,8 @@ def _likely(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             for low in range(0, batch.num_rows, 4096):
                 part = batch.slice(low, 4096)
                 size = lambda x: part.column(f"n_{x}").to_numpy().astype(np.float64)
-                found = estimated(_matrix(part.column("registers_a")), _matrix(part.column("registers_b")), size("a"), size("b"))
-                yield part.select(["a", "b"]).filter(pa.array(found >= least))
+                a, b = _matrix(part.column("registers_a")), _matrix(part.column("registers_b"))
+                yield part.select(["a", "b"]).filter(pa.array(estimated_at_least(a, b, size("a"), size("b"), least)))
 
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long")
 
@@ -203,6 +222,58 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long")
 
 
+def _in_blocks(members: DataFrame, sets: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) inside large buckets, between members of different components.
+
+    A bucket's members are dealt to parts; each pair of parts is compared in one task, and
+    only links leave it. A pair that shares several bands is compared in the first of them.
+    """
+    parts = F.ceil(F.greatest(F.col("members") / BLOCK_DOCS, F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    dealt = members.select("key", "doc_id", "component", parts.alias("parts")).withColumn(
+        "part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
+    )
+    sides = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+        "key", "doc_id", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
+    )
+    full = sides.join(texts, "doc_id").join(sets.select("doc_id", "registers"), "doc_id")
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        doc = group.column("doc_id").to_numpy()
+        component = group.column("component").to_numpy()
+        part = group.column("part").to_numpy()
+        sketch = _matrix(group.column("registers"))
+        hashes, offsets = shingle_sets(Words(group.column("text"), lower=True), shingle)
+        size = np.diff(offsets).astype(np.float64)
+        keys = band_keys(sketch)
+        band = int(np.argmax(keys[0] == group.column("key")[0].as_py()))
+        inside = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x in range(len(doc)):
+            may = (component != component[x]) & (doc > doc[x])
+            may &= 100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])
+            if not inside:
+                may &= part != part[x]
+            y = np.flatnonzero(may)
+            y = y[~(keys[y, :band] == keys[x, :band]).any(1)]
+            if not len(y):
+                continue
+            one = np.broadcast_to(sketch[x], (len(y), sketch.shape[1]))
+            y = y[estimated_at_least(sketch[y], one, size[y], np.full(len(y), size[x]), percent / 100 - MARGIN)]
+            if not len(y):
+                continue
+            own = hashes[offsets[x] : offsets[x + 1]]
+            other = gathered(hashes, offsets[y], offsets[y + 1] - offsets[y])
+            hit = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+            shared = np.bincount(np.repeat(np.arange(len(y)), offsets[y + 1] - offsets[y]), hit, minlength=len(y))
+            y = y[100 * shared >= percent * (size[y] + size[x] - shared)]
+            out_a.append(np.full(len(y), doc[x]))
+            out_b.append(doc[y])
+        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+    return full.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -237,9 +308,12 @@ def near_duplicates(
         sets.select("doc_id", "n_shingles"), "doc_id"
     ).select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"), F.col("n_shingles").alias("n"))
     placed = stored(placed, "placed")
-    mixed_ = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_ = placed.join(mixed_.select("key"), "key", "left_semi")
-    left, right = open_.alias("l"), open_.alias("r")
+    mixed_ = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.sum("n").alias("weight")
+    ).where("low < high")
+    open_ = placed.join(mixed_.drop("low", "high"), "key")
+    few = open_.where(F.col("members") <= PAIRED)
+    left, right = few.alias("l"), few.alias("r")
     more = (
         left.join(
             right,
@@ -252,11 +326,12 @@ def near_duplicates(
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
-    more = stored(_likely(more, sets, least), "more")
-    if not more.isEmpty():
-        again = stored(_verified(more, texts, shingle, percent), "links")
-        if not again.isEmpty():
-            label = components(links.union(again))
+    again = _verified(_likely(more, sets, least), texts, shingle, percent)
+    again = stored(
+        again.unionByName(_in_blocks(open_.where(F.col("members") > PAIRED), sets, texts, shingle, percent)), "links"
+    )
+    if not again.isEmpty():
+        label = components(links.union(again))
     heads = classes.join(label.withColumnRenamed("vertex", "head"), "head", "left").select(
         "set_1", "set_2", F.coalesce("component", "head").alias("component_id")
     )
