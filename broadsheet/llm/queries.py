@@ -11,7 +11,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, near_dedup, substring_dedup
+from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, near_dedup, source_mixing, substring_dedup
 from broadsheet.llm.work import ship
 
 PIECES = "piece_bpe_32k.model"
@@ -74,6 +74,12 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents replicated towards sources weighted by the root of their size."""
+    mix = source_mixing.mixed_sources(table(spark, folder, "documents"), power=0.5)
+    return mix.select("doc_id", "source", "copy", "rate", "position", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_language_crf": op3_language_crf,
@@ -81,6 +87,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lattice_lm": op5_lattice_lm,
     "op6_near_dedup": op6_near_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_source_mixing": op9_source_mixing,
 }
 
-SQL: dict[str, str] = {}
+OP9_SQL = """
+WITH sizes AS (
+    SELECT source, coalesce(sum(length(text)), 0)::DOUBLE AS size FROM documents GROUP BY source
+), weighed AS (
+    SELECT source, size, pow(size, 0.5) AS weight FROM sizes
+), rates AS (
+    SELECT source, CASE WHEN size > 0
+        THEN round(weight / (SELECT sum(weight) FROM weighed) * (SELECT sum(size) FROM weighed) * 1.0 / size, 9)
+        ELSE 0.0 END AS rate
+    FROM weighed
+), drawn AS (
+    SELECT d.doc_id, d.source, d.text, r.rate,
+        ('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null') || '|17|1'), 1, 13))::BIGINT / pow(16.0, 13) AS u
+    FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
+), steps AS (
+    SELECT rate, k, sum(term) OVER (PARTITION BY rate ORDER BY k) AS reached
+    FROM (SELECT rate, k, exp(-rate) * pow(rate, k) / gamma(k + 1) AS term
+          FROM (SELECT DISTINCT rate FROM rates), range(0, 100) t(k))
+), counted AS (
+    SELECT doc_id, source, text, d.rate,
+        (SELECT count(*) FROM steps s WHERE s.rate = d.rate AND s.reached <= d.u) AS n
+    FROM drawn d
+), copies AS (
+    SELECT doc_id, source, text, rate, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0
+)
+SELECT doc_id, source, copy, rate,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|17|position|' || copy), 1, 13))::BIGINT / pow(16.0, 13) AS position,
+    text
+FROM copies
+"""
+
+SQL: dict[str, str] = {"op9_source_mixing": OP9_SQL}
