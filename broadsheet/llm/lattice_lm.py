@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from broadsheet.llm.arrow_text import Powers, Words, bounds, gathered, mixed, slices
 from broadsheet.llm.work import stored
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 DISCOUNT = 0.5
 ROUNDS = 2  # of expectation maximisation
 PRIOR = 1000.0  # weight of the vocabulary's scores, in pieces
@@ -167,6 +167,16 @@ def word_log_p(pieces: Pieces, words: pa.Array, expect: np.ndarray | None = None
     return out
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers as their low 16 bits and then their high 16 bits, most of which are zeros."""
+    return (numbers & 0xFFFF).astype(np.uint16).tobytes() + (numbers >> 16).astype(np.uint16).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    both = np.frombuffer(raw, np.uint16).reshape(2, -1).astype(np.int64)
+    return both[0] | both[1] << 16
+
+
 def chunks(docs: DataFrame) -> DataFrame:
     """Chunks of documents (doc_id, held_out, text) with their distinct words."""
 
@@ -195,7 +205,6 @@ def chunks(docs: DataFrame) -> DataFrame:
                         pa.py_buffer(gathered(words.data, words.starts[first], sizes)),
                     ],
                 ).cast(pa.string())
-                narrow = np.uint16 if len(order) <= 1 << 16 else np.uint32
                 one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -203,17 +212,16 @@ def chunks(docs: DataFrame) -> DataFrame:
                         one(part.column("doc_id")),
                         one(part.column("held_out")),
                         one(pa.array(words.counts().astype(np.int32))),
-                        pa.array([token.astype(narrow).tobytes()], pa.binary()),
-                        pa.array([np.dtype(narrow).itemsize], pa.int32()),
+                        pa.array([_packed(token)], pa.binary()),
                         one(text),
                         one(pa.array(train.astype(np.int64))),
                     ],
-                    ["chunk", "doc_id", "held_out", "sizes", "tokens", "width", "words", "train"],
+                    ["chunk", "doc_id", "held_out", "sizes", "tokens", "words", "train"],
                 )
 
     return docs.mapInArrow(
         run,
-        "chunk long, doc_id array<long>, held_out array<boolean>, sizes array<int>, tokens binary, width int, "
+        "chunk long, doc_id array<long>, held_out array<boolean>, sizes array<int>, tokens binary, "
         "words array<string>, train array<long>",
     )
 
@@ -293,8 +301,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, doc_id: str = "doc
         for row in range(texts.num_rows):
             own = lambda name: texts.column(name)[row].values
             sizes = own("sizes").to_numpy()
-            raw = texts.column("tokens")[row].as_py()
-            token = np.frombuffer(raw, np.uint16 if texts.column("width")[row].as_py() == 2 else np.uint32)
+            token = _unpacked(texts.column("tokens")[row].as_py())
             text = np.repeat(np.arange(len(sizes)), sizes)
             sums = lambda values: np.bincount(text, values[token], minlength=len(sizes))
             parts.append(
