@@ -11,7 +11,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, near_dedup, source_mixing, substring_dedup
+from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, near_dedup, source_mixing, substring_dedup, url_filter
 from broadsheet.llm.work import ship
 
 PIECES = "piece_bpe_32k.model"
@@ -80,6 +80,21 @@ def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "source", "copy", "rate", "position", "text")
 
 
+# The rules of the URL contract.
+URL_RULES = (
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+)
+
+
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on each page's URL, by rule or by boosted trees."""
+    return url_filter.judged(table(spark, folder, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_language_crf": op3_language_crf,
@@ -88,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_near_dedup": op6_near_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_source_mixing": op9_source_mixing,
+    "op10_url_filter": op10_url_filter,
 }
 
 OP9_SQL = """
