@@ -11,7 +11,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, near_dedup, source_mixing, substring_dedup, url_filter
+from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, url_filter
 from broadsheet.llm.work import ship
 
 PIECES = "piece_bpe_32k.model"
@@ -29,6 +29,11 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "factors")
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without lines that occur before, or nearly so, with each line's source."""
+    return line_dedup.dedup_lines(table(spark, folder, "documents"))
+
+
 def _fold(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
@@ -97,6 +102,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_line_dedup": op2_line_dedup,
     "op3_language_crf": op3_language_crf,
     "op4_fingerprint": op4_fingerprint,
     "op5_lattice_lm": op5_lattice_lm,
