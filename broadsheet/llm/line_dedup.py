@@ -26,7 +26,7 @@ are not read.
 
 from __future__ import annotations
 
-from typing import Iterator
+from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -356,11 +356,17 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, distance: int = DISTANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_removed, kept, removed) of each document; ``kept``: its other lines."""
-    base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+def dedup_lines(
+    docs: DataFrame, distance: int = DISTANCE, keep: Sequence[str] = (), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, ``keep``, n_lines, n_removed, kept, removed) of each document; ``kept``: its other lines."""
+    base = docs.select(
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+        F.col(f"`{text}`").alias("text"),
+        F.struct(F.lit(True).alias("row"), *[F.col(f"`{c}`") for c in keep]).alias("rest"),
+    )
     gone = (
-        repeated_lines(base, distance)
+        repeated_lines(base.drop("rest"), distance)
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("line", "hash_1", "source_doc", "source_line", "distance")).alias("wanted"))
     )
@@ -370,11 +376,12 @@ def dedup_lines(docs: DataFrame, distance: int = DISTANCE, doc_id: str = "doc_id
             for part in slices(batch, "text"):
                 yield _without(part)
 
-    return base.join(gone, "doc_id", "left").mapInArrow(
+    found = base.join(gone, "doc_id", "left").mapInArrow(
         run,
-        "doc_id long, n_lines long, n_removed long, kept string, "
+        f"doc_id long, rest {base.schema['rest'].dataType.simpleString()}, n_lines long, n_removed long, kept string, "
         "removed array<struct<line: int, source_doc: bigint, source_line: int, distance: int>>",
     )
+    return found.select("doc_id", *[F.col("rest").getField(c).alias(c) for c in keep], "n_lines", "n_removed", "kept", "removed")
 
 
 def _without(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -408,10 +415,11 @@ def _without(part: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             part.column("doc_id"),
+            part.column("rest"),
             pa.array(lines.count.astype(np.int64)),
             pa.array((count[lines.first[1:]] - count[lines.first[:-1]]).astype(np.int64)),
             pa.array(kept, pa.string()),
             removed,
         ],
-        ["doc_id", "n_lines", "n_removed", "kept", "removed"],
+        ["doc_id", "rest", "n_lines", "n_removed", "kept", "removed"],
     )

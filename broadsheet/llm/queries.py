@@ -11,7 +11,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, url_filter
+from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, topk_search, url_filter
 from broadsheet.llm.work import ship
 
 PIECES = "piece_bpe_32k.model"
@@ -64,6 +64,26 @@ def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
 
 
+def op7_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten vectors of greatest inner product with every hundredth vector."""
+    return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+OP7_SQL = """
+WITH usable AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of each text by the rank file, and the bytes that they decode to."""
     ranks = public_tokenizers.path(BYTE_BPE)
@@ -107,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprint": op4_fingerprint,
     "op5_lattice_lm": op5_lattice_lm,
     "op6_near_dedup": op6_near_dedup,
+    "op7_topk_search": op7_topk_search,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_source_mixing": op9_source_mixing,
     "op10_url_filter": op10_url_filter,
@@ -143,4 +164,4 @@ SELECT doc_id, source, copy, rate,
 FROM copies
 """
 
-SQL: dict[str, str] = {"op9_source_mixing": OP9_SQL}
+SQL: dict[str, str] = {"op7_topk_search": OP7_SQL, "op9_source_mixing": OP9_SQL}
