@@ -26,10 +26,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove lines that begin earlier in the corpus; a document stays, if need be without text."""
+    """Remove lines that begin earlier in the corpus, and documents of which no text is left."""
     ship(spark)
     kept = line_dedup.dedup_lines(docs, keep=("lang", "source"))
-    return kept.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+    return kept.where((F.col("n_removed") == 0) | (F.col("kept") != "")).select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
