@@ -1,4 +1,4 @@
-"""Shapes of plans: values computed once, and broadcasts behind a size check."""
+"""Shapes of plans: values that are computed once."""
 
 from __future__ import annotations
 
@@ -12,14 +12,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a table for broadcast if it has at most ``rows`` rows; a larger one joins by shuffle.
-
-    The count stops at the limit.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def computed(df: DataFrame, keep: Sequence[Column | str], values: Sequence[Column]) -> DataFrame:
     """Select ``keep`` and ``values``, with the values fixed at this point of the plan.
 

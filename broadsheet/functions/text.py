@@ -46,11 +46,18 @@ def html_escape(text: Column) -> Column:
 
 
 def natural_key(name: Column) -> Column:
-    """Sort key under which digit runs compare as numbers: ``shard2`` before ``shard10``."""
+    """Sort key under which digit runs compare as numbers: ``shard2`` before ``shard10``.
+
+    A run is written as the number of its digits, in ten places, and the digits themselves, so
+    runs of any length keep their order.
+    """
     runs = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))
+    digits = lambda r: F.regexp_replace(r, "^0+(?=.)", "")
     padded = F.transform(
         runs,
-        lambda r: F.when(r.rlike(r"^\d"), F.lpad(F.regexp_replace(r, "^0+(?=.)", ""), 24, "0")).otherwise(r),
+        lambda r: F.when(
+            r.rlike(r"^\d"), F.concat(F.lpad(F.length(digits(r)).cast("string"), 10, "0"), digits(r))
+        ).otherwise(r),
     )
     return F.array_join(padded, "")
 

@@ -22,13 +22,14 @@ def saved_documents(bookmarks: DataFrame, articles: DataFrame, key: str = "id")
 
 def bookmarked_articles(bookmarks: DataFrame, articles: DataFrame, key: str = "id") -> DataFrame:
     """Articles that anybody has bookmarked."""
-    wanted = bookmarks.select(F.col("document_id").alias(key))
+    wanted = bookmarks.select(F.col("document_id").alias(key)).distinct()  # combined before the shuffle
     return articles.join(wanted, key, "left_semi")
 
 
 def related(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str = "id") -> DataFrame:
     """Parent documents that some child document refers to."""
-    return parents.join(children.select(F.col(child_key).alias(parent_key)), parent_key, "left_semi")
+    wanted = children.select(F.col(child_key).alias(parent_key)).distinct()  # combined before the shuffle
+    return parents.join(wanted, parent_key, "left_semi")
 
 
 def recent_searches(searches: DataFrame, per_user: int = 10) -> DataFrame:

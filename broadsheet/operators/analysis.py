@@ -52,19 +52,15 @@ CONTRACTIONS = {
 HYPHEN_PREFIXES = ["h", "n", "t"]
 # ---- fixed values: English stop words -----------------------------------------------
 STOPWORDS_EN = [
-    "stopworda", "stopwordb", "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is",
+    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is",
     "it", "no", "not", "of", "on", "or", "such", "that", "the", "their", "then", "there",
     "these", "they", "this", "to", "was", "will", "with",
 ]
 # ---- fixed values: synonym rules; "replace" rewrites, "expand" yields all of a set ---
 SYNONYM_REPLACE = {
-    "aaafoo": ["aaabar"],
-    "bbbfoo": ["bbbfoo", "bbbbar"],
-    "cccfoo": ["cccbar", "cccbaz"],
     "pixima": ["pixma"],
 }
 SYNONYM_EXPAND = [
-    ["fooaaa", "baraaa", "bazaaa"],
     ["gb", "gib", "gigabyte", "gigabytes"],
     ["mb", "mib", "megabyte", "megabytes"],
     ["television", "televisions", "tv", "tvs"],

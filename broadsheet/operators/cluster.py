@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, CountVectorizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.feature import IDF, HashingTF
+from pyspark.sql import DataFrame, Window, functions as F
 
 from broadsheet.operators.analysis import PLAIN, Analyser
 
@@ -17,7 +17,7 @@ def cluster_hits(
     field: str,
     key: str = "id",
     k: int = CLUSTERS,
-    vocabulary: int = 2048,
+    features: int = 1 << 14,
     label_terms: int = 3,
     seed: int = 42,
     iterations: int = 10,
@@ -25,19 +25,28 @@ def cluster_hits(
 ) -> DataFrame:
     """(key, cluster, label): TF-IDF vectors grouped by k-means.
 
-    A cluster's label is the terms with the highest mean weight in it. Only the ``k`` centres
-    over the ``vocabulary`` most frequent terms come to the driver.
+    Terms are hashed to ``features`` places, so no vocabulary is gathered; only the ``k`` centres
+    come to the driver. A cluster's label is the terms with the greatest summed weight in it.
     """
     words = hits.select(F.col(key), F.coalesce(analyser.words(F.col(field)), F.array().cast("array<string>")).alias("words"))
-    counter = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=vocabulary).fit(words)
-    counted = counter.transform(words)
-    weigher = IDF(inputCol="tf", outputCol="features").fit(counted)
-    vectors = weigher.transform(counted).select(key, "features")
+    counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(words)
+    vectors = IDF(inputCol="tf", outputCol="features").fit(counted).transform(counted).select(key, "words", "features")
     model = KMeans(k=k, seed=seed, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(vectors)
-    vocabulary_terms = counter.vocabulary
-    labels = []
-    for i, centre in enumerate(model.clusterCenters()):
-        best = sorted(range(len(centre)), key=lambda t: (-centre[t], vocabulary_terms[t]))[:label_terms]
-        labels.append((i, ", ".join(vocabulary_terms[t] for t in best if centre[t] > 0)))
-    names = hits.sparkSession.createDataFrame(labels, "cluster int, label string")
-    return model.transform(vectors).select(key, "cluster").join(names, "cluster").select(key, "cluster", "label")
+    placed = model.transform(vectors).select(key, "words", "cluster")
+    per_cluster = (
+        placed.select("cluster", F.explode("words").alias("term")).groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("tf"))
+    )
+    frequency = (
+        words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    )
+    n = words.agg(F.count(F.lit(1)).alias("n"))
+    weighed = per_cluster.join(frequency, "term").withColumn("weight", F.col("tf") * F.log((n.scalar() + 1) / (F.col("df") + 1)))
+    best = Window.partitionBy("cluster").orderBy(F.col("weight").desc(), "term")
+    labels = (
+        weighed.where(F.col("weight") > 0)
+        .withColumn("r", F.row_number().over(best))
+        .where(F.col("r") <= label_terms)
+        .groupBy("cluster")
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "term"))), lambda x: x["term"]), ", ").alias("label"))
+    )
+    return placed.select(key, "cluster").join(labels, "cluster", "left").select(key, "cluster", F.coalesce("label", F.lit("")).alias("label"))

@@ -18,9 +18,25 @@ NO_DOCUMENT = "NO_DOCUMENT"
 _LT, _GT = "\ue000", "\ue001"
 
 
+def _without_cdata(xml: Column) -> Column:
+    """Literal sections as escaped text; an unclosed one stays, and the parse rejects it."""
+
+    def one(part: Column, i: Column) -> Column:
+        end = F.instr(part, "]]>")
+        inside = F.replace(F.substring(part, F.lit(1), end - 1), F.lit("&"), F.lit("&amp;"))
+        return (
+            F.when(i == 0, part)
+            .when(end == 0, F.concat(F.lit("<![CDATA["), part))
+            .otherwise(F.concat(F.translate(inside, "<>", _LT + _GT), F.substring(part, end + 3, F.length(part))))
+        )
+
+    parts = F.split(xml, r"<!\[CDATA\[")
+    return F.when(F.contains(xml, F.lit("<![CDATA[")), F.array_join(F.transform(parts, one), "")).otherwise(xml)
+
+
 def _parse(xml: Column) -> Column:
-    guarded = F.regexp_replace(xml, "&(?:lt|#60|#[xX]3[cC]);", _LT)
-    guarded = F.regexp_replace(guarded, "&(?:gt|#62|#[xX]3[eE]);", _GT)
+    guarded = F.regexp_replace(_without_cdata(xml), "&(?:lt|#0*60|#[xX]0*3[cC]);", _LT)
+    guarded = F.regexp_replace(guarded, "&(?:gt|#0*62|#[xX]0*3[eE]);", _GT)
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "_corrupt_record",
@@ -31,7 +47,11 @@ def _parse(xml: Column) -> Column:
 
 def _plain(text: Column) -> Column:
     """Markup-free text: nested tags removed, escaped brackets restored."""
-    return F.translate(F.regexp_replace(text, "<[^>]+>", ""), _LT + _GT, "<>")
+    return _restored(F.regexp_replace(text, "<[^>]+>", ""))
+
+
+def _restored(text: Column) -> Column:
+    return F.translate(text, _LT + _GT, "<>")
 
 
 def parse_issues(issues: DataFrame) -> DataFrame:
@@ -74,7 +94,7 @@ def explode_articles(parsed: DataFrame, id_prefix: str) -> DataFrame:
     rows = parsed.select(
         "domid", "issue_id", "issue_dw", "issue_newspaper", F.inline_outer("articles")
     ).where(F.col("page_i").isNotNull())
-    local_id = clean_label(F.col("a.id"))
+    local_id = clean_label(_restored(F.col("a.id")))
     content = collapse_ws(_plain(F.array_join(F.coalesce("a.text", F.array().cast("array<string>")), "")))
     return rows.select(
         "domid",
@@ -83,13 +103,13 @@ def explode_articles(parsed: DataFrame, id_prefix: str) -> DataFrame:
         clean_label(_plain(F.col("a.ti"))).alias("article_title_s"),
         clean_label(_plain(F.col("a.ct"))).alias("article_type_s"),
         clean_label(F.col("a.ocr._VALUE")).try_cast("double").alias("article_ocr_quality_td"),
-        F.col("a.ocr._relevant").alias("article_ocr_relevant_s"),
+        _restored(F.col("a.ocr._relevant")).alias("article_ocr_relevant_s"),
         content.alias("content"),
         "page_i",
         "article_i",
-        clean_label(F.col("issue_dw")).alias("issue_day_of_week_s"),
-        clean_label(F.col("issue_id")).alias("issue_id_s"),
-        clean_label(F.col("issue_newspaper")).alias("newspaper_id_s"),
+        clean_label(_restored(F.col("issue_dw"))).alias("issue_day_of_week_s"),
+        clean_label(_restored(F.col("issue_id"))).alias("issue_id_s"),
+        clean_label(_restored(F.col("issue_newspaper"))).alias("newspaper_id_s"),
     ).withColumn("article_text_length_ti", text_length(F.col("content")))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -76,17 +77,28 @@ def facet_range(
 ) -> DataFrame:
     """(bucket, lower, n) over half-open numeric buckets ``[lower, lower + gap)``.
 
-    The last bucket is always whole, so ``end`` rounds up to it. ``other`` adds ``before`` and
-    ``after`` rows, which are kept also when zero.
+    The last bucket is always whole, so ``end`` rounds up to it. Bounds are decimals, so a gap of
+    0.1 has exact ones. ``other`` adds ``before``, ``between`` and ``after`` rows, or all three
+    (``all``) or none (``none``); they are kept also when zero. ``mincount`` 0 gives empty
+    buckets too.
     """
     if gap <= 0:
         raise ValueError("gap must be positive")
-    n_buckets = math.ceil((end - start) / gap)
+    first, step = Decimal(str(start)), Decimal(str(gap))
+    n_buckets = math.ceil((Decimal(str(end)) - first) / step)
     value = F.col(field).cast("double")
-    index = F.floor((value - start) / gap)
-    kind = F.when(value < start, "before").when(index >= n_buckets, "after").otherwise("range")
-    lower = F.when(kind == "range", F.lit(float(start)) + index * F.lit(float(gap)))
-    return _range_counts(df.where(value.isNotNull()).select(kind.alias("bucket"), lower.alias("lower")), other, mincount)
+
+    def bound(k: Column) -> Column:
+        return (F.lit(first) + k.cast("decimal(18,0)") * F.lit(step)).cast("double")
+
+    # The quotient of doubles may be off by one at a bound, so it is checked against the bounds.
+    guess = F.greatest(F.lit(-1), F.least(F.lit(n_buckets), F.floor((value - float(first)) / float(step)))).cast("long")
+    index = F.when(value < bound(guess), guess - 1).when(value >= bound(guess + 1), guess + 1).otherwise(guess)
+    rows = df.where(value.isNotNull()).select(value.alias("value"), index.alias("index"))
+    kind = F.when(F.col("value") < float(first), "before").when(F.col("index") >= n_buckets, "after").otherwise("range")
+    placed = rows.select(kind.alias("bucket"), F.when(kind == "range", bound(F.col("index"))).alias("lower"))
+    every = df.sparkSession.range(n_buckets).select(bound(F.col("id")).alias("lower"))
+    return _range_counts(placed, other, mincount, every)
 
 
 def facet_range_dates(
@@ -135,15 +147,35 @@ def facet_range_dates(
     index = index_of(F.col("v"))
     kind = F.when(F.col("v") < start, "before").when(index >= n_buckets, "after").otherwise("range")
     placed = rows.select(kind.alias("bucket"), F.when(kind == "range", bound(index)).alias("lower"))
-    return _range_counts(placed, other, mincount)
+    one = df.sparkSession.range(1)
+    every = one.select(F.explode(F.sequence(F.lit(0).cast("long"), n_buckets.cast("long") - 1)).alias("k"))
+    return _range_counts(placed, other, mincount, every.select(bound(F.col("k")).alias("lower")))
+
+
+def _others(names: Sequence[str]) -> list[str]:
+    """The rows beside the buckets that are asked for."""
+    known = ["before", "between", "after"]
+    unknown = set(names) - {*known, "all", "none"}
+    if unknown:
+        raise ValueError(f"unknown rows beside the buckets: {sorted(unknown)}")
+    if "none" in names:
+        return []
+    return [k for k in known if k in names or "all" in names]
 
 
-def _range_counts(placed: DataFrame, other: Sequence[str], mincount: int) -> DataFrame:
+def _range_counts(placed: DataFrame, other: Sequence[str], mincount: int, every: DataFrame) -> DataFrame:
+    """Counts by bucket; ``every`` lists the lower bounds of all buckets, for those without rows."""
+    other = _others(other)
     counts = placed.groupBy("bucket", "lower").agg(F.count(F.lit(1)).alias("n"))
     in_range = counts.where((F.col("bucket") == "range") & (F.col("n") >= mincount))
+    if mincount <= 0:
+        in_range = every.join(in_range.drop("bucket"), "lower", "left").select(
+            F.lit("range").alias("bucket"), "lower", F.coalesce("n", F.lit(0)).cast("long").alias("n")
+        )
     if not other:
         return in_range
-    outside = placed.agg(*[F.count_if(F.col("bucket") == o).alias(o) for o in other])
+    meant = {"before": "before", "between": "range", "after": "after"}
+    outside = placed.agg(*[F.count_if(F.col("bucket") == meant[o]).alias(o) for o in other])
     lower_type = placed.schema["lower"].dataType
     rows = [
         F.struct(F.lit(o).alias("bucket"), F.lit(None).cast(lower_type).alias("lower"), F.col(o).alias("n"))

@@ -6,7 +6,7 @@ from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from broadsheet.functions.shape import broadcast_if_small, let
+from broadsheet.functions.shape import let
 from broadsheet.operators.analysis import PLAIN, Analyser, exploded_terms, exploded_vocabulary
 from broadsheet.operators.search import bm25
 
@@ -17,9 +17,6 @@ MIN_DOC_FREQ = 5
 COUNT = 3
 MAX_IDS = 1024
 
-# A term table with at most this many rows (some 20 MB) is sent to every task.
-BROADCAST_ROWS = 200_000
-
 
 def _field_words(df: DataFrame, keep: list[str], fields: Iterable[str], analyser: Analyser) -> DataFrame:
     """(keep, field, dl, words): one row per field that is present, tokenized once."""
@@ -48,8 +45,8 @@ def more_like_this(
     """(seed, key, score, rank): the ``count`` best other articles for each of ``ids``.
 
     ``ids`` are normally one page of hits. The collection's tokens are joined with the ids' terms
-    before anything is grouped. The ids' terms are counted first, which reads those rows only:
-    if they are few they are broadcast, otherwise the join shuffles. The picked terms are at
+    before anything is grouped; adaptive execution picks that join by measured size. The picked
+    terms are at
     most ``max_terms`` per id, so their table is always small. Each intermediate table is used
     once, so nothing is recomputed.
     """
@@ -63,7 +60,6 @@ def more_like_this(
         .agg(F.count(F.lit(1)).alias("seed_tf"))
         .where(F.col("seed_tf") >= min_tf)
     )
-    seed_tf = broadcast_if_small(seed_tf, BROADCAST_ROWS)
     per_field = (
         _field_words(df, [], weights, analyser)
         .groupBy("field")

@@ -94,12 +94,13 @@ def word_breaks(
 ) -> DataFrame:
     """(kind, query, suggestion, n): neighbours joined to one known word, or a word split into
     two known words. ``n`` is the frequency of the joined word, or of the rarer half.
+    Every term is looked at; of a term's suggestions the ``max_changes`` most frequent are given.
 
     The candidate words come from the query alone; rows are only tested for holding them.
     """
     terms = check_terms(terms)
-    joined = [(f"{a} {b}", a + b) for a, b in zip(terms, terms[1:])][:max_changes]
-    splits = [(t, t[:i], t[i:]) for t in terms[:max_changes] for i in range(1, len(t))]
+    joined = [(f"{a} {b}", a + b) for a, b in zip(terms, terms[1:])]
+    splits = [(t, t[:i], t[i:]) for t in terms for i in range(1, len(t))]
     wanted = sorted({w for _, w in joined} | {w for _, a, b in splits for w in (a, b)})
     spark = df.sparkSession
     found = _word_counts(df, field, analyser, lambda w: w.isin(*wanted)) if wanted else spark.createDataFrame([], "term string, n bigint")
@@ -121,7 +122,9 @@ def word_breaks(
             F.least("na", "nb").alias("n"),
         )
     )
-    return combined.unionByName(broken)
+    every = combined.unionByName(broken)
+    order = Window.partitionBy("kind", "query").orderBy(F.col("n").desc(), "suggestion")
+    return every.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_changes).drop("r")
 
 
 def collations(

@@ -219,7 +219,7 @@ def marc_records(part: DataFrame) -> DataFrame:
             subs=[
                 ("a", F.concat(F.lit("The "), F.initcap("p_name"), F.lit(" /"))),
                 ("b", F.concat(F.lit("a study of "), thing, F.lit(" :"))),
-                ("h", F.when(F.col("p_type") == "SMALL", "electronic resource").otherwise("text")),
+                ("h", F.when(F.col("p_type") == "SMALL", "[electronic resource] :").otherwise("text")),
             ],
         ),
         _field("260", subs=[("a", F.concat(F.lit("Town "), brand, F.lit(" :"))), ("c", F.when(size < 25, F.concat(F.lit("c"), year, F.lit("."))).otherwise("n.d."))]),

@@ -93,7 +93,7 @@ def catalogue_links(t: Tables):
 @query(
     "catalogue_text",
     f"""WITH {_P} SELECT {_ID}, concat_ws(' ', upper(thing[1]) || thing[2:] || ', .' || brand || ',', yr || '-', 'The ' || {_TITLE} || ' /',
-     'a study of ' || thing || ' :', CASE WHEN p_type = 'SMALL' THEN 'electronic resource' ELSE 'text' END, 'Town ' || brand || ' :',
+     'a study of ' || thing || ' :', CASE WHEN p_type = 'SMALL' THEN '[electronic resource] :' ELSE 'text' END, 'Town ' || brand || ' :',
      CASE WHEN p_size < 25 THEN 'c' || yr || '.' ELSE 'n.d.' END, p_size || ' p. ;', '1 map :', thing || '.', 'History', yr || ',', 'Land ' || brand || ';',
      colour || ' /', 'http://full/' || k, CASE WHEN p_size < 30 THEN 'Table of contents' ELSE 'Volume' END, 'http://other/' || k, 'http://about/' || k,
      '245-01', reverse(p_name)) AS text FROM p""",
@@ -102,9 +102,7 @@ def catalogue_text(t: Tables):
     return _one_row(t, F.expr(marc.all_text(100, 900)).alias("text"))
 
 
-@query(
-    "catalogue_formats",
-    f"""WITH {_P}, c AS (SELECT *, {_F007} AS f7 FROM p)
+_FORMATS = f"""WITH {_P}, c AS (SELECT *, {_F007} AS f7 FROM p)
     SELECT {_ID}, CASE p_type WHEN 'STANDARD' THEN 'Book' WHEN 'ECONOMY' THEN 'Serial' WHEN 'MEDIUM' THEN 'Musical Recording'
       WHEN 'LARGE' THEN 'Map or Globe' WHEN 'SMALL' THEN 'Musical Score' ELSE 'Unknown' END AS format,
      CASE WHEN p_type = 'SMALL' THEN 'Electronic'
@@ -116,24 +114,24 @@ def catalogue_text(t: Tables):
       WHEN f7[1] = 'm' THEN CASE f7[2] WHEN 'f' THEN 'VideoCassette' ELSE 'MotionPicture' END
       WHEN p_type = 'STANDARD' THEN CASE WHEN f7 = 'cr' THEN 'eBook' ELSE 'Book' END
       WHEN p_type = 'ECONOMY' THEN CASE WHEN p_size < 20 THEN 'Newspaper' WHEN p_size < 40 THEN 'Journal' ELSE 'Serial' END
-      WHEN p_type = 'MEDIUM' THEN 'MusicRecording' WHEN p_type = 'LARGE' THEN 'Map' ELSE 'Unknown' END AS detailed_format FROM c""",
-)
+      WHEN p_type = 'MEDIUM' THEN 'MusicRecording' WHEN p_type = 'LARGE' THEN 'Map' ELSE 'Unknown' END AS detailed_format FROM c"""
+
+
+@query("catalogue_formats", _FORMATS)
 def catalogue_formats(t: Tables):
     return _one_row(t, cat.simple_format().alias("format"), cat.detailed_format().alias("detailed_format"))
 
 
+_LABELS = ", ".join(f"('{a}', '{b}')" for a, b in cat.FORMAT_LABELS.items())
+
+
 @query(
     "catalogue_format_labels",
-    f"""WITH {_P}, c AS (SELECT *, {_F007} AS f7 FROM p WHERE p_type = 'PROMO')
-    SELECT {_ID}, CASE WHEN f7[1] = 's' THEN CASE f7[2] WHEN 'd' THEN 'CD' WHEN 's' THEN 'Cassette' ELSE 'Audio' END
-      WHEN f7[1] = 'd' THEN 'Globe' WHEN f7[1] = 'k' THEN 'Photo'
-      WHEN f7[1] = 'v' THEN CASE f7[2] WHEN 'c' THEN 'Video' WHEN 'd' THEN 'DVD' WHEN 'f' THEN 'VHS' ELSE 'Video' END
-      WHEN f7[1] = 'g' THEN CASE WHEN f7[2] IN ('c', 'd') THEN 'Video' ELSE 'Slide' END
-      WHEN f7[1] = 'm' THEN CASE f7[2] WHEN 'f' THEN 'VHS' ELSE 'Video' END ELSE 'Unknown' END AS label FROM c""",
+    f"""SELECT id, coalesce(label, detailed_format) AS label FROM ({_FORMATS}) LEFT JOIN (VALUES {_LABELS}) AS l(name, label)
+    ON name = detailed_format""",
 )
 def catalogue_format_labels(t: Tables):
-    promo = bind.marc_records(t.part.where(F.col("p_type") == "PROMO"))
-    return promo.select(cat.first_value("001").alias("id"), cat.format_label(cat.detailed_format()).alias("label"))
+    return _one_row(t, cat.format_label(cat.detailed_format()).alias("label"))
 
 
 def _languages(t: Tables):
@@ -142,12 +140,12 @@ def _languages(t: Tables):
     return t.nation.select(F.concat(F.lit("l"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("key"), label.alias("label"))
 
 
-@query(
-    "catalogue_languages",
-    f"""WITH {_P}, codes AS (SELECT k, 'l' || lpad(brand, 2, '0') AS code FROM p UNION SELECT k, 'l' || lpad(CAST(p_size AS VARCHAR), 2, '0') FROM p)
-    SELECT 'p' || k AS id, string_agg(DISTINCT n_name, '|' ORDER BY n_name) AS language_facet FROM codes
-    JOIN nation ON code = 'l' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AND n_regionkey <> 3 GROUP BY k""",
-)
+_LANGUAGES = f"""WITH {_P}, codes AS (SELECT k, 'l' || lpad(brand, 2, '0') AS code FROM p UNION SELECT k, 'l' || lpad(CAST(p_size AS VARCHAR), 2, '0') FROM p)
+    SELECT 'p' || k AS id, coalesce(string_agg(DISTINCT n_name, '|' ORDER BY n_name), '') AS language_facet FROM codes
+    LEFT JOIN nation ON code = 'l' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AND n_regionkey <> 3 GROUP BY k"""
+
+
+@query("catalogue_languages", _LANGUAGES)
 def catalogue_languages(t: Tables):
     rows = cat.language_facet(bind.marc_records(t.part), _languages(t))
     return rows.select("id", _joined(F.col("language_facet"), "language_facet"))
@@ -223,12 +221,27 @@ def catalogue_music_codes(t: Tables):
 @query(
     "semantic_records",
     f"""WITH {_P} SELECT {_ID}, 'The ' || {_TITLE} AS title, upper(thing[1]) || thing[2:] || ', .' || brand || ', ' || yr || '-' AS creator,
-     'x; y' AS language, CASE p_type WHEN 'STANDARD' THEN 'Book' WHEN 'ECONOMY' THEN 'Serial' WHEN 'MEDIUM' THEN 'Musical Recording'
-      WHEN 'LARGE' THEN 'Map or Globe' WHEN 'SMALL' THEN 'Musical Score' ELSE 'Unknown' END AS format FROM p""",
+     replace(language_facet, '|', '; ') AS language, CASE p_type WHEN 'STANDARD' THEN 'Book' WHEN 'ECONOMY' THEN 'Serial' WHEN 'MEDIUM' THEN 'Musical Recording'
+      WHEN 'LARGE' THEN 'Map or Globe' WHEN 'SMALL' THEN 'Musical Score' ELSE 'Unknown' END AS format FROM p
+     JOIN ({_LANGUAGES}) AS l ON l.id = 'p' || k""",
 )
 def semantic_records(t: Tables):
-    fields = cat.index_fields(bind.marc_records(t.part)).withColumn("language_facet", F.array(F.lit("x"), F.lit("y")))
-    return cat.semantic_record(fields)
+    return cat.semantic_record(cat.catalogue_index(bind.marc_records(t.part), _languages(t), _classes(t)))
+
+
+@query(
+    "catalogue_index",
+    f"""WITH {_P} SELECT {_ID}, 36 AS n_fields, 'The ' || {_TITLE} AS title_display, language_facet,
+     coalesce(c.label, {_pick('p_size', 'ABCPQ')}) AS lc_1letter_facet, lower({_TITLE}) AS title_sort FROM p
+     JOIN ({_LANGUAGES}) AS l ON l.id = 'p' || k LEFT JOIN {_CLASSES} ON c.key = {_pick('p_size', 'ABCPQ')}""",
+)
+def catalogue_index(t: Tables):
+    """All fields of a record in one row."""
+    rows = cat.catalogue_index(bind.marc_records(t.part), _languages(t), _classes(t))
+    return rows.select(
+        "id", F.lit(len(rows.columns)).alias("n_fields"), _joined(F.col("title_display"), "title_display"),
+        _joined(F.col("language_facet"), "language_facet"), "lc_1letter_facet", "title_sort",
+    )
 
 
 @query(

@@ -82,6 +82,21 @@ def facet_price_range(t: Tables):
     return fc.facet_range(t.orders, "o_totalprice", 100000, 420000, 30000, other=["before", "after"])
 
 
+@query(
+    "facet_discount_range",
+    """WITH k AS (SELECT unnest(range(0, 12)) AS k),
+    b AS (SELECT CAST(floor(round(l_discount * 100, 0)) AS BIGINT) AS k, l_discount FROM lineitem),
+    n AS (SELECT k, count(*) AS n FROM b WHERE k < 12 GROUP BY k)
+    SELECT 'range' AS bucket, CAST(CAST(k.k AS DECIMAL(18, 2)) / 100 AS DOUBLE) AS lower, CAST(coalesce(n, 0) AS BIGINT) AS n FROM k LEFT JOIN n USING (k)
+    UNION ALL SELECT 'before', NULL, CAST(count(*) FILTER (WHERE k < 0) AS BIGINT) FROM b
+    UNION ALL SELECT 'between', NULL, CAST(count(*) FILTER (WHERE k BETWEEN 0 AND 11) AS BIGINT) FROM b
+    UNION ALL SELECT 'after', NULL, CAST(count(*) FILTER (WHERE k > 11) AS BIGINT) FROM b""",
+)
+def facet_discount_range(t: Tables):
+    """Hundredths as buckets, empty ones too, and all rows beside them."""
+    return fc.facet_range(t.lineitem, "l_discount", 0, 0.12, 0.01, other=["all"], mincount=0)
+
+
 @query(
     "facet_value_range",
     """SELECT 'range' AS bucket, floor(value / 5) * 5 AS lower, CAST(count(*) AS BIGINT) AS n FROM events WHERE value >= 0 AND value < 100 GROUP BY 2""",

@@ -323,7 +323,7 @@ def field_names(t: Tables):
     f"""SELECT doc_id AS doc, 'doc_id' AS field, CAST(doc_id AS VARCHAR) AS value FROM documents
     UNION ALL SELECT doc_id, 'lang', lang FROM documents
     UNION ALL SELECT doc_id, 'long', 'yes' FROM documents WHERE n_chars > 1000
-    UNION ALL SELECT doc_id, 'words', w FROM (SELECT doc_id, unnest({tokens_sql('string_split(text, chr(10))[1]')}) AS w FROM documents)""",
+    UNION ALL SELECT doc_id, 'words', w FROM (SELECT doc_id, unnest({tokens_sql('text')}) AS w FROM documents)""",
 )
 def export_long(t: Tables):
     from broadsheet.operators.analysis import tokenize
@@ -332,7 +332,7 @@ def export_long(t: Tables):
         "doc_id",
         "lang",
         F.when(F.col("n_chars") > 1000, "yes").alias("long"),
-        tokenize(F.substring_index("text", "\n", 1)).alias("words"),
+        tokenize(F.col("text")).alias("words"),
         F.lit(1.5).alias("score"),
     )
     return records.export_long(docs, "doc_id")

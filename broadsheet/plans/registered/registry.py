@@ -7,12 +7,6 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.session import spread
-
-# Tables whose rows take long to work on (texts, and parts as catalogue records): their scans
-# are widened when they have fewer splits than cores.
-_WIDE = {"documents", "pages", "part"}
-
 
 class Tables:
     """The given tables by name, read when first asked for."""
@@ -24,8 +18,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        df = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
-        return spread(df) if name in _WIDE else df
+        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 
 
 @dataclass(frozen=True)

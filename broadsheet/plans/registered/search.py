@@ -268,7 +268,7 @@ def near_a_point(t: Tables):
 
 @query(
     "natural_order_keys",
-    "SELECT p_partkey, 'Brand#' || lpad(string_split(p_brand, '#')[2], 24, '0') AS sort_key FROM part",
+    "SELECT p_partkey, 'Brand#' || lpad(length(ltrim(string_split(p_brand, '#')[2], '0'))::VARCHAR, 10, '0') || ltrim(string_split(p_brand, '#')[2], '0') AS sort_key FROM part",
 )
 def natural_order_keys(t: Tables):
     return t.part.select("p_partkey", natural_key(F.col("p_brand")).alias("sort_key"))

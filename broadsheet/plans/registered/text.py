@@ -73,9 +73,9 @@ def stopwords_removed_by_language(t: Tables):
     counts = docs.select("lang", F.explode(analysis.tokenize(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
     stop = counts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= 20).select("lang", "word")
-    # Removing whole (lang, word) groups equals removing their tokens, at a fraction of the rows.
-    counted = counts.select("lang", F.col("word").alias("term"), "n")
-    return analysis.remove_stopwords_join(counted, stop)
+    tokens = docs.select("lang", F.explode(analysis.tokenize(F.col("text"))).alias("term"))
+    left = analysis.remove_stopwords_join(tokens, stop)
+    return left.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 _SYN_REPLACE = {"the": ["ye"], "und": ["and", "plus"]}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # UTC keeps every parsed date an absolute instant; the AQE switches let Spark choose
 # partition counts, split skewed join partitions and pick broadcast joins by measured size.
@@ -14,6 +14,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Texts take long for their size, so splits are small and small files are not packed tightly.
+    "spark.sql.files.maxPartitionBytes": "33554432",
+    "spark.sql.files.openCostInBytes": "4194304",
 }
 
 
@@ -32,20 +35,12 @@ def build_session(app_name: str = "broadsheet", master: str | None = None, **con
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for a job's files, under the cluster's ``spark.checkpoint.dir``.
 
-    A local folder is used only where that setting is absent, i.e. in local tests.
+    Only a local master may do without that setting; on a cluster a folder of one machine
+    would hide the files from the others.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        return tempfile.mkdtemp(prefix=f"broadsheet-{name}-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="broadsheet-")
     return f"{root.rstrip('/')}/broadsheet-{name}-{os.urandom(8).hex()}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A table stored as a single row group is one task however many cores there are. Tables
-    that already have enough splits, as any large one does, are returned untouched, so no
-    shuffle is added to them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -10,11 +10,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def read_issue_xml(spark: SparkSession, prefix: str, suffix: str = "") -> DataFrame:
     """Every document at ``prefix/<domid><suffix>`` as (domid, xml).
 
-    The files are listed and packed into tasks by Spark; nothing is fetched row by row.
+    The files are listed and packed into tasks by Spark; nothing is fetched row by row. A file
+    declared as Latin-1 or ASCII is read so. Any other file must hold UTF-8; one that doesn't
+    gets a NULL, which extraction reports as broken XML.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(prefix)
     domid = F.regexp_extract("path", "([^/]+)" + re.escape(suffix) + "$", 1)
-    return files.select(domid.alias("domid"), F.decode("content", "UTF-8").alias("xml"))
+    start = F.decode(F.substring("content", 1, 200), "ISO-8859-1")
+    declared = F.upper(F.regexp_extract(start, r"""^\s*<\?xml[^>]*?encoding\s*=\s*["']([\w.:-]+)["']""", 1))
+    text = F.col("content").cast("string")
+    xml = F.when(declared.isin("ISO-8859-1", "LATIN1", "LATIN-1", "US-ASCII", "ASCII"), F.decode("content", "ISO-8859-1")).when(
+        F.is_valid_utf8(text), text
+    )
+    return files.select(domid.alias("domid"), xml.alias("xml"))
 
 
 def read_issue_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -19,8 +19,7 @@ def assemble_marc(rows: DataFrame) -> DataFrame:
     i.e. those without an id, without a 001 field or with a tag that is not three characters,
     are left out. The exchange format limits a record to 99,999 bytes, which bounds the groups.
     """
-    # One shuffle by record; both groupings below and the check keep that placement.
-    placed = rows.where(F.col("record_id").isNotNull()).repartition("record_id")
+    placed = rows.where(F.col("record_id").isNotNull())
     item = F.struct("field_no", "sub_no", "code", "value")
     fields = (
         placed.groupBy("record_id", "leader", "field_no", "tag", "ind1", "ind2", "data")

@@ -138,3 +138,18 @@ def test_assembly_leaves_out_malformed_records(spark):
     (r,) = assemble_marc(spark.createDataFrame(rows, cols)).collect()
     assert r.record_id == "a" and [f.tag for f in r.fields] == ["001", "245"]
     assert [(s.code, s.value) for s in r.fields[1].subfields] == [("a", "one"), ("b", "two")]
+
+
+def test_long_dictionary_keys_and_records_without_codes(spark):
+    classes = spark.createDataFrame([("M", "music"), ("MLCME", "minor level")], "key string, label string")
+    numbers = spark.createDataFrame([("MLCME 12",), ("MLC",)], "n string")
+    got = {r.n: r.class_label for r in cat.class_label(numbers, "n", classes).collect()}
+    assert got == {"MLCME 12": "minor level", "MLC": "music"}
+    langs = spark.createDataFrame([("eng", "English")], "key string, label string")
+    assert cat.language_facet(record(spark, field("041", "a=xxx")), langs).first().language_facet == []
+
+
+def test_medium_contains_the_words(spark):
+    for medium, want in (("[electronic resource] :", "Electronic"), ("text", "Book")):
+        df = record(spark, field("245", f"h={medium}"))
+        assert df.select(cat.detailed_format().alias("f")).first().f == want

@@ -217,3 +217,33 @@ def test_lookup_and_word_lists(spark, tmp_path):
     assert lookup.inline_words(words) == ("ja", "olen", "olla")
     with pytest.raises(ValueError):
         lookup.inline_words(words, limit=2)
+
+
+def test_literal_sections_and_numeric_references_keep_their_text(spark):
+    xml = (
+        "<issue><id>I&lt;1</id><dw>M&#x3c;</dw><newspaperID>N</newspaperID><page><article><id>a&lt;1</id><ti>T</ti>"
+        '<ocr relevant="&#062;no">1</ocr><text><![CDATA[a < b & c > d]]> &#060;e&#0062; <![CDATA[f]]></text></article></page></issue>'
+    )
+    good = manifest.accepted(manifest.parse_manifest(lines_of(spark, row("1"))))
+    (r,) = extract.extract_articles(good, issue_frame(spark, d1=xml)).collect()
+    assert r.content == "a < b & c > d <e> f"
+    assert (r.article_id_s, r.article_ocr_relevant_s, r.issue_id_s, r.issue_day_of_week_s) == ("a<1", ">no", "I<1", "M<")
+    unclosed = xml.replace("]]></text>", "</text>")
+    assert extract.parse_issues(issue_frame(spark, d1=unclosed)).first().status == extract.BAD_XML
+
+
+def test_issue_files_in_other_encodings(spark, tmp_path):
+    from broadsheet.sources.issues import read_issue_xml
+
+    body = "<issue><id>é</id><page><article><id>a</id><text>à</text></article></page></issue>"
+    (tmp_path / "1.xml").write_bytes(body.encode())
+    (tmp_path / "2.xml").write_bytes(('<?xml version="1.0" encoding="ISO-8859-1"?>' + body).encode("latin-1"))
+    (tmp_path / "3.xml").write_bytes(body.encode("latin-1"))
+    parsed = {r.domid: (r.status, r.issue_id) for r in extract.parse_issues(read_issue_xml(spark, str(tmp_path), ".xml")).collect()}
+    assert parsed == {"1": (extract.PARSED, "é"), "2": (extract.PARSED, "é"), "3": (extract.BAD_XML, None)}
+
+
+def test_long_digit_runs_keep_their_order(spark):
+    one, two = "a" + "1" * 25, "a" + "1" * 24 + "2"
+    df = spark.createDataFrame([(two,), ("a" + "9" * 24,), (one,)], "n string")
+    assert [r.n for r in df.orderBy(natural_key(F.col("n"))).collect()] == ["a" + "9" * 24, one, two]

@@ -186,3 +186,12 @@ def test_bounding_box_wraps_and_poles(spark):
     assert kept(0.0, -179.95, 50.0) == [(0.0, 179.9), (0.0, -179.9)]
     assert kept(89.95, -100.0) == [(89.99, 10.0)]
     assert kept(0.0, 170.0) == [(0.0, 170.0)]
+
+
+def test_word_breaks_look_at_every_term(spark):
+    from broadsheet.operators.spelling import word_breaks
+
+    df = spark.createDataFrame([("elevenjoined tail end",)], "t string")
+    terms = [f"w{i}" for i in range(10)] + ["eleven", "joined", "tailend"]
+    got = {(r.kind, r.query, r.suggestion) for r in word_breaks(df, "t", terms).collect()}
+    assert got == {("join", "eleven joined", "elevenjoined"), ("split", "tailend", "tail end")}

@@ -145,3 +145,30 @@ def test_activity(spark):
 
 def test_manifest_columns_are_the_file_header():
     assert ",".join(f'"{c}"' for c in MANIFEST_COLUMNS) == HEADER
+
+
+def test_ranges_with_decimal_gaps_and_rows_beside_them(spark):
+    df = spark.createDataFrame([(0.3,), (0.1,), (0.7,), (-1.0,), (2.0,), (None,)], "v double")
+    got = {(r.bucket, r.lower): r.n for r in fc.facet_range(df, "v", 0, 1, 0.1, ["all"], mincount=0).collect()}
+    assert {k[1]: n for k, n in got.items() if k[0] == "range" and n} == {0.1: 1, 0.3: 1, 0.7: 1}
+    assert len([k for k in got if k[0] == "range"]) == 10
+    assert (got["before", None], got["between", None], got["after", None]) == (1, 3, 1)
+    assert {r.bucket for r in fc.facet_range(df, "v", 0, 1, 0.1, ["none", "all"]).collect()} == {"range"}
+    with pytest.raises(ValueError):
+        fc.facet_range(df, "v", 0, 1, 0.1, ["beyond"])
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from broadsheet.session import shared_dir
+
+    class Conf(dict):
+        pass
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError):
+        shared_dir(Cluster(), "x")
+    Cluster.conf["spark.checkpoint.dir"] = "hdfs://shared"
+    assert shared_dir(Cluster(), "x").startswith("hdfs://shared/broadsheet-x-")
