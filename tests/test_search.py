@@ -132,7 +132,7 @@ def test_more_like_this_excludes_self_and_ranks(spark):
     assert got == {(0, 1): 2, (0, 2): 1, (4, 1): 5}
 
 
-def test_more_like_this_beyond_the_broadcast_check(spark, monkeypatch):
+def test_more_like_this_joined_either_way(spark):
     texts = ["apple apple pear", "apple pear pear", "apple apple", "kiwi kiwi"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
 
@@ -140,8 +140,12 @@ def test_more_like_this_beyond_the_broadcast_check(spark, monkeypatch):
         return sorted(map(tuple, similar.more_like_this(df, [0], {"content": 1.0}, min_df=1).collect()))
 
     small = rows()
-    monkeypatch.setattr(similar, "BROADCAST_ROWS", 0)
-    assert small and rows() == small
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert small and rows() == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     with pytest.raises(ValueError):
         similar.more_like_this(df, list(range(1025)), {"content": 1.0})
 
