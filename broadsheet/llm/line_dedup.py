@@ -149,11 +149,14 @@ def _keys(lines: Lines, which: np.ndarray, distance: int, probe: bool) -> tuple[
 
 
 def _signatures(lines: Lines, which: np.ndarray) -> np.ndarray:
-    """For each line, which of 32 classes of characters occur an odd number of times, as bits."""
+    """For each line, which of 31 classes of characters occur an odd number of times, as bits.
+
+    The sign stays clear, as Spark counts the bits of an integer widened to 64.
+    """
     out = np.zeros(len(which), np.uint32)
     size = lines.size[which]
     total = np.zeros(len(lines.codes) + 1, np.uint32)
-    bit = np.uint32(1) << ((lines.codes * np.uint32(2654435761)) >> np.uint32(27))
+    bit = np.uint32(1) << ((lines.codes * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(31)
     np.bitwise_xor.accumulate(bit, out=total[1:])
     out[:] = total[lines.start[which] + size] ^ total[lines.start[which]]
     return out.view(np.int32)
@@ -363,7 +366,7 @@ def dedup_lines(
     base = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
         F.col(f"`{text}`").alias("text"),
-        F.struct(F.lit(True).alias("row"), *[F.col(f"`{c}`") for c in keep]).alias("rest"),
+        F.struct(F.lit(True).alias("__own"), *[F.col(f"`{c}`") for c in keep]).alias("rest"),
     )
     gone = (
         repeated_lines(base.drop("rest"), distance)
