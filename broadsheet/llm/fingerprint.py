@@ -61,13 +61,14 @@ def fingerprint(text: Column) -> Column:
     full = lambda x: x.bitwiseAND(F.lit(_REST)) != F.lit(_REST)
 
     def of_bins(least: Column) -> Column:
-        # Low bits of each full bin under its number, to choose among for an empty bin.
+        # The first full bin in the empty bin's order of all bins. Its value is hashed with the empty
+        # bin's number, so that many copies of one value don't agree or differ all at once.
         def from_another(b: Column, donors: Column) -> Column:
-            drawn = F.transform(
-                donors,
-                lambda x: F.xxhash64(b, _bin(x)).bitwiseAND(F.lit(~_NIBBLE)).bitwiseOR(x.bitwiseAND(F.lit(_NIBBLE))),
+            order = F.transform(
+                donors, lambda x, i: F.xxhash64(b, _bin(x)).bitwiseAND(F.lit(~(BINS - 1))).bitwiseOR(i.cast("bigint"))
             )
-            return F.array_min(drawn).bitwiseAND(F.lit(_NIBBLE))
+            chosen = F.get(donors, F.array_min(order).bitwiseAND(F.lit(BINS - 1)).cast("int"))
+            return F.xxhash64(b, chosen).bitwiseAND(F.lit(_NIBBLE))
 
         low = let(
             F.filter(least, full),
