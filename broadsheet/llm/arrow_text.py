@@ -12,8 +12,8 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20  # of text worked on at once; one longer text is a slice of its own
-HASH_BYTES = 1 << 20  # of text hashed at once, cut at white space
+SLICE_BYTES = 1 << 20  # of text worked on at once; one longer text is a slice of its own
+HASH_BYTES = 1 << 18  # of text hashed at once, cut at white space
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -32,7 +32,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self._up) < n:
-            n = max(n, 1 << 16)
+            n = max(n, 1 << 12)
             step = lambda x: np.concatenate(([_U(1)], np.full(n - 1, x, np.uint64))).cumprod(dtype=np.uint64)
             self._up, self._down = step(self.base), step(self.inverse)
         return self._up[:n], self._down[:n]

@@ -28,7 +28,7 @@ from broadsheet.llm.arrow_text import bounds, gathered, piece_hashes, slices
 
 _NONE = np.int64(1) << 62
 _LOCKSTEP = 64  # bytes of the longest piece that is merged in lockstep
-_CACHED = 500_000  # distinct pieces whose ids a Python worker remembers
+_CACHED = 300_000  # distinct pieces whose ids a Python worker remembers
 
 # White space of the split pattern, and its contractions.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -306,51 +306,77 @@ def _merges(key: str, ranks: dict[bytes, int]) -> Merges:
     return _READY[key]
 
 
-def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with a column of the text's token ids (array<int>); it replaces a column of that name."""
+class Decoder:
+    """Bytes of token ids by table lookup."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_rank = {rank: token for token, rank in ranks.items()}
+        table = [by_rank.get(i, b"") for i in range(max(by_rank) + 2)]  # the last: any id that is not known
+        self.lengths = np.array([len(t) for t in table], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.raw = np.frombuffer(b"".join(table), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """One binary value for each stretch of ids between two offsets."""
+        last = len(self.lengths) - 1
+        ids = np.where((ids < 0) | (ids >= last), last, ids)
+        data = gathered(self.raw, self.begins[ids], self.lengths[ids])
+        ends = np.concatenate(([0], np.cumsum(self.lengths[ids])))[offsets].astype(np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _carried(df: DataFrame, column: str, *made: str) -> tuple[DataFrame, list[str], str]:
+    """A column beside all others in one, those that are made anew left out."""
+    rest = [c for c in df.columns if c.lower() not in {m.lower() for m in made}]
+    carried = df.select(F.col(f"`{column}`").alias("__in"), F.struct(F.lit(0).alias("__own"), *[F.col(f"`{c}`") for c in rest]).alias("__row"))
+    return carried, rest, carried.schema["__row"].dataType.simpleString()
+
+
+def _encoded(docs: DataFrame, ranks_path: str, text: str, ids: str, decoded: str | None) -> DataFrame:
     ranks, key = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path)), uuid.uuid4().hex
-    rest = [c for c in docs.columns if c.lower() != ids.lower()]
-    carried = docs.select(F.col(f"`{text}`").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"))
+    carried, rest, kind = _carried(docs, text, ids, *([decoded] if decoded else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = _merges(key, ranks.value)
+        decoder = Decoder(ranks.value) if decoded else None
         for batch in batches:
-            for part in slices(batch, "__text"):
-                values, offsets = merges.encode(part.column("__text"))
-                found = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("__row"), found], ["__row", "__ids"])
+            for part in slices(batch, "__in"):
+                values, offsets = merges.encode(part.column("__in"))
+                found = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))]
+                if decoder:
+                    found.append(decoder.decode(values, offsets))
+                yield pa.RecordBatch.from_arrays([part.column("__row"), *found], ["__row", "__ids", "__decoded"][: 1 + len(found)])
+
+    out = carried.mapInArrow(run, f"__row {kind}, __ids array<int>" + (", __decoded binary" if decoded else ""))
+    back = [F.col("__row").getField(c).alias(c) for c in rest]
+    return out.select(*back, F.col("__ids").alias(ids), *([F.col("__decoded").alias(decoded)] if decoded else []))
+
+
+def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``docs`` with a column of the text's token ids (array<int>); it replaces a column of that name."""
+    return _encoded(docs, ranks_path, text, ids, None)
+
 
-    kind = carried.schema["__row"].dataType.simpleString()
-    out = carried.mapInArrow(run, f"__row {kind}, __ids array<int>")
-    return out.select(*[F.col("__row").getField(c).alias(c) for c in rest], F.col("__ids").alias(ids))
+def round_trip(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the text's token ids and, in the same pass, the bytes that the ids decode to."""
+    return _encoded(docs, ranks_path, text, ids, decoded)
 
 
 def decode(tokens: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``tokens`` with the bytes that the ids stand for in place of the ids."""
     ranks = tokens.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    rest = [c for c in tokens.columns if c.lower() not in (ids.lower(), decoded.lower())]
-    carried = tokens.select(F.col(f"`{ids}`").alias("__ids"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"))
+    carried, rest, kind = _carried(tokens, ids, ids, decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_rank = {rank: token for token, rank in ranks.value.items()}
-        table = [by_rank.get(i, b"") for i in range(max(by_rank) + 2)]
-        lengths = np.array([len(t) for t in table], np.int64)
-        begins = np.cumsum(lengths) - lengths
-        raw = np.frombuffer(b"".join(table), np.uint8)
+        decoder = Decoder(ranks.value)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                lists = part.column("__ids")
+                lists = part.column("__in")
                 sizes = np.array(lists.value_lengths().fill_null(0), np.int64)
                 flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-                flat = np.where((flat < 0) | (flat >= len(table) - 1), len(table) - 1, flat)
-                bytes_ = gathered(raw, begins[flat], lengths[flat])
-                ends = np.concatenate(([0], np.cumsum(lengths[flat])))[np.concatenate(([0], np.cumsum(sizes)))]
-                found = pa.Array.from_buffers(
-                    pa.large_binary(), part.num_rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(bytes_)]
-                ).cast(pa.binary())
+                found = decoder.decode(flat, np.concatenate(([0], np.cumsum(sizes))))
                 yield pa.RecordBatch.from_arrays([part.column("__row"), found], ["__row", "__decoded"])
 
-    kind = carried.schema["__row"].dataType.simpleString()
     out = carried.mapInArrow(run, f"__row {kind}, __decoded binary")
     return out.select(*[F.col("__row").getField(c).alias(c) for c in rest], F.col("__decoded").alias(decoded))

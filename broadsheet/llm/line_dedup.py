@@ -38,7 +38,7 @@ from broadsheet.llm.work import stored
 DISTANCE = 1
 EXACT_CHARS = 20
 NEAR_CHARS = 40
-PAIR_CHARS = 1 << 21  # code points of the pairs that are verified side by side
+PAIR_CHARS = 1 << 20  # code points of the pairs that are verified side by side
 
 _U = np.uint64
 _FIRST, _SECOND = Powers(0xAF251AF3B0F025B5), Powers(0xB564EF22EC7AECE5)
@@ -83,7 +83,7 @@ class Lines:
         out[order] = self.hashes(which[order], _FIRST).view(np.int64)
         return out
 
-    def parts(self, which: np.ndarray, limit: int = 1 << 20):
+    def parts(self, which: np.ndarray, limit: int = 1 << 18):
         """Ordered lines in pieces: their places in ``which``, the codes they span, their starts."""
         at = 0
         while at < len(which):

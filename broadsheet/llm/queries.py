@@ -86,16 +86,12 @@ FROM scored QUALIFY rank <= 10
 
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of each text by the rank file, and the bytes that they decode to."""
-    ranks = public_tokenizers.path(BYTE_BPE)
-    encoded = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), ranks).drop("text")
-    told = encoded.select(
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizers.path(BYTE_BPE)).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        "ids",
-    )
-    return bpe.decode(told, ranks).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256")
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -31,8 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+# Texts are long: batches to Python workers are limited by bytes, so that these stay small.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors, once per application."""
+    """Send this package's sources to the executors, once per application, and size their batches."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     context = spark.sparkContext
     package = Path(__file__).resolve().parent.parent
     if context.applicationId in _SHIPPED or not package.is_dir():

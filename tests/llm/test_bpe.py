@@ -64,6 +64,8 @@ def test_cases(spark):
     assert rows[0]["ids"] == rows[1]["ids"] != [] and rows[2]["ids"] == rows[3]["ids"] == []
     back = bpe.decode(out, PATH).collect()
     assert {(r["text"] or "").encode() for r in back} == {bytes(r["decoded"]) for r in back}
+    both = {(r["text"] or "", tuple(r["ids"]), bytes(r["decoded"])) for r in bpe.round_trip(docs, PATH).collect()}
+    assert both == {(r["text"] or "", tuple(r["ids"]), (r["text"] or "").encode()) for r in rows}
     odd = spark.createDataFrame([([None, -4, 10**6],), (None,)], "ids array<int>")
     assert [bytes(r["decoded"]) for r in bpe.decode(odd, PATH).collect()] == [b"", b""]
     assert bpe.encode(docs.limit(0), PATH).count() == 0
