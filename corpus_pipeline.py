@@ -49,11 +49,9 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token ids of each text, and whether they decode to it."""
     ship(spark)
     ranks = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(docs.select(*COLUMNS), ranks).withColumn("n_tokens", F.size("ids").cast("long"))
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    back = bpe.decode(encoded.withColumn("kept_ids", F.col("ids")).withColumn("text_sha256", digest).drop("text"), ranks)
-    whole = F.sha2("decoded", 256) == F.col("text_sha256")
-    return back.select("doc_id", "lang", "source", "n_chars", "n_tokens", F.col("kept_ids").alias("ids"), whole.alias("round_trip"))
+    told = bpe.round_trip(docs.select(*COLUMNS), ranks)
+    whole = F.sha2("decoded", 256) == F.sha2(F.coalesce("text", F.lit("")), 256)
+    return told.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
 
 
 STAGES = [
