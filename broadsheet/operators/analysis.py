@@ -251,21 +251,59 @@ def exploded_vocabulary(df: DataFrame, fields: Sequence[str], analyser: Analyser
     return df.select(F.inline(F.concat(*[distinct(f) for f in fields])))
 
 
+def term_runs(tokens: Column) -> Column:
+    """(term, tf, positions) of each distinct term of an array of (pos, term), in order of terms.
+
+    The tokens are sorted and equal neighbours folded, all within the row.
+    """
+
+    def fold(s: Column) -> Column:
+        new = F.when(
+            F.size(s) > 0,
+            F.filter(
+                F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i)["term"] != F.get(s, i - 1)["term"])
+            ),
+        ).otherwise(F.array().cast("array<int>"))
+
+        def runs(starts: Column) -> Column:
+            def one(start: Column, k: Column) -> Column:
+                count = F.coalesce(F.get(starts, k + 1), F.size(s)) - start
+                return F.struct(
+                    F.get(s, start)["term"].alias("term"),
+                    count.cast("bigint").alias("tf"),
+                    F.transform(F.slice(s, start + 1, count), lambda x: x["pos"]).alias("positions"),
+                )
+
+            return F.transform(starts, one)
+
+        return let(new, runs)
+
+    return let(F.array_sort(F.transform(tokens, lambda t: F.struct(t["term"].alias("term"), t["pos"].alias("pos")))), fold)
+
+
 def postings(
     df: DataFrame, key: str, fields: Sequence[str], analyser: Analyser = PLAIN, lengths: bool = False
 ) -> DataFrame:
     """Inverted index rows (term, field, key, tf, positions), with ``dl`` if ``lengths``.
 
-    Grouped by (key, field, term), so no group exceeds one document however common the term.
+    A document's tokens lie in one row, so its postings are made there, without a shuffle.
     """
-    return (
-        exploded_terms(df, key, fields, analyser, lengths)
-        .groupBy(key, "field", "term", *(["dl"] if lengths else []))
-        .agg(
-            F.count(F.lit(1)).alias("tf"),
-            F.sort_array(F.collect_list("pos")).alias("positions"),
-        )
-    )
+
+    def placed(f: str) -> Column:
+        found = F.coalesce(analyser.terms(F.col(f)), F.array().cast("array<struct<pos:int,term:string>>"))
+
+        def rows(tokens: Column) -> Column:
+            length = [F.size(tokens).alias("dl")] if lengths else []
+            return F.transform(
+                term_runs(tokens),
+                lambda r: F.struct(
+                    F.lit(f).alias("field"), r["term"].alias("term"), *length, r["tf"].alias("tf"), r["positions"].alias("positions")
+                ),
+            )
+
+        return let(found, rows)
+
+    return df.select(F.col(key), F.inline(F.concat(*[placed(f) for f in fields])))
 
 
 def field_lengths(df: DataFrame, key: str, fields: Sequence[str], analyser: Analyser = PLAIN) -> DataFrame:

@@ -193,9 +193,12 @@ def search_postings(
     weights: Mapping[str, float],
     key: str = "id",
     mm: float | int = 1.0,
+    statistics: DataFrame | None = None,
 ) -> DataFrame:
     """The same ranking from a stored index (``postings`` and ``field_lengths``).
 
+    ``statistics`` (field, n, avg_dl), as an index stores them, spares the scan of all lengths.
+
     The term filter reaches the postings scan, so only the query's posting lists are read.
     Postings that carry ``dl``, as stored ones do, need no join with the lengths by key.
     """
@@ -204,9 +207,9 @@ def search_postings(
     wanted = postings.where(F.col("term").isin(*terms) & F.col("field").isin(*fields)).select(
         key, "field", "term", "tf", *(["dl"] if "dl" in postings.columns else [])
     )
-    per_field = lengths.where(F.col("field").isin(*fields)).groupBy("field").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl")
-    )
+    if statistics is None:
+        statistics = field_statistics(lengths)
+    per_field = statistics.where(F.col("field").isin(*fields))
     per_term = wanted.groupBy("field", "term").agg(F.count(F.lit(1)).alias("doc_freq"))
     stats = per_term.join(per_field, "field")
     weight = F.lit(0.0)
@@ -225,10 +228,17 @@ def search_postings(
     )
 
 
+def field_statistics(lengths: DataFrame) -> DataFrame:
+    """(field, n, avg_dl): one row per field."""
+    return lengths.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl"))
+
+
 def write_index(df: DataFrame, path: str, key: str, fields: Sequence[str], analyser: Analyser = PLAIN, buckets: int = 64) -> None:
-    """Store postings sorted by term in hash buckets, and field lengths, under ``path``.
+    """Store postings, field lengths, statistics and vocabulary under ``path``.
 
-    A bucket with a very common term is split over several files by the rebalance.
+    Postings are sorted by term in hash buckets; a bucket with a very common term is split over
+    several files by the rebalance. The vocabulary (field, term, n) is sorted, so that a prefix
+    reads few row groups.
     """
     from broadsheet.operators.analysis import field_lengths, postings
 
@@ -236,6 +246,19 @@ def write_index(df: DataFrame, path: str, key: str, fields: Sequence[str], analy
     rows = postings(df, key, fields, analyser, lengths=True).select("*", bucket).hint("rebalance", "bucket")
     rows.sortWithinPartitions("bucket", "term", "field").write.partitionBy("bucket").parquet(f"{path}/postings")
     field_lengths(df, key, fields, analyser).write.parquet(f"{path}/lengths")
+    field_statistics(df.sparkSession.read.parquet(f"{path}/lengths")).coalesce(1).write.parquet(f"{path}/statistics")
+    listed = df.sparkSession.read.parquet(f"{path}/postings").groupBy("field", "term").agg(F.count(F.lit(1)).alias("n"))
+    listed.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.parquet(f"{path}/vocabulary")
+
+
+def read_statistics(spark, path: str) -> DataFrame:
+    """(field, n, avg_dl) of a stored index."""
+    return spark.read.parquet(f"{path}/statistics")
+
+
+def read_vocabulary(spark, path: str) -> DataFrame:
+    """(field, term, n) of a stored index."""
+    return spark.read.parquet(f"{path}/vocabulary")
 
 
 def read_index(spark, path: str, terms: Sequence[str] | None = None, buckets: int = 64) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from broadsheet.operators.analysis import PLAIN, Analyser, exploded_vocabulary
+from broadsheet.operators.analysis import PLAIN, Analyser, exploded_vocabulary, term_runs
 
 
 def document_frequencies(df: DataFrame, field: str, analyser: Analyser = PLAIN, prefix: str = "") -> DataFrame:
@@ -28,13 +28,16 @@ def terms(df: DataFrame, field: str, prefix: str = "", limit: int = 10, analyser
 
 def term_vectors(df: DataFrame, key: str, field: str, analyser: Analyser = PLAIN) -> DataFrame:
     """(key, terms): each row's terms with their frequency, ordered by term."""
-    return (
-        df.select(F.col(key), F.explode(analyser.words(F.col(field))).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("term", "tf"))).alias("terms"))
+    runs = F.transform(
+        term_runs(analyser.terms(F.col(field))), lambda r: F.struct(r["term"].alias("term"), r["tf"].alias("tf"))
     )
+    return df.select(F.col(key), runs.alias("terms")).where(F.size("terms") > 0)
+
+
+def terms_of_index(vocabulary: DataFrame, field: str, prefix: str = "", limit: int = 10) -> DataFrame:
+    """The completion list of a stored vocabulary; field and prefix reach the scan."""
+    found = vocabulary.where((F.col("field") == field) & F.col("term").startswith(prefix)).select("term", "n")
+    return found.orderBy(F.col("n").desc(), F.col("term").asc()).limit(limit)
 
 
 def _field_terms(df: DataFrame, fields: Sequence[str], analyser: Analyser) -> DataFrame:

@@ -11,14 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 class Tables:
     """The given tables by name, read when first asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, deal: int = 0):
+        """``deal``: deal rows out to so many partitions first, for files of one row group, which
+        no setting can split. Only timings on one machine want this."""
         self.spark = spark
+        self._deal = deal
         self._folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return df.repartition(self._deal) if self._deal and name in ("documents", "pages", "part") else df
 
 
 @dataclass(frozen=True)

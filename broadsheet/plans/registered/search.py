@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.text import natural_key, utc_format
 from broadsheet.operators import analysis, filters as flt, group, search as se, similar
+from broadsheet.operators.terms import terms_of_index
 from broadsheet.plans import bindings as bind, jobs
 from broadsheet.plans.registered.registry import Tables, query, tokens_sql
+from broadsheet.session import shared_dir
 
 _TITLE = "article_title_s"
 _WEIGHTS = {"content": 1.0, _TITLE: 2.5}
@@ -70,6 +72,30 @@ def search_stored_postings(t: Tables):
     return _shown(se.search_postings(rows, lengths, ["la", "que", "des", "un"], _WEIGHTS, mm=0.75))
 
 
+def written_index(t: Tables) -> str:
+    """An index of the articles in the shared folder; its path."""
+    path = shared_dir(t.spark, "index")
+    se.write_index(bind.articles(t.documents), path, "id", list(_WEIGHTS))
+    return path
+
+
+@query("search_written_index", f"WITH {_search_ctes(['la', 'que', 'des', 'un'], _WEIGHTS)} {_ranked('count(*) >= 3')}")
+def search_written_index(t: Tables):
+    """The ranking from an index on disk: the buckets of four terms and one row of statistics a field."""
+    path, terms = written_index(t), ["la", "que", "des", "un"]
+    rows, lengths = se.read_index(t.spark, path, terms)
+    return _shown(se.search_postings(rows, lengths, terms, _WEIGHTS, mm=0.75, statistics=se.read_statistics(t.spark, path)))
+
+
+@query(
+    "terms_written_index",
+    f"""WITH d AS (SELECT unnest(list_distinct({tokens_sql('text')})) AS term FROM documents)
+    SELECT term, CAST(count(*) AS BIGINT) AS n FROM d WHERE term LIKE 'th%' GROUP BY term ORDER BY n DESC, term LIMIT 20""",
+)
+def terms_written_index(t: Tables):
+    return terms_of_index(se.read_vocabulary(t.spark, written_index(t)), "content", "th", 20)
+
+
 _PHRASE = ["of", "the"]
 
 
