@@ -15,6 +15,9 @@ import pyarrow as pa
 SLICE_BYTES = 1 << 20  # of text worked on at once; one longer text is a slice of its own
 HASH_BYTES = 1 << 18  # of text hashed at once, cut at white space
 
+# Freed batches go back to the system, as several workers share an executor's memory.
+pa.set_memory_pool(pa.system_memory_pool())
+
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -28,7 +28,7 @@ from broadsheet.llm.arrow_text import bounds, gathered, piece_hashes, slices
 
 _NONE = np.int64(1) << 62
 _LOCKSTEP = 64  # bytes of the longest piece that is merged in lockstep
-_CACHED = 300_000  # distinct pieces whose ids a Python worker remembers
+_CACHED = 150_000  # distinct pieces whose ids a Python worker remembers
 
 # White space of the split pattern, and its contractions.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -340,7 +340,7 @@ def _encoded(docs: DataFrame, ranks_path: str, text: str, ids: str, decoded: str
         merges = _merges(key, ranks.value)
         decoder = Decoder(ranks.value) if decoded else None
         for batch in batches:
-            for part in slices(batch, "__in"):
+            for part in slices(batch, "__in", 1 << 19):
                 values, offsets = merges.encode(part.column("__in"))
                 found = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))]
                 if decoder:

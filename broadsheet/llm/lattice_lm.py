@@ -177,12 +177,27 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return both[0] | both[1] << 16
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about ``CHUNK_BYTES`` of text each."""
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(batch, "text", CHUNK_BYTES):
+            held.append(part)
+            size += len(bounds(part.column("text"))[0])
+            if size >= CHUNK_BYTES:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+    if size or held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield from table.to_batches()
+
+
 def chunks(docs: DataFrame) -> DataFrame:
     """Chunks of documents (doc_id, held_out, text) with their distinct words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", CHUNK_BYTES):
+        for part in _joined(batches):
+            if part.num_rows:
                 words = Words(part.column("text"), lower=True)
                 _, first, index, total = np.unique(
                     words.hashes(), return_index=True, return_inverse=True, return_counts=True

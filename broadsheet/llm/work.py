@@ -34,7 +34,7 @@ _SHIPPED: set[str] = set()
 # Texts are long: batches to Python workers are limited by bytes, so that these stay small.
 BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
