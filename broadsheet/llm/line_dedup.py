@@ -1,22 +1,30 @@
-"""Line deduplication: exact repeats, and near repeats by a segment-partition edit join.
+"""Line deduplication: exact repeats, and near repeats by segment and anchor joins.
 
-A line is removed where the same line, or one within ``DISTANCE`` edits of it, begins earlier:
-in a document with a smaller id, or further up in the same document. Lines are judged on the
-input. Lines under ``EXACT_CHARS`` code points stay; those under ``NEAR_CHARS`` are compared
-exactly only.
+A line is removed where the same line, or one near it, begins earlier: in a document with a
+smaller id, or further up in the same document. Near are lines within one edit for each
+``EDIT_CHARS`` code points of the shorter one, or within a number of edits that the caller
+gives. Lines are judged on the input. Lines under ``EXACT_CHARS`` code points stay; those under
+``NEAR_CHARS`` are compared exactly only.
 
 Exact: lines with equal 128-bit hashes are one line; its first place is a minimum, combined
-before the shuffle. Near, over first places only:
+before the shuffle. Near, over first places only, where the shorter line allows t edits:
 
-* an indexed line of length l is cut into ``DISTANCE + 1`` segments, of which one must occur
-  unchanged in any line within the distance;
-* a line probes the index of lengths l - DISTANCE to l, at those positions where the segment
+* up to t = ``SEGMENT_EDITS`` (and for a given number of edits) an indexed line of length l is
+  cut into t + 1 segments, of which one must occur unchanged in any line within the distance;
+* a line probes the index of lengths l - t to l, at those positions where the segment
   can stand if the edits left of it and right of it are counted (multi-match-aware selection);
 * a pair that meets must also differ in few bits of a signature of character parities, of which
   an edit changes two at most; this is a join condition, so unlike pairs of a frequent segment
   never leave the join;
-* the rest is verified by a bit-parallel automaton over the band of 2 * DISTANCE + 1 diagonals,
-  for many pairs side by side.
+* with more edits, where probes would grow with the cube of t, t edits leave a stretch of
+  (l - t) / (t + 1) code points unchanged. Both lines are anchored at the least hash of
+  ``GRAM`` code points in each window of that stretch's size, so they share an anchor; lines
+  meet within ranges of lengths only, and their lengths and places of the anchor must differ by
+  at most t, which is a join condition as well;
+* pairs are then held against counts of ``CLASSES`` classes of characters, of which an edit changes
+  two by one at most, before any text is fetched;
+* the rest is verified: by a bit-parallel automaton over the band of 2 * t + 1 diagonals for
+  many pairs side by side, or, for more edits, a bit-parallel column of a pair's whole line.
 
 Cases: a null text has no lines and stays null; an empty text is one empty line; a document
 with a null id keeps all lines and is nobody's source; rows that repeat an id and a text are
@@ -35,9 +43,13 @@ from pyspark.sql import DataFrame, functions as F
 from broadsheet.llm.arrow_text import Powers, bounds, gathered, mixed, range_hashes, slices
 from broadsheet.llm.work import stored
 
-DISTANCE = 1
 EXACT_CHARS = 20
 NEAR_CHARS = 40
+EDIT_CHARS = 40  # code points of the shorter line for each edit that is allowed
+SEGMENT_EDITS = 2  # up to so many edits lines meet by segments, else by anchors
+BAND_EDITS = 3  # up to so many edits pairs are verified side by side
+GRAM = 16  # code points of an anchor
+CLASSES = 32  # of characters, counted in each line
 PAIR_CHARS = 1 << 20  # code points of the pairs that are verified side by side
 
 _U = np.uint64
@@ -94,14 +106,30 @@ class Lines:
             at = to
 
 
+def _counts(lines: Lines, which: np.ndarray) -> pa.Array:
+    """How often each of ``CLASSES`` classes of characters occurs in each line, modulo 2**16, as bytes."""
+    kind = (((lines.codes * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(CLASSES)).astype(np.int64)
+    out = np.zeros((len(which), CLASSES), np.uint16)
+    size = lines.size[which]
+    for at in range(0, len(which), 256):
+        some = np.s_[at : at + 256]
+        owner = np.repeat(np.arange(len(size[some])), size[some])
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(size[some]) - size[some], size[some]) + lines.start[which[some]][owner]
+        found = np.bincount(owner * CLASSES + kind[place], minlength=len(size[some]) * CLASSES)
+        out[some] = found.reshape(-1, CLASSES).astype(np.uint16)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * CLASSES), len(which), [None, pa.py_buffer(out.tobytes())]).cast(pa.binary())
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, size, hash_1, hash_2) of all lines that are long enough."""
+    """(doc_id, line, size, hash_1, hash_2, counts) of all lines that are long enough; ``counts`` of those compared nearly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 lines = Lines(part.column("text"))
                 long = np.flatnonzero(lines.size >= EXACT_CHARS)
+                is_near = lines.size[long] >= NEAR_CHARS
+                near = long[is_near]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(pa.array(lines.text[long])),
@@ -109,11 +137,12 @@ def _lines(docs: DataFrame) -> DataFrame:
                         pa.array(lines.size[long].astype(np.int32)),
                         pa.array(lines.hashes(long, _FIRST).view(np.int64)),
                         pa.array(lines.hashes(long, _SECOND).view(np.int64)),
+                        _counts(lines, near).take(pa.array(np.cumsum(is_near) - 1, mask=~is_near)),
                     ],
-                    ["doc_id", "line", "size", "hash_1", "hash_2"],
+                    ["doc_id", "line", "size", "hash_1", "hash_2", "counts"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, line int, size int, hash_1 long, hash_2 long")
+    return docs.mapInArrow(run, "doc_id long, line int, size int, hash_1 long, hash_2 long, counts binary")
 
 
 def segments(size: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,20 +155,33 @@ def segments(size: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(length, 1) - length, length
 
 
-def _keys(lines: Lines, which: np.ndarray, distance: int, probe: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys, or probe keys, of lines: the line's place in ``which`` and the key."""
+def _groups(distance: int | None) -> list[tuple[int, int, int]]:
+    """Numbers of edits for which lines meet by segments, and the lengths of indexed lines for each, from and below."""
+    if distance is not None:
+        return [(distance, 0, 1 << 31)]
+    return [(t, t * EDIT_CHARS, (t + 1) * EDIT_CHARS) for t in range(1, SEGMENT_EDITS + 1)]
+
+
+def _keys(
+    lines: Lines, which: np.ndarray, distance: int, probe: bool, low_size: int = 0, high_size: int = 1 << 31
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys, or probe keys, of lines: the line's place in ``which`` and the key.
+
+    Indexed are lines of lengths from ``low_size`` and below ``high_size``.
+    """
     owners, keys = [], []
     for some, codes, start in lines.parts(which):
         size = lines.size[which[some]]
         for shorter in range(distance + 1) if probe else (0,):
             begin, length = segments(size - shorter, distance)
+            meant = (size - shorter >= low_size) & (size - shorter < high_size)
             for i in range(distance + 1):
                 left, right = i, distance - i  # edits that may lie on either side
                 for shift in range(-distance, distance + 1) if probe else (0,):
                     if probe and not (-left <= shift <= left and shorter - right <= shift <= shorter + right):
                         continue
                     at = begin[:, i] + shift
-                    fits = np.flatnonzero((at >= 0) & (at + length[:, i] <= size) & (length[:, i] > 0))
+                    fits = np.flatnonzero(meant & (at >= 0) & (at + length[:, i] <= size) & (length[:, i] > 0))
                     low = start[fits] + at[fits]
                     value = range_hashes(codes, low, low + length[fits, i], _FIRST)
                     tag = (size[fits] - shorter).astype(np.uint64) * _U(64) + _U(i)
@@ -176,27 +218,124 @@ def _first_lines(part: pa.RecordBatch) -> tuple[Lines, np.ndarray, np.ndarray]:
     return lines, which[same], row[same]
 
 
-def _segment_keys(docs: DataFrame, distance: int, probe: bool) -> DataFrame:
-    """(key, doc_id, line, signature) of the lines listed with each document."""
+def _alike(pairs: DataFrame, distance: int | None) -> DataFrame:
+    """Pairs whose counts of characters allow them to be within the distance."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, CLASSES) for c in ("a_counts", "b_counts"))
+            apart = np.abs((a - b).view(np.int16).astype(np.int64)).sum(1)  # never more than the true difference
+            shorter = np.minimum(batch.column("a_size").to_numpy(), batch.column("b_size").to_numpy())
+            limit = shorter // EDIT_CHARS if distance is None else distance
+            yield batch.select(names).filter(pa.array(apart <= 2 * limit))
+
+    names = ["a_doc", "a_line", "b_doc", "b_line", "a_hash", "b_hash"]
+    return pairs.mapInArrow(run, "a_doc long, a_line int, b_doc long, b_line int, a_hash long, b_hash long")
+
+
+def _segment_keys(docs: DataFrame, distance: int | None, probe: bool) -> DataFrame:
+    """(key, doc_id, line, signature, edits) of the lines listed with each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 lines, which, _ = _first_lines(part)
                 which = np.sort(which)
-                owner, key = _keys(lines, which, distance, probe)
+                signature = _signatures(lines, which)
+                for edits, low, high in _groups(distance):
+                    size = lines.size[which]
+                    some = np.flatnonzero((size >= low) & (size < high + (edits if probe else 0)))
+                    owner, key = _keys(lines, which[some], edits, probe, low, high)
+                    owner = some[owner]
+                    line = which[owner]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(key.view(np.int64)),
+                            part.column("doc_id").take(pa.array(lines.text[line])),
+                            pa.array(lines.number[line].astype(np.int32)),
+                            pa.array(signature[owner]),
+                            pa.array(np.full(len(line), edits, np.int32)),
+                        ],
+                        ["key", "doc_id", "line", "signature", "edits"],
+                    )
+
+    return docs.mapInArrow(run, "key long, doc_id long, line int, signature int, edits int")
+
+
+def _ranges(longest: int) -> np.ndarray:
+    """Where ranges of lengths begin, as multiples of ``EDIT_CHARS``; each is about a tenth longer than the last."""
+    out = [(SEGMENT_EDITS + 1) * EDIT_CHARS]
+    while out[-1] <= longest:
+        out.append(out[-1] + EDIT_CHARS * max(1, out[-1] // (10 * EDIT_CHARS)))
+    return np.array(out, np.int64)
+
+
+def _anchors(lines: Lines, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of lines, each once a line: the line's place in ``which``, the key, its first and its last place.
+
+    A line has those of its own range of lengths, and of the range below if a shorter line
+    near it may lie there.
+    """
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    ranges = _ranges(int(lines.size[which].max(initial=0)))
+    for some, codes, start in lines.parts(which, 1 << 16):
+        if len(codes) < GRAM:
+            continue
+        size = lines.size[which[some]]
+        at = np.arange(len(codes) - GRAM + 1)
+        grams = range_hashes(codes, at, at + GRAM, _FIRST)
+        own = np.searchsorted(ranges, size, "right") - 1
+        shortest = -(-size * EDIT_CHARS // (EDIT_CHARS + 1))  # of the lines that allow the edits to reach this length
+        below = np.searchsorted(ranges, shortest, "right") - 1
+        for r in np.unique(np.concatenate((own, below))).tolist():
+            if r < 0:
+                continue
+            edits = int(ranges[r]) // EDIT_CHARS
+            window = -(-(EDIT_CHARS - 1) * edits // (edits + 1)) - GRAM + 1
+            here = np.flatnonzero((own == r) | (below == r))
+            count = size[here] - (window + GRAM - 1) + 1
+            here, count = here[count > 0], count[count > 0]
+            owner = np.repeat(here, count)
+            first = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + start[owner]
+            view = np.lib.stride_tricks.sliding_window_view(grams, window)
+            for k in range(0, len(owner), 1 << 16):
+                low = first[k : k + (1 << 16)]
+                least = low + view[low].argmin(1)
+                new = np.ones(len(least), bool)
+                new[1:] = (least[1:] != least[:-1]) | (owner[k + 1 : k + len(least)] != owner[k : k + len(least) - 1])
+                who, least = owner[k : k + (1 << 16)][new], least[new]
+                out.append((some[who], mixed(grams[least] + mixed(np.full(len(least), r, np.uint64))), least - start[who]))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    owner, key, place = (np.concatenate(x) for x in zip(*out))
+    order = np.lexsort((place, key, owner))
+    owner, key, place = owner[order], key[order], place[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
+    low = np.flatnonzero(new)
+    return owner[low], key[low], place[low], place[np.append(low[1:], len(owner)) - 1]
+
+
+def _anchor_keys(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, line, size, low, high) of the longer ones of the lines listed with each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                lines, which, _ = _first_lines(part)
+                which = np.sort(which[lines.size[which] >= (SEGMENT_EDITS + 1) * EDIT_CHARS])
+                owner, key, low, high = _anchors(lines, which)
                 line = which[owner]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key.view(np.int64)),
                         part.column("doc_id").take(pa.array(lines.text[line])),
-                        pa.array(lines.number[line].astype(np.int32)),
-                        pa.array(_signatures(lines, which)[owner]),
+                        *[pa.array(x.astype(np.int32)) for x in (lines.number[line], lines.size[line], low, high)],
                     ],
-                    ["key", "doc_id", "line", "signature"],
+                    ["key", "doc_id", "line", "size", "low", "high"],
                 )
 
-    return docs.mapInArrow(run, "key long, doc_id long, line int, signature int")
+    return docs.mapInArrow(run, "key long, doc_id long, line int, size int, low int, high int")
 
 
 def banded_distance(a: list[np.ndarray], b: list[np.ndarray], limit: int) -> np.ndarray:
@@ -242,6 +381,39 @@ def banded_distance(a: list[np.ndarray], b: list[np.ndarray], limit: int) -> np.
     return out
 
 
+def long_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
+    """Edit distance of two code point arrays, ``limit + 1`` where it is exceeded."""
+    if abs(len(a) - len(b)) > limit:
+        return limit + 1
+    counts = np.bincount(a & 255, minlength=256) - np.bincount(b & 255, minlength=256)
+    if np.abs(counts).sum() > 2 * limit:  # an edit changes two counts by one at most
+        return limit + 1
+    for step in (1, -1):  # the same at the beginning, then at the end
+        a, b = a[::step], b[::step]
+        n = min(len(a), len(b))
+        other = np.flatnonzero(a[:n] != b[:n])
+        n = int(other[0]) if len(other) else n
+        a, b = a[n:][::step], b[n:][::step]
+    if not len(a) or not len(b):
+        return min(len(a) + len(b), limit + 1)
+    where: dict[int, int] = {}
+    for i, c in enumerate(a.tolist()):
+        where[c] = where.get(c, 0) | 1 << i
+    full, last, found = (1 << len(a)) - 1, len(a) - 1, len(a)
+    up, down = full, 0
+    for left, c in zip(range(len(b) - 1, -1, -1), b.tolist()):
+        same = where.get(c, 0)
+        steep = same | down
+        flat = ((same & up) + up ^ up | same) & full
+        more, less = down | full & ~(flat | up), up & flat
+        found += (more >> last & 1) - (less >> last & 1)
+        if found - left > limit:
+            return limit + 1
+        more, less = (more << 1 | 1) & full, less << 1 & full
+        up, down = less | full & ~(steep | more), more & steep
+    return min(found, limit + 1)
+
+
 def _with_text(pairs: DataFrame, docs: DataFrame, side: str, kept: list[str]) -> DataFrame:
     """``pairs`` with the text of the line at (``side``_doc, ``side``_line)."""
     listed = pairs.select(
@@ -273,10 +445,11 @@ def _with_text(pairs: DataFrame, docs: DataFrame, side: str, kept: list[str]) ->
     return joined.mapInArrow(run, f"{side}_doc long, {side}_line int, {kinds}{side}_codes binary")
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def near_lines(docs: DataFrame, firsts: DataFrame, distance: int | None = None) -> DataFrame:
     """Links between different lines: (a_doc, a_line, b_doc, b_line, distance), a the earlier.
 
-    ``docs``: (doc_id, text); ``firsts``: (doc_id, line, hash_1) of the lines to compare.
+    ``docs``: (doc_id, text); ``firsts``: (doc_id, line, hash_1, size, counts) of the lines to compare. Without
+    ``distance``, one edit for each ``EDIT_CHARS`` of the shorter line is allowed.
     """
     listed = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("line", "hash_1")).alias("wanted"))
     chosen = docs.join(listed, "doc_id")
@@ -286,20 +459,34 @@ def near_lines(docs: DataFrame, firsts: DataFrame, distance: int = DISTANCE) ->
         index.join(
             probe,
             (F.col("i.key") == F.col("p.key"))
-            & (F.bit_count(F.col("i.signature").bitwiseXOR(F.col("p.signature"))) <= 2 * distance)
+            & (F.bit_count(F.col("i.signature").bitwiseXOR(F.col("p.signature"))) <= 2 * F.col("i.edits"))
             & ((F.col("i.doc_id") != F.col("p.doc_id")) | (F.col("i.line") != F.col("p.line"))),
         )
         .select(F.least(place("i"), place("p")).alias("a"), F.greatest(place("i"), place("p")).alias("b"))
-        .distinct()
-        .select(
-            F.col("a.doc").alias("a_doc"), F.col("a.line").alias("a_line"),
-            F.col("b.doc").alias("b_doc"), F.col("b.line").alias("b_line"),
+    )
+    if distance is None:
+        anchors = _anchor_keys(chosen)
+        i, p = anchors.alias("i"), anchors.alias("p")
+        edits = F.floor(F.least("i.size", "p.size") / EDIT_CHARS)
+        pairs = pairs.union(
+            i.join(
+                p,
+                (F.col("i.key") == F.col("p.key"))
+                & (F.abs(F.col("i.size") - F.col("p.size")) <= edits)
+                & (F.col("i.low") <= F.col("p.high") + edits)
+                & (F.col("p.low") <= F.col("i.high") + edits)
+                & (place("i") < place("p")),
+            ).select(place("i").alias("a"), place("p").alias("b"))
         )
+    pairs = pairs.distinct().select(
+        F.col("a.doc").alias("a_doc"), F.col("a.line").alias("a_line"),
+        F.col("b.doc").alias("b_doc"), F.col("b.line").alias("b_line"),
     )
-    hashed = lambda x: firsts.select(
-        F.col("doc_id").alias(f"{x}_doc"), F.col("line").alias(f"{x}_line"), F.col("hash_1").alias(f"{x}_hash")
-    )
-    pairs = pairs.join(hashed("a"), ["a_doc", "a_line"]).join(hashed("b"), ["b_doc", "b_line"])
+    of = lambda x: firsts.select(
+        F.col("doc_id").alias(f"{x}_doc"), F.col("line").alias(f"{x}_line"), F.col("hash_1").alias(f"{x}_hash"),
+        F.col("size").alias(f"{x}_size"), F.col("counts").alias(f"{x}_counts"),
+    )
+    pairs = _alike(pairs.join(of("a"), ["a_doc", "a_line"]).join(of("b"), ["b_doc", "b_line"]), distance)
     pairs = stored(pairs, "line-pairs")
     one = _with_text(pairs, docs, "a", ["b_doc", "b_line", "b_hash"])
     both = _with_text(one, docs, "b", ["a_doc", "a_line", "a_codes"])
@@ -309,32 +496,41 @@ def near_lines(docs: DataFrame, firsts: DataFrame, distance: int = DISTANCE) ->
             a = [np.frombuffer(x, np.uint32) for x in batch.column("a_codes").to_pylist()]
             b = [np.frombuffer(x, np.uint32) for x in batch.column("b_codes").to_pylist()]
             found = np.zeros(len(a), np.int64)
-            order = np.argsort([len(x) for x in a], kind="stable").tolist()
-            at = 0
-            while at < len(order):
-                to = at + 1
-                while to < len(order) and (to + 1 - at) * (len(a[order[to]]) + 8) <= PAIR_CHARS:
-                    to += 1
-                some = order[at:to]
-                found[some] = banded_distance([a[i] for i in some], [b[i] for i in some], distance)
-                at = to
+            size = np.array([len(x) for x in a], np.int64)
+            shorter = np.minimum(size, np.array([len(x) for x in b], np.int64))
+            limit = shorter // EDIT_CHARS if distance is None else np.full(len(a), distance, np.int64)
+            for edits in np.unique(limit).tolist():
+                order = np.flatnonzero(limit == edits)
+                order = order[np.argsort(size[order], kind="stable")].tolist()
+                at = 0
+                while at < len(order) and edits > BAND_EDITS:
+                    found[order[at]] = long_distance(a[order[at]], b[order[at]], edits)
+                    at += 1
+                while at < len(order):
+                    to = at + 1
+                    while to < len(order) and (to + 1 - at) * (len(a[order[to]]) + 8) <= PAIR_CHARS:
+                        to += 1
+                    some = order[at:to]
+                    found[some] = banded_distance([a[i] for i in some], [b[i] for i in some], edits)
+                    at = to
             told = pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in ("a_doc", "a_line", "b_doc", "b_line")], pa.array(found.astype(np.int32))],
                 ["a_doc", "a_line", "b_doc", "b_line", "distance"],
             )
-            yield told.filter(pa.array(found <= distance))
+            yield told.filter(pa.array(found <= limit))
 
     return both.mapInArrow(run, "a_doc long, a_line int, b_doc long, b_line int, distance int")
 
 
-def repeated_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def repeated_lines(docs: DataFrame, distance: int | None = None) -> DataFrame:
     """Lines to remove: (doc_id, line, hash_1, source_doc, source_line, distance)."""
     lines = stored(_lines(docs.where("doc_id is not null")), "lines")
     classes = lines.groupBy("hash_1", "hash_2").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.max(F.struct("doc_id", "line")).alias("last"), F.first("size").alias("size")
+        F.min(F.struct("doc_id", "line")).alias("first"), F.max(F.struct("doc_id", "line")).alias("last"), F.first("size").alias("size"),
+        F.first("counts").alias("counts"),
     )
     classes = stored(classes, "line-classes")
-    firsts = classes.where(F.col("size") >= NEAR_CHARS).select("first.doc_id", "first.line", "hash_1")
+    firsts = classes.where(F.col("size") >= NEAR_CHARS).select("first.doc_id", "first.line", "hash_1", "size", "counts")
     near = stored(near_lines(docs, firsts, distance), "line-links")
     earliest = near.groupBy("b_doc", "b_line").agg(
         F.min(F.struct(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line"), "distance")).alias("near")
@@ -349,7 +545,7 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
         F.struct(F.col("first.doc_id"), F.col("first.line"), F.lit(0).alias("distance"))
     )
     return (
-        lines.join(told.drop("size", "last"), ["hash_1", "hash_2"])
+        lines.join(told.drop("size", "last", "counts"), ["hash_1", "hash_2"])
         .where(F.col("near").isNotNull() | (own > F.col("first")))
         .select("doc_id", "line", "hash_1", source.alias("s"))
         .select(
@@ -360,7 +556,7 @@ def repeated_lines(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, distance: int = DISTANCE, keep: Sequence[str] = (), doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, distance: int | None = None, keep: Sequence[str] = (), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, ``keep``, n_lines, n_removed, kept, removed) of each document; ``kept``: its other lines."""
     base = docs.select(

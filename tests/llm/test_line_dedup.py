@@ -123,3 +123,52 @@ def test_query(spark):
                 other = dict(rows)[x["source_doc"]].split("\n")[x["source_line"]]
                 assert distance(line, other) == x["distance"] == 1
         assert r["kept"] == "\n".join(x for k, x in enumerate(lines) if k not in gone)
+
+
+def near_corpus():
+    """Lines of many lengths and copies with up to a few more edits than their length allows."""
+    draw = random.Random(11)
+    rows = []
+    for i, n in enumerate([45, 79, 80, 81, 119, 120, 121, 160, 200, 400, 405, 640, 1300]):
+        line = " ".join(prose(100 + i, n))[:n].ljust(n, "x")
+        rows.append((100 * i, line))
+        for j in range(1, 12):
+            x = list(line)
+            for _ in range(max(1, n // ld.EDIT_CHARS + draw.choice([-1, 0, 0, 1]) if j % 2 else draw.randint(1, n // ld.EDIT_CHARS))):
+                k = draw.randrange(len(x))
+                x[k : k + 1] = draw.choice([[], ["é"], [x[k], "z"]])
+            rows.append((100 * i + j, "".join(x)))
+    return rows + [(5000, "ab" * 1000), (5001, "ab" * 990)]
+
+
+def test_edits_grow_with_the_length(spark):
+    rows = near_corpus()
+    want = {}
+    for k, (j, b) in enumerate(rows):
+        for i, a in rows[:k]:
+            limit = min(len(a), len(b)) // ld.EDIT_CHARS
+            if a != b and abs(len(a) - len(b)) <= limit and min(len(a), len(b)) >= ld.NEAR_CHARS:
+                d = ld.long_distance(*[np.array([ord(c) for c in t], np.uint32) for t in (a, b)], limit)
+                if d <= limit and j not in want:
+                    want[j] = (0, i, 0, d)
+    assert max(x[3] for x in want.values()) > 15
+    out = {r["doc_id"]: [tuple(x) for x in r["removed"]] for r in ld.dedup_lines(frame(spark, rows)).collect()}
+    first = {}
+    for i, text in rows:
+        same = [(0, first[text], 0, 0)] if text in first else []
+        assert out[i] == same or i in want and out[i] == [want[i]]
+        assert not (i in want and not same) or out[i] == [want[i]]
+        first.setdefault(text, i)
+
+
+def test_long_distance_against_the_table():
+    draw = random.Random(10)
+    for _ in range(400):
+        x = "".join(draw.choices("abc", k=draw.randint(0, 90)))
+        y = list(x)
+        for _ in range(draw.randint(0, 9)):
+            k = draw.randint(0, len(y))
+            y[k : k + draw.randint(0, 1)] = draw.choice(["", "a", "b"])
+        limit = draw.randint(0, 8)
+        a, b = (np.array([ord(c) for c in t], np.uint32) for t in (x, "".join(y)))
+        assert ld.long_distance(a, b, limit) == min(limit + 1, distance(x, "".join(y)))
