@@ -3,15 +3,17 @@
 Rules (host, path) fit a host and its subdomains where the URL's path begins with the rule's;
 the longest fitting rule wins (of equally long ones the first listed). URLs that a rule decides
 are the labelled ones. Of these a bounded sample (``SAMPLE`` distinct URLs of each verdict, by
-hash) trains a boosted ensemble of the machine-learning library on lengths, depth, digit ratio,
-entropy, parameter counts and the share of blocked URLs under the host's suffixes. Everything
-else runs over all URLs with built-in functions and the library's own transformers.
+hash, weighted back to the verdict's number of URLs) trains a boosted ensemble of the
+machine-learning library on lengths, depth, digit ratio, entropy, parameter counts and the share
+of blocked URLs under the host's suffixes. These shares, and the overall one, count all distinct
+labelled URLs. Everything else runs over all URLs with built-in functions and the library's own
+transformers.
 
 Cases: a null URL or one without ``://`` has an empty host and path, fits no rule and is judged
 by its (empty) features; without any labelled URL, or with one verdict only, the rest gets that
 verdict, or ``allow``; repeated rows are judged alike; other columns are not read; an empty
-table gives no rows. The rule list is a parameter and small; suffix shares come from the sample,
-so their table has at most a few entries per sampled URL and is broadcast.
+table gives no rows. The rule list is a parameter and small; suffix shares grow with the corpus,
+so they are joined to the distinct hosts, and these to the URLs, without a hint.
 """
 
 from __future__ import annotations
@@ -115,41 +117,43 @@ def judged(pages: DataFrame, rules: Sequence[Rule], page_id: str = "page_id", ur
     for rule in rules:
         verdict_of = F.when(F.col("rule") == rule.text, rule.verdict).otherwise(verdict_of)
     base = base.withColumn("told", verdict_of)
-    order = Window.partitionBy("told").orderBy(F.xxhash64("url"), "url")
-    sample = stored(
+    labelled = stored(
         base.where("told is not null")
-        .select("url", "host", "path", "told")
-        .distinct()
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= SAMPLE)
-        .select("url", "host", "path", (F.col("told") == BLOCK).cast("double").alias("label")),
+        .select("url", "host", "path", (F.col("told") == BLOCK).cast("double").alias("label"))
+        .distinct(),
         "urls",
     )
-    rows, blocked = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    rows, blocked = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not rows or blocked in (0, rows):
         rest = F.lit(1.0 if rows and blocked == rows else 0.0)
         scored = base.withColumn("block_probability", rest)
     else:
         share = blocked / rows
+        order = Window.partitionBy("label").orderBy(F.xxhash64("url"), "url")
+        weight = F.when(F.col("label") == 1, max(1.0, blocked / SAMPLE)).otherwise(max(1.0, (rows - blocked) / SAMPLE))
+        sample = labelled.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE).withColumn("weight", weight)
         ends = F.explode(F.array_distinct(F.array(*[suffix(F.col("host"), k) for k in SUFFIXES])))
         shares = (
-            sample.select(ends.alias("suffix"), "label")
+            labelled.select(ends.alias("suffix"), "label")
             .groupBy("suffix")
             .agg(((F.sum("label") + SMOOTHING * share) / (F.count("*") + SMOOTHING)).alias("share"))
         )
         shares = stored(shares, "suffixes")
+        hosts = base.select("host").distinct()
+        for k in SUFFIXES:
+            own = shares.select(F.col("suffix").alias(f"suffix_{k}"), F.col("share").alias(f"share_{k}"))
+            hosts = hosts.withColumn(f"suffix_{k}", suffix(F.col("host"), k)).join(own, f"suffix_{k}", "left")
+            hosts = hosts.withColumn(f"share_{k}", F.coalesce(f"share_{k}", F.lit(share))).drop(f"suffix_{k}")
+        hosts = stored(hosts, "hosts")
 
         def featured(df: DataFrame, *keep: str) -> DataFrame:
-            out = df.select(*keep, "host", *lexical(F.col("url"), F.col("host"), F.col("path")))
-            for k in SUFFIXES:
-                own = shares.select(F.col("suffix").alias(f"suffix_{k}"), F.col("share").alias(f"share_{k}"))
-                out = out.withColumn(f"suffix_{k}", suffix(F.col("host"), k)).join(F.broadcast(own), f"suffix_{k}", "left")
-                out = out.withColumn(f"share_{k}", F.coalesce(f"share_{k}", F.lit(share))).drop(f"suffix_{k}")
-            columns = [*FEATURES, *[f"share_{k}" for k in SUFFIXES]]
-            return VectorAssembler(inputCols=columns, outputCol="features").transform(out).select(*keep, "host", "features")
-
-        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, checkpointInterval=-1)
-        model = trees.fit(stored(featured(sample, "label").select("label", "features"), "examples"))
+            out = df.join(hosts, "host")
+            of_host = [f"share_{k}" for k in SUFFIXES]
+            out = out.select(*keep, "host", *lexical(F.col("url"), F.col("host"), F.col("path")), *of_host)
+            return VectorAssembler(inputCols=[*FEATURES, *of_host], outputCol="features").transform(out).select(*keep, "host", "features")
+
+        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, checkpointInterval=-1, weightCol="weight")
+        model = trees.fit(stored(featured(sample, "label", "weight").drop("host"), "examples"))
         scored = model.transform(featured(base, "page_id", "url", "path", "rule", "told"))
         scored = scored.withColumn("block_probability", vector_to_array(F.col("probability"))[1])
     verdict = F.coalesce("told", F.when(F.col("block_probability") >= 0.5, BLOCK).otherwise(ALLOW))

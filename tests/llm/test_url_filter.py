@@ -73,3 +73,29 @@ def test_query(spark):
     for r in df.collect():
         host, path, rule, verdict = plain(urls[r["page_id"]])
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] == (verdict or r["verdict"])
+
+
+def test_shares_count_all_labelled_urls(spark, monkeypatch):
+    kept = {}
+    stored = uf.stored
+
+    def keeping(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(uf, "stored", keeping)
+    monkeypatch.setattr(uf, "SAMPLE", 5)
+    rows = [(i, f"http://h{i % 7}.{'com/a' if i % 4 else 'net/fr/b'}/{i}") for i in range(80)]
+    pages = spark.createDataFrame(rows + rows[:9] + [(1000, "http://h1.org/9")], "page_id long, url string")
+    assert uf.judged(pages, URL_RULES).count() == 90
+    labels = {}
+    for _, url in rows:
+        labels.setdefault(".".join(plain(url)[0].split(".")[-1:]), []).append(plain(url)[3] == "block")
+        labels.setdefault(plain(url)[0], []).append(plain(url)[3] == "block")
+    share = {k: (sum(v) + uf.SMOOTHING * 20 / 80) / (len(v) + uf.SMOOTHING) for k, v in labels.items()}
+    got = {r["suffix"]: r["share"] for r in kept["suffixes"].collect()}
+    assert got.keys() == share.keys() and all(abs(got[k] - share[k]) < 1e-12 for k in got)
+    weights = {}
+    for r in kept["examples"].collect():
+        weights.setdefault(r["label"], []).append(r["weight"])
+    assert weights == {0.0: [12.0] * 5, 1.0: [4.0] * 5}
