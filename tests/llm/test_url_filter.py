@@ -99,3 +99,23 @@ def test_shares_count_all_labelled_urls(spark, monkeypatch):
     for r in kept["examples"].collect():
         weights.setdefault(r["label"], []).append(r["weight"])
     assert weights == {0.0: [12.0] * 5, 1.0: [4.0] * 5}
+
+
+def test_few_urls_are_ranked(spark, monkeypatch):
+    monkeypatch.setattr(uf, "SAMPLE", 100)
+    urls = spark.range(20_000).select(F.concat(F.lit("http://a.net/"), "id").alias("url"), (F.col("id") % 4 == 0).cast("double").alias("label"))
+    few = uf.candidates(urls, {0.0: 15_000, 1.0: 5_000})
+    for label in (0.0, 1.0):
+        least = urls.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(100)
+        assert 100 <= few.where(F.col("label") == label).count() <= 300
+        assert least.join(few, "url", "left_anti").count() == 0
+    assert uf.candidates(urls, {0.0: 150, 1.0: 5_000}).where("label = 0").count() == 15_000
+
+
+def test_only_few_urls_reach_the_window(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(uf, "SAMPLE", 50)
+    monkeypatch.setattr(uf, "candidates", lambda df, counts, f=uf.candidates: seen.append(f(df, counts).count()) or f(df, counts))
+    pages = spark.createDataFrame([(i, f"http://h.{'com/a' if i % 2 else 'net/fr/b'}/{i}") for i in range(2000)], "page_id long, url string")
+    assert uf.judged(pages, URL_RULES).count() == 2000
+    assert 100 <= seen[0] <= 300
