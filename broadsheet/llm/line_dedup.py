@@ -3,8 +3,8 @@
 A line is removed where the same line, or one near it, begins earlier: in a document with a
 smaller id, or further up in the same document. Near are lines within one edit for each
 ``EDIT_CHARS`` code points of the shorter one, or within a number of edits that the caller
-gives. Lines are judged on the input. Lines under ``EXACT_CHARS`` code points stay; those under
-``NEAR_CHARS`` are compared exactly only.
+gives. Lines are judged on the input. Empty lines stay; those under ``NEAR_CHARS`` code points,
+which allow no edit, are compared exactly only.
 
 Exact: lines with equal 128-bit hashes are one line; its first place is a minimum, combined
 before the shuffle. Near, over first places only, where the shorter line allows t edits:
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 from broadsheet.llm.arrow_text import Powers, bounds, gathered, mixed, range_hashes, slices
 from broadsheet.llm.work import stored
 
-EXACT_CHARS = 20
+EXACT_CHARS = 1  # empty lines stay
 NEAR_CHARS = 40
 EDIT_CHARS = 40  # code points of the shorter line for each edit that is allowed
 SEGMENT_EDITS = 2  # up to so many edits lines meet by segments, else by anchors

@@ -172,3 +172,8 @@ def test_long_distance_against_the_table():
         limit = draw.randint(0, 8)
         a, b = (np.array([ord(c) for c in t], np.uint32) for t in (x, "".join(y)))
         assert ld.long_distance(a, b, limit) == min(limit + 1, distance(x, "".join(y)))
+
+
+def test_short_lines_are_compared_exactly(spark):
+    out = {r["doc_id"]: r["kept"] for r in ld.dedup_lines(frame(spark, [(1, "a\n\nshort"), (2, "short\n\nb\na")])).collect()}
+    assert out == {1: "a\n\nshort", 2: "\nb"}
