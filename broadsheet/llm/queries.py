@@ -11,7 +11,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, topk_search, url_filter
+from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, topk_search, url_filter, vector_code
 from broadsheet.llm.work import ship
 
 PIECES = "piece_bpe_32k.model"
@@ -116,6 +116,54 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"), URL_RULES)
 
 
+
+def op13_vector_code(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors by eight codebooks of sixteen entries, and their errors."""
+    told = vector_code.encode(table(spark, folder, "embeddings"))
+    return told.select("vec_id", vector_code.hexed(F.col("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def _op13_sql(parts: int = vector_code.PARTS, entries: int = vector_code.ENTRIES, rounds: int = vector_code.ROUNDS) -> str:
+    """Every round as tables of its own: assigned parts, then the entries that follow from them."""
+    steps = [
+        f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS place, vec_id, label, v FROM (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor({vector_code.SCALE} * x::DOUBLE)) AS v FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+), parts AS MATERIALIZED (
+    SELECT place, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS x FROM kept, range({parts}) t(p)
+), book0 AS MATERIALIZED (
+    SELECT p, place - 1 AS e, x AS c FROM parts WHERE place <= {entries}
+)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (
+    SELECT place, a.p, min({{'d': list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c), 'e': e}}) AS m, any_value(x) AS x
+    FROM parts a JOIN book{k} b ON a.p = b.p GROUP BY place, a.p
+)""")
+        if k < rounds:
+            steps.append(f"""
+book{k + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN (
+        SELECT p, e, list(mean ORDER BY i) AS c FROM (
+            SELECT p, e, i, floor(sum(x[i]) / count(*)) AS mean
+            FROM (SELECT p, m.e AS e, x, unnest(range(1, len(x) + 1)) AS i FROM near{k}) GROUP BY p, e, i)
+        GROUP BY p, e) m ON b.p = m.p AND b.e = m.e
+)""")
+    steps.append(f"""
+told AS MATERIALIZED (
+    SELECT place, string_agg(lower(printf('%02x', m.e)), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM near{rounds} GROUP BY place
+), sha AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN told USING (place), sha
+""")
+    return ",".join(steps)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -127,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_source_mixing": op9_source_mixing,
     "op10_url_filter": op10_url_filter,
+    "op13_vector_code": op13_vector_code,
 }
 
 OP9_SQL = """
@@ -160,4 +209,4 @@ SELECT doc_id, source, copy, rate,
 FROM copies
 """
 
-SQL: dict[str, str] = {"op7_topk_search": OP7_SQL, "op9_source_mixing": OP9_SQL}
+SQL: dict[str, str] = {"op7_topk_search": OP7_SQL, "op9_source_mixing": OP9_SQL, "op13_vector_code": _op13_sql()}
