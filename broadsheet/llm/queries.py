@@ -11,7 +11,7 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, topk_search, url_filter, vector_code
+from broadsheet.llm import bpe, decontamination, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, topk_search, url_filter, vector_code
 from broadsheet.llm.work import ship
 
 PIECES = "piece_bpe_32k.model"
@@ -116,6 +116,63 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"), URL_RULES)
 
 
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document inside ten-word windows of benchmark items, and these items."""
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    told = decontamination.decontaminate(docs, items)
+    return told.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"),
+    )
+
+
+# Windows as lists of words, and for proximity the three rarest words of each window.
+OP12_SQL = r"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+), items AS MATERIALIZED (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), spans AS MATERIALIZED (
+    SELECT item_id, s, least(10, len(w)) AS n, w[s : s + least(10, len(w)) - 1] AS x
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)
+), places AS MATERIALIZED (
+    SELECT r, n, p, w[p : p + n - 1] AS x
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM docs, (SELECT DISTINCT n FROM spans))
+), met AS MATERIALIZED (
+    SELECT DISTINCT r, p, places.n, item_id FROM places JOIN spans ON places.n = spans.n AND places.x = spans.x
+), hit AS (
+    SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + n)) FROM met) GROUP BY r
+), told AS (
+    SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM (SELECT DISTINCT r, item_id FROM met) GROUP BY r
+), postings AS MATERIALIZED (
+    SELECT r, word, p FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs)
+    WHERE word IN (SELECT DISTINCT unnest(w) FROM items)
+), counts AS MATERIALIZED (
+    SELECT word, count(*) AS c FROM postings GROUP BY word
+), rare AS MATERIALIZED (
+    SELECT item_id, s, list(o ORDER BY c, o) AS os, list(word ORDER BY c, o) AS ws
+    FROM (SELECT item_id, s, n, unnest(x) AS word, unnest(range(s, s + n)) AS o FROM spans) JOIN counts USING (word)
+    GROUP BY item_id, s, n HAVING count(*) = n
+), near_items AS (
+    SELECT m.r, count(DISTINCT item_id) AS n_near_items
+    FROM (SELECT a.r, item_id, b.word, w3, a.p - o1 + o3 + unnest(range(-2, 3)) AS due
+          FROM (SELECT r, item_id, p, o1, w2, o3, w3, p - o1 + o2 + unnest(range(-2, 3)) AS due
+                FROM (SELECT DISTINCT item_id, os[1] AS o1, ws[1] AS w1, os[least(2, len(os))] AS o2, ws[least(2, len(os))] AS w2,
+                          os[least(3, len(os))] AS o3, ws[least(3, len(os))] AS w3 FROM rare) JOIN postings ON word = w1) a
+          JOIN postings b ON b.r = a.r AND b.word = w2 AND b.p = a.due) m
+    JOIN postings d ON d.r = m.r AND d.word = w3 AND d.p = m.due
+    GROUP BY m.r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN told USING (r) LEFT JOIN near_items USING (r)
+"""
+
 
 def op13_vector_code(spark: SparkSession, folder: str) -> DataFrame:
     """Codes of all vectors by eight codebooks of sixteen entries, and their errors."""
@@ -175,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_source_mixing": op9_source_mixing,
     "op10_url_filter": op10_url_filter,
+    "op12_decontamination": op12_decontamination,
     "op13_vector_code": op13_vector_code,
 }
 
@@ -209,4 +267,4 @@ SELECT doc_id, source, copy, rate,
 FROM copies
 """
 
-SQL: dict[str, str] = {"op7_topk_search": OP7_SQL, "op9_source_mixing": OP9_SQL, "op13_vector_code": _op13_sql()}
+SQL: dict[str, str] = {"op7_topk_search": OP7_SQL, "op9_source_mixing": OP9_SQL, "op12_decontamination": OP12_SQL, "op13_vector_code": _op13_sql()}
