@@ -107,10 +107,18 @@ def _lookups(index: Index, window: int) -> DataFrame:
     )
 
 
-def _met(lists: DataFrame, postings: DataFrame, number: int, slop: int) -> DataFrame:
-    """``lists`` where the document has the ``number``-th rarest term within ``slop`` of its place; ``apart``: how far at least."""
+def _of_terms(postings: DataFrame, lists: DataFrame, number: int) -> DataFrame:
+    """Postings of the ``number``-th rarest terms. These are written first, so that their size is known."""
     wanted = lists.select(F.col(f"term_{number}").alias("term")).distinct()
-    own = postings.join(wanted, "term", "left_semi").select(
+    return postings.join(stored(wanted, "wanted-terms"), "term", "left_semi")
+
+
+def _met(lists: DataFrame, postings: DataFrame, number: int, slop: int, lookups: DataFrame | None = None) -> DataFrame:
+    """``lists`` where the document has the ``number``-th rarest term within ``slop`` of its place; ``apart``: how far at least.
+
+    ``lookups``: a written table with all terms of ``lists``, if that isn't one.
+    """
+    own = _of_terms(postings, lists if lookups is None else lookups, number).select(
         *[F.col(c).alias(f"__{c}") for c in PLACE], F.col("term").alias("__term"), F.col("position").alias("__position"),
         F.floor(F.col("position") / (slop + 1)).alias("__bucket"),
     )
@@ -129,11 +137,11 @@ def _met(lists: DataFrame, postings: DataFrame, number: int, slop: int) -> DataF
 def candidates(index: Index, window: int = WINDOW, slop: int = SLOP) -> DataFrame:
     """Places where an item may begin: lists of the two rarest terms of its windows, intersected."""
     lookups = stored(_lookups(index, window), "lookups")
-    first = index.postings.join(lookups, F.col("term") == F.col("term_1")).select(
+    first = _of_terms(index.postings, lookups, 1).join(lookups, F.col("term") == F.col("term_1")).select(
         *PLACE, (F.col("position") - F.col("offset_1")).alias("start"),
         "item", "offset_2", "term_2", "offset_3", "term_3", "first", "last",
     )
-    return stored(_met(first.distinct(), index.postings, 2, slop), "candidates")
+    return stored(_met(first, index.postings, 2, slop, lookups), "candidates")
 
 
 def phrase_matches(index: Index, found: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -148,7 +156,8 @@ def phrase_matches(index: Index, found: DataFrame, window: int = WINDOW) -> Data
         .join(index.tokens, ["item", "offset"])
         .withColumn("position", F.col("start") + F.col("offset"))
     )
-    inside = index.postings.join(found.where("apart_2 = 0").select(*PLACE).distinct(), PLACE, "left_semi")
+    within = stored(found.where("apart_2 = 0").select(*PLACE).distinct(), "matched-places")
+    inside = index.postings.join(within, PLACE, "left_semi")
     hit = due.join(inside.drop("known").distinct(), [*PLACE, "term", "position"])
     alignment = [*PLACE, "item", "start"]
     run = F.col("offset") - F.row_number().over(Window.partitionBy(*alignment).orderBy("offset"))

@@ -11,11 +11,12 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import bpe, decontamination, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, topk_search, url_filter, vector_code
+from broadsheet.llm import bpe, decontamination, fingerprint, language_crf, lattice_lm, line_dedup, near_dedup, source_mixing, substring_dedup, token_alignment, topk_search, url_filter, vector_code
 from broadsheet.llm.work import ship
 
 PIECES = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
+BYTE_LEVEL = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -115,6 +116,12 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on each page's URL, by rule or by boosted trees."""
     return url_filter.judged(table(spark, folder, "pages"), URL_RULES)
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in each text."""
+    docs = table(spark, folder, "documents")
+    told = token_alignment.align(docs, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES), digest=True)
+    return told.withColumnRenamed("groups", "groups_sha256")
+
 
 def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of each document inside ten-word windows of benchmark items, and these items."""
@@ -232,6 +239,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_source_mixing": op9_source_mixing,
     "op10_url_filter": op10_url_filter,
+    "op11_token_alignment": op11_token_alignment,
     "op12_decontamination": op12_decontamination,
     "op13_vector_code": op13_vector_code,
 }
