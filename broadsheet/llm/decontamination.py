@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from broadsheet.llm.work import stored
 
 WINDOW, SLOP = 10, 2
+STRETCH = 64  # words of a document whose postings are looked up together
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 COUNT = ""  # no word: its posting is the number of a document's words
@@ -156,9 +157,13 @@ def phrase_matches(index: Index, found: DataFrame, window: int = WINDOW) -> Data
         .join(index.tokens, ["item", "offset"])
         .withColumn("position", F.col("start") + F.col("offset"))
     )
-    within = stored(found.where("apart_2 = 0").select(*PLACE).distinct(), "matched-places")
-    inside = index.postings.join(within, PLACE, "left_semi")
-    hit = due.join(inside.drop("known").distinct(), [*PLACE, "term", "position"])
+    due = stored(due, "due-words")
+    # Which stretches of which documents are asked for: only their postings move.
+    stretch = lambda position: F.floor(position / STRETCH)
+    within = due.select(*PLACE, stretch(F.col("position")).alias("stretch")).distinct()
+    within = stored(within.groupBy(*PLACE).agg(F.collect_list("stretch").alias("stretches")), "matched-places")
+    inside = index.postings.join(within, PLACE).where(F.array_contains("stretches", stretch(F.col("position"))))
+    hit = due.join(inside.select(*PLACE, "term", "position"), [*PLACE, "term", "position"], "left_semi")
     alignment = [*PLACE, "item", "start"]
     run = F.col("offset") - F.row_number().over(Window.partitionBy(*alignment).orderBy("offset"))
     runs = hit.withColumn("run", run).groupBy(*alignment, "run").agg(F.min("offset").alias("first"), F.max("offset").alias("last"))

@@ -253,13 +253,20 @@ def marginals(values: np.ndarray, first: np.ndarray, transitions: np.ndarray) ->
 
 
 def sample(docs: DataFrame, lang: str = "lang") -> tuple[list[str], list[str]]:
-    """Texts and labels of the bounded training sample of (doc_id, text, lang)."""
-    fits = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
+    """Texts and labels of the bounded training sample of (doc_id, text, lang).
+
+    Of a text over ``SAMPLE_BYTES`` a stretch is learned from, at a place that a hash chooses.
+    """
+    fits = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", "text")
+    size = F.lit(SAMPLE_BYTES // 4)  # code points, of four bytes at most
+    begin = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.greatest(F.lit(1), F.length("text") - size + 1)).cast("int") + 1
+    stretch = F.substring("text", begin, size)
     rows = (
         fits.select("doc_id", "text", F.col(lang).alias("lang"))
         .withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= DOCS_PER_LANGUAGE)
+        .withColumn("text", F.when(F.octet_length("text") <= SAMPLE_BYTES, F.col("text")).otherwise(stretch))
         .orderBy("lang", "n")
         .collect()
     )
@@ -267,7 +274,12 @@ def sample(docs: DataFrame, lang: str = "lang") -> tuple[list[str], list[str]]:
 
 
 def label(docs: DataFrame, model: Model | None, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
-    """``keep`` and (lang_pred, score, spans): runs of words of one language in each text."""
+    """``keep`` and (lang_pred, score, confidence, spans) of each text.
+
+    ``score``: the language's mean share of the words; ``confidence``: the mean of each word's likeliest
+    language, which stays high where a text switches between languages; ``spans``: runs of words of
+    one language.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     carried = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
@@ -282,9 +294,9 @@ def label(docs: DataFrame, model: Model | None, keep: Sequence[str] = ("doc_id",
 
     kind = carried.schema["row"].dataType.simpleString()
     out = carried.mapInArrow(
-        run, f"row {kind}, lang_pred string, score double, spans array<struct<start: int, words: int, lang: string>>"
+        run, f"row {kind}, lang_pred string, score double, confidence double, spans array<struct<start: int, words: int, lang: string>>"
     )
-    return out.select("row.*", "lang_pred", "score", "spans")
+    return out.select("row.*", "lang_pred", "score", "confidence", "spans")
 
 
 def _labelled(part: pa.RecordBatch, model: Model | None) -> pa.RecordBatch:
@@ -294,8 +306,8 @@ def _labelled(part: pa.RecordBatch, model: Model | None) -> pa.RecordBatch:
     if model is None or not model.labels or not told.any():
         empty = pa.array([[]] * rows, pa.list_(span_kind))
         return pa.RecordBatch.from_arrays(
-            [part.column("row"), pa.array([UNKNOWN] * rows), pa.array(np.zeros(rows)), empty],
-            ["row", "lang_pred", "score", "spans"],
+            [part.column("row"), pa.array([UNKNOWN] * rows), pa.array(np.zeros(rows)), pa.array(np.zeros(rows)), empty],
+            ["row", "lang_pred", "score", "confidence", "spans"],
         )
     lowered = pc.utf8_lower(part.column("text"))
     words = Words(pc.if_else(part.column("told"), lowered, ""))
@@ -315,6 +327,8 @@ def _labelled(part: pa.RecordBatch, model: Model | None) -> pa.RecordBatch:
     names = np.array(model.labels, object)
     pred = np.where(some, names[best], UNKNOWN)
     score = np.where(some, np.minimum(1.0, share[np.arange(rows), best]), 0.0)
+    sure = np.bincount(owner, chance.max(1, initial=0) * counted, minlength=rows) / np.maximum(np.bincount(owner, counted, minlength=rows), 1)
+    confidence = np.where(some, np.minimum(1.0, sure), 0.0)
     tag = chance.argmax(1)
     new = np.ones(len(tag), bool)
     new[1:] = (tag[1:] != tag[:-1]) | (owner[1:] != owner[:-1])
@@ -331,7 +345,8 @@ def _labelled(part: pa.RecordBatch, model: Model | None) -> pa.RecordBatch:
         ),
     )
     return pa.RecordBatch.from_arrays(
-        [part.column("row"), pa.array(pred, pa.string()), pa.array(score), spans], ["row", "lang_pred", "score", "spans"]
+        [part.column("row"), pa.array(pred, pa.string()), pa.array(score), pa.array(confidence), spans],
+        ["row", "lang_pred", "score", "confidence", "spans"],
     )
 
 

@@ -1,30 +1,31 @@
-"""Line deduplication: exact repeats, and near repeats by segment and anchor joins.
+"""Line deduplication: exact repeats, and near repeats by a segment-partition edit join.
 
 A line is removed where the same line, or one near it, begins earlier: in a document with a
-smaller id, or further up in the same document. Near are lines within one edit for each
-``EDIT_CHARS`` code points of the shorter one, or within a number of edits that the caller
-gives. Lines are judged on the input. Empty lines stay; those under ``NEAR_CHARS`` code points,
-which allow no edit, are compared exactly only.
+smaller id, or further up in the same document. Near are lines within the edits that the length
+of the shorter one allows: one from ``NEAR_CHARS`` code points, and one more for each further
+factor of ``GROWTH`` in length, without an upper limit; or within a number of edits that the caller
+gives. Lines are judged on the input. Empty lines stay; those under ``NEAR_CHARS`` code points
+allow no edit and are compared exactly only.
 
 Exact: lines with equal 128-bit hashes are one line; its first place is a minimum, combined
-before the shuffle. Near, over first places only, where the shorter line allows t edits:
+before the shuffle. Near, over first places only, which are written once as a table of lines, and
+where the shorter line allows t edits:
 
-* up to t = ``SEGMENT_EDITS`` (and for a given number of edits) an indexed line of length l is
-  cut into t + 1 segments, of which one must occur unchanged in any line within the distance;
+* an indexed line of length l is cut into t + 1 segments, of which one must occur unchanged in any
+  line within the distance;
 * a line probes the index of lengths l - t to l, at those positions where the segment
   can stand if the edits left of it and right of it are counted (multi-match-aware selection);
-* a pair that meets must also differ in few bits of a signature of character parities, of which
-  an edit changes two at most; this is a join condition, so unlike pairs of a frequent segment
-  never leave the join;
-* with more edits, where probes would grow with the cube of t, t edits leave a stretch of
-  (l - t) / (t + 1) code points unchanged. Both lines are anchored at the least hash of
-  ``GRAM`` code points in each window of that stretch's size, so they share an anchor; lines
-  meet within ranges of lengths only, and their lengths and places of the anchor must differ by
-  at most t, which is a join condition as well;
-* pairs are then held against counts of ``CLASSES`` classes of characters, of which an edit changes
+* a key's probes meet its earliest indexed line first, its hub, so that a group of copies costs as
+  many pairs as it has lines. While that removes many lines, the earliest ones not yet removed are
+  hubs in turn; then the keys that are left are joined in whole, for lines not yet removed only,
+  where a signature of character parities, of which an edit changes two at most, is a join condition;
+* pairs are held against counts of ``CLASSES`` classes of characters, of which an edit changes
   two by one at most, before any text is fetched;
-* the rest is verified: by a bit-parallel automaton over the band of 2 * t + 1 diagonals for
-  many pairs side by side, or, for more edits, a bit-parallel column of a pair's whole line.
+* the rest is verified by a bit-parallel automaton over the band of 2 * t + 1 diagonals for
+  many pairs side by side, or, beyond ``BAND_EDITS``, a bit-parallel column of a pair's whole line.
+
+So every line is removed that has an earlier line near it; the one that is told as its source is
+near it and earlier, but need not be the earliest such line.
 
 Cases: a null text has no lines and stays null; an empty text is one empty line; a document
 with a null id keeps all lines and is nobody's source; rows that repeat an id and a text are
@@ -41,14 +42,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from broadsheet.llm.arrow_text import Powers, bounds, gathered, mixed, range_hashes, slices
-from broadsheet.llm.work import stored
+from broadsheet.llm.work import discard, release, stored
 
 EXACT_CHARS = 1  # empty lines stay
-NEAR_CHARS = 40
-EDIT_CHARS = 40  # code points of the shorter line for each edit that is allowed
-SEGMENT_EDITS = 2  # up to so many edits lines meet by segments, else by anchors
-BAND_EDITS = 3  # up to so many edits pairs are verified side by side
-GRAM = 16  # code points of an anchor
+NEAR_CHARS = 40  # code points from which a line allows an edit
+GROWTH = 2  # factor of length for each further edit
+BAND_EDITS = 8  # up to so many edits pairs are verified side by side
+FRUITFUL = 0.1  # hubs are tried again while they remove this share of the lines that were left
 CLASSES = 32  # of characters, counted in each line
 PAIR_CHARS = 1 << 20  # code points of the pairs that are verified side by side
 
@@ -106,30 +106,37 @@ class Lines:
             at = to
 
 
-def _counts(lines: Lines, which: np.ndarray) -> pa.Array:
-    """How often each of ``CLASSES`` classes of characters occurs in each line, modulo 2**16, as bytes."""
+def allowed(size: np.ndarray, distance: int | None = None) -> np.ndarray:
+    """Edits that lines of these lengths allow."""
+    if distance is not None:
+        return np.full(len(size), distance, np.int64)
+    edits, bound = np.zeros(len(size), np.int64), NEAR_CHARS
+    while bound <= size.max(initial=0):
+        edits += size >= bound
+        bound *= GROWTH
+    return edits
+
+
+def _counts(lines: Lines) -> pa.Array:
+    """How often each of ``CLASSES`` classes of characters occurs in each line, modulo 256, as bytes."""
     kind = (((lines.codes * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(CLASSES)).astype(np.int64)
-    out = np.zeros((len(which), CLASSES), np.uint16)
-    size = lines.size[which]
-    for at in range(0, len(which), 256):
-        some = np.s_[at : at + 256]
-        owner = np.repeat(np.arange(len(size[some])), size[some])
-        place = np.arange(len(owner)) - np.repeat(np.cumsum(size[some]) - size[some], size[some]) + lines.start[which[some]][owner]
-        found = np.bincount(owner * CLASSES + kind[place], minlength=len(size[some]) * CLASSES)
-        out[some] = found.reshape(-1, CLASSES).astype(np.uint16)
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * CLASSES), len(which), [None, pa.py_buffer(out.tobytes())]).cast(pa.binary())
+    out = np.zeros((len(lines.size), CLASSES), np.uint8)
+    for at in range(0, len(out), 256):
+        size, start = lines.size[at : at + 256], lines.start[at : at + 256]
+        owner = np.repeat(np.arange(len(size)), size)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + start[owner]
+        out[at : at + 256] = np.bincount(owner * CLASSES + kind[place], minlength=len(size) * CLASSES).reshape(-1, CLASSES)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(CLASSES), len(out), [None, pa.py_buffer(out.tobytes())]).cast(pa.binary())
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, size, hash_1, hash_2, counts) of all lines that are long enough; ``counts`` of those compared nearly."""
+    """(doc_id, line, size, hash_1, hash_2) of all lines but empty ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 lines = Lines(part.column("text"))
                 long = np.flatnonzero(lines.size >= EXACT_CHARS)
-                is_near = lines.size[long] >= NEAR_CHARS
-                near = long[is_near]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(pa.array(lines.text[long])),
@@ -137,12 +144,11 @@ def _lines(docs: DataFrame) -> DataFrame:
                         pa.array(lines.size[long].astype(np.int32)),
                         pa.array(lines.hashes(long, _FIRST).view(np.int64)),
                         pa.array(lines.hashes(long, _SECOND).view(np.int64)),
-                        _counts(lines, near).take(pa.array(np.cumsum(is_near) - 1, mask=~is_near)),
                     ],
-                    ["doc_id", "line", "size", "hash_1", "hash_2", "counts"],
+                    ["doc_id", "line", "size", "hash_1", "hash_2"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, line int, size int, hash_1 long, hash_2 long, counts binary")
+    return docs.mapInArrow(run, "doc_id long, line int, size int, hash_1 long, hash_2 long")
 
 
 def segments(size: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,11 +161,15 @@ def segments(size: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(length, 1) - length, length
 
 
-def _groups(distance: int | None) -> list[tuple[int, int, int]]:
-    """Numbers of edits for which lines meet by segments, and the lengths of indexed lines for each, from and below."""
+def _groups(longest: int, distance: int | None) -> list[tuple[int, int, int]]:
+    """Numbers of edits, and the lengths of indexed lines for each, from and below."""
     if distance is not None:
         return [(distance, 0, 1 << 31)]
-    return [(t, t * EDIT_CHARS, (t + 1) * EDIT_CHARS) for t in range(1, SEGMENT_EDITS + 1)]
+    out, low = [], NEAR_CHARS
+    while low <= longest:
+        out.append((len(out) + 1, low, low * GROWTH))
+        low *= GROWTH
+    return out
 
 
 def _keys(
@@ -218,124 +228,107 @@ def _first_lines(part: pa.RecordBatch) -> tuple[Lines, np.ndarray, np.ndarray]:
     return lines, which[same], row[same]
 
 
-def _alike(pairs: DataFrame, distance: int | None) -> DataFrame:
-    """Pairs whose counts of characters allow them to be within the distance."""
+def _line_table(chosen: DataFrame) -> DataFrame:
+    """(doc, line, size, signature, counts, text) of the lines listed with each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, CLASSES) for c in ("a_counts", "b_counts"))
-            apart = np.abs((a - b).view(np.int16).astype(np.int64)).sum(1)  # never more than the true difference
-            shorter = np.minimum(batch.column("a_size").to_numpy(), batch.column("b_size").to_numpy())
-            limit = shorter // EDIT_CHARS if distance is None else distance
-            yield batch.select(names).filter(pa.array(apart <= 2 * limit))
+            for part in slices(batch, "text"):
+                lines, which, _ = _first_lines(part)
+                which = np.unique(which)  # a listed line may stand in several rows of an id
+                raw = lines.codes
+                texts = [raw[s:e].tobytes().decode("utf-32-le") for s, e in zip(lines.start[which].tolist(), lines.end[which].tolist())]
+                own = Lines(pa.array(texts, pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").take(pa.array(lines.text[which])),
+                        pa.array(lines.number[which].astype(np.int32)),
+                        pa.array(own.size.astype(np.int32)),
+                        pa.array(_signatures(own, np.arange(len(texts)))),
+                        _counts(own),
+                        pa.array(texts, pa.string()),
+                    ],
+                    ["doc", "line", "size", "signature", "counts", "text"],
+                )
 
-    names = ["a_doc", "a_line", "b_doc", "b_line", "a_hash", "b_hash"]
-    return pairs.mapInArrow(run, "a_doc long, a_line int, b_doc long, b_line int, a_hash long, b_hash long")
+    return chosen.mapInArrow(run, "doc long, line int, size int, signature int, counts binary, text string")
 
 
-def _segment_keys(docs: DataFrame, distance: int | None, probe: bool) -> DataFrame:
-    """(key, doc_id, line, signature, edits) of the lines listed with each document."""
+def _segment_keys(table: DataFrame, distance: int | None, probe: bool) -> DataFrame:
+    """(key, id) of the lines of the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                lines, which, _ = _first_lines(part)
-                which = np.sort(which)
-                signature = _signatures(lines, which)
-                for edits, low, high in _groups(distance):
-                    size = lines.size[which]
-                    some = np.flatnonzero((size >= low) & (size < high + (edits if probe else 0)))
-                    owner, key = _keys(lines, which[some], edits, probe, low, high)
-                    owner = some[owner]
-                    line = which[owner]
+                lines = Lines(part.column("text"))
+                for edits, low, high in _groups(int(lines.size.max(initial=0)), distance):
+                    some = np.flatnonzero((lines.size >= low) & (lines.size < high + (edits if probe else 0)))
+                    owner, key = _keys(lines, some, edits, probe, low, high)
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(key.view(np.int64)),
-                            part.column("doc_id").take(pa.array(lines.text[line])),
-                            pa.array(lines.number[line].astype(np.int32)),
-                            pa.array(signature[owner]),
-                            pa.array(np.full(len(line), edits, np.int32)),
-                        ],
-                        ["key", "doc_id", "line", "signature", "edits"],
+                        [pa.array(key.view(np.int64)), part.column("id").take(pa.array(some[owner]))], ["key", "id"]
                     )
 
-    return docs.mapInArrow(run, "key long, doc_id long, line int, signature int, edits int")
+    return table.select("id", "text").mapInArrow(run, "key long, id long")
 
 
-def _ranges(longest: int) -> np.ndarray:
-    """Where ranges of lengths begin, as multiples of ``EDIT_CHARS``; each is about a tenth longer than the last."""
-    out = [(SEGMENT_EDITS + 1) * EDIT_CHARS]
-    while out[-1] <= longest:
-        out.append(out[-1] + EDIT_CHARS * max(1, out[-1] // (10 * EDIT_CHARS)))
-    return np.array(out, np.int64)
+def _alike(pairs: DataFrame, distance: int | None) -> DataFrame:
+    """Pairs whose counts of characters allow them to be within the distance."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CLASSES) for c in ("a_counts", "b_counts"))
+            apart = np.abs((a - b).view(np.int8).astype(np.int64)).sum(1)  # never more than the true difference
+            shorter = np.minimum(batch.column("a_size").to_numpy(), batch.column("b_size").to_numpy())
+            yield batch.select(names).filter(pa.array(apart <= 2 * allowed(shorter, distance)))
 
-def _anchors(lines: Lines, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of lines, each once a line: the line's place in ``which``, the key, its first and its last place.
+    names = ["a_id", "a_doc", "a_line", "b_id", "b_doc", "b_line"]
+    return pairs.mapInArrow(run, "a_id long, a_doc long, a_line int, b_id long, b_doc long, b_line int")
 
-    A line has those of its own range of lengths, and of the range below if a shorter line
-    near it may lie there.
-    """
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    ranges = _ranges(int(lines.size[which].max(initial=0)))
-    for some, codes, start in lines.parts(which, 1 << 16):
-        if len(codes) < GRAM:
-            continue
-        size = lines.size[which[some]]
-        at = np.arange(len(codes) - GRAM + 1)
-        grams = range_hashes(codes, at, at + GRAM, _FIRST)
-        own = np.searchsorted(ranges, size, "right") - 1
-        shortest = -(-size * EDIT_CHARS // (EDIT_CHARS + 1))  # of the lines that allow the edits to reach this length
-        below = np.searchsorted(ranges, shortest, "right") - 1
-        for r in np.unique(np.concatenate((own, below))).tolist():
-            if r < 0:
-                continue
-            edits = int(ranges[r]) // EDIT_CHARS
-            window = -(-(EDIT_CHARS - 1) * edits // (edits + 1)) - GRAM + 1
-            here = np.flatnonzero((own == r) | (below == r))
-            count = size[here] - (window + GRAM - 1) + 1
-            here, count = here[count > 0], count[count > 0]
-            owner = np.repeat(here, count)
-            first = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + start[owner]
-            view = np.lib.stride_tricks.sliding_window_view(grams, window)
-            for k in range(0, len(owner), 1 << 16):
-                low = first[k : k + (1 << 16)]
-                least = low + view[low].argmin(1)
-                new = np.ones(len(least), bool)
-                new[1:] = (least[1:] != least[:-1]) | (owner[k + 1 : k + len(least)] != owner[k : k + len(least) - 1])
-                who, least = owner[k : k + (1 << 16)][new], least[new]
-                out.append((some[who], mixed(grams[least] + mixed(np.full(len(least), r, np.uint64))), least - start[who]))
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    owner, key, place = (np.concatenate(x) for x in zip(*out))
-    order = np.lexsort((place, key, owner))
-    owner, key, place = owner[order], key[order], place[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
-    low = np.flatnonzero(new)
-    return owner[low], key[low], place[low], place[np.append(low[1:], len(owner)) - 1]
-
-
-def _anchor_keys(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, line, size, low, high) of the longer ones of the lines listed with each document."""
+
+def _verified(pairs: DataFrame, table: DataFrame, distance: int | None) -> DataFrame:
+    """Links among pairs (one, other) of line ids: (a_id, a_doc, a_line, b_id, b_doc, b_line, distance), a the earlier."""
+    of = lambda x: table.select(
+        F.col("id").alias(x), F.struct(F.col("doc").alias("doc"), F.col("line").alias("line"), "id", "size", "counts").alias(f"{x}_line")
+    )
+    known = pairs.join(of("one"), "one").join(of("other"), "other")
+    first, last = F.least("one_line", "other_line"), F.greatest("one_line", "other_line")
+    names = lambda x, s: [s[c].alias(f"{x}_{c}") for c in ("id", "doc", "line", "size", "counts")]
+    apart = known.where("one_line.doc <> other_line.doc or one_line.line <> other_line.line")
+    alike = stored(_alike(apart.select(*names("a", first), *names("b", last)), distance).distinct(), "line-pairs")
+    place = lambda x: [f"{x}_id", f"{x}_doc", f"{x}_line"]
+    wanted = stored(alike.select(*place("a")).union(alike.select(*place("b"))).distinct().toDF("id", "doc", "line"), "wanted-lines")
+    texts = table.select("id", "doc", "line", "text").join(wanted, ["id", "doc", "line"]).dropDuplicates(["id", "doc", "line"])
+    text = lambda x: texts.toDF(*place(x), f"{x}_text")
+    both = alike.join(text("a"), place("a")).join(text("b"), place("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                lines, which, _ = _first_lines(part)
-                which = np.sort(which[lines.size[which] >= (SEGMENT_EDITS + 1) * EDIT_CHARS])
-                owner, key, low, high = _anchors(lines, which)
-                line = which[owner]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key.view(np.int64)),
-                        part.column("doc_id").take(pa.array(lines.text[line])),
-                        *[pa.array(x.astype(np.int32)) for x in (lines.number[line], lines.size[line], low, high)],
-                    ],
-                    ["key", "doc_id", "line", "size", "low", "high"],
-                )
+            a, b = ([np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in batch.column(c).to_pylist()] for c in ("a_text", "b_text"))
+            size = np.array([len(x) for x in a], np.int64)
+            limit = allowed(np.minimum(size, np.array([len(x) for x in b], np.int64)), distance)
+            found = np.zeros(len(a), np.int64)
+            for edits in np.unique(limit).tolist():
+                order = np.flatnonzero(limit == edits)
+                order = order[np.argsort(size[order], kind="stable")].tolist()
+                at = 0
+                while at < len(order) and edits > BAND_EDITS:
+                    found[order[at]] = long_distance(a[order[at]], b[order[at]], edits)
+                    at += 1
+                while at < len(order):
+                    to = at + 1
+                    while to < len(order) and (to + 1 - at) * (len(a[order[to]]) + 8) <= PAIR_CHARS:
+                        to += 1
+                    some = order[at:to]
+                    found[some] = banded_distance([a[i] for i in some], [b[i] for i in some], edits)
+                    at = to
+            told = batch.select(kept).append_column("distance", pa.array(found.astype(np.int32)))
+            yield told.filter(pa.array(found <= limit))
 
-    return docs.mapInArrow(run, "key long, doc_id long, line int, size int, low int, high int")
+    kept = ["a_id", "a_doc", "a_line", "b_id", "b_doc", "b_line"]
+    links = both.mapInArrow(run, "a_id long, a_doc long, a_line int, b_id long, b_doc long, b_line int, distance int")
+    out = stored(links, "line-links")
+    discard(table.sparkSession, alike, wanted)
+    return out
 
 
 def banded_distance(a: list[np.ndarray], b: list[np.ndarray], limit: int) -> np.ndarray:
@@ -414,112 +407,66 @@ def long_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     return min(found, limit + 1)
 
 
-def _with_text(pairs: DataFrame, docs: DataFrame, side: str, kept: list[str]) -> DataFrame:
-    """``pairs`` with the text of the line at (``side``_doc, ``side``_line)."""
-    listed = pairs.select(
-        F.col(f"{side}_doc").alias("doc_id"),
-        F.struct(F.col(f"{side}_line").alias("line"), F.col(f"{side}_hash").alias("hash_1"), *kept).alias("w"),
-    )
-    listed = listed.groupBy("doc_id").agg(F.collect_list("w").alias("wanted"))
-    joined = docs.join(listed, "doc_id")
-    own = [f for f in joined.schema["wanted"].dataType.elementType.fields if f.name not in ("line", "hash_1")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                lines, which, row = _first_lines(part)
-                flat = part.column("wanted").flatten().take(pa.array(row))
-                raw = lines.codes
-                text = [raw[s:e].tobytes() for s, e in zip(lines.start[which].tolist(), lines.end[which].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id").take(pa.array(lines.text[which])),
-                        flat.field("line"),
-                        *[flat.field(f.name) for f in own],
-                        pa.array(text, pa.binary()),
-                    ],
-                    [f"{side}_doc", f"{side}_line", *[f.name for f in own], f"{side}_codes"],
-                )
-
-    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in own)
-    return joined.mapInArrow(run, f"{side}_doc long, {side}_line int, {kinds}{side}_codes binary")
-
-
 def near_lines(docs: DataFrame, firsts: DataFrame, distance: int | None = None) -> DataFrame:
-    """Links between different lines: (a_doc, a_line, b_doc, b_line, distance), a the earlier.
+    """Links between different lines: (a_id, a_doc, a_line, b_id, b_doc, b_line, distance), a the earlier.
 
-    ``docs``: (doc_id, text); ``firsts``: (doc_id, line, hash_1, size, counts) of the lines to compare. Without
-    ``distance``, one edit for each ``EDIT_CHARS`` of the shorter line is allowed.
+    Every line with an earlier one near it is the later one of a link; not all such links are told.
+    ``docs``: (doc_id, text); ``firsts``: (doc_id, line, hash_1) of the lines to compare. Without
+    ``distance``, the edits that the shorter line's length allows.
     """
+    spark = docs.sparkSession
     listed = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("line", "hash_1")).alias("wanted"))
-    chosen = docs.join(listed, "doc_id")
-    index, probe = _segment_keys(chosen, distance, False).alias("i"), _segment_keys(chosen, distance, True).alias("p")
-    place = lambda x: F.struct(F.col(f"{x}.doc_id").alias("doc"), F.col(f"{x}.line").alias("line"))
-    pairs = (
-        index.join(
-            probe,
-            (F.col("i.key") == F.col("p.key"))
-            & (F.bit_count(F.col("i.signature").bitwiseXOR(F.col("p.signature"))) <= 2 * F.col("i.edits"))
-            & ((F.col("i.doc_id") != F.col("p.doc_id")) | (F.col("i.line") != F.col("p.line"))),
-        )
-        .select(F.least(place("i"), place("p")).alias("a"), F.greatest(place("i"), place("p")).alias("b"))
+    # A short name of a line's place. Rows that repeat an id and a text repeat it; should two places ever
+    # share one, pairs are told apart by place again before they are verified.
+    table = _line_table(docs.join(listed, "doc_id")).select(F.xxhash64("doc", "line").alias("id"), "*")
+    table = stored(table, "line-table", "zstd")
+    release(spark)  # of the shuffled texts
+    place = F.struct("doc", "line", "id")
+    index = stored(_segment_keys(table, distance, False).join(table.select("id", "doc", "line"), "id"), "line-index")
+    hubs = stored(index.groupBy("key").agg(F.min(place).alias("hub"), (F.count("*") > 1).alias("more")), "line-hubs")
+    probes = _segment_keys(table, distance, True).join(hubs.select("key", F.col("hub.id").alias("hub"), "more"), "key")
+    met = stored(probes.where("more or hub <> id"), "line-probes")
+    links = _verified(met.where("hub <> id").select(F.col("hub").alias("one"), F.col("id").alias("other")).distinct(), table, distance)
+
+    # Keys with several indexed lines: those lines but the hub, and all that probe them.
+    rest = stored(
+        index.join(hubs.where("more").select("key", F.col("hub.id").alias("hub")), "key").where("id <> hub").drop("hub"), "line-index"
     )
-    if distance is None:
-        anchors = _anchor_keys(chosen)
-        i, p = anchors.alias("i"), anchors.alias("p")
-        edits = F.floor(F.least("i.size", "p.size") / EDIT_CHARS)
-        pairs = pairs.union(
-            i.join(
-                p,
-                (F.col("i.key") == F.col("p.key"))
-                & (F.abs(F.col("i.size") - F.col("p.size")) <= edits)
-                & (F.col("i.low") <= F.col("p.high") + edits)
-                & (F.col("p.low") <= F.col("i.high") + edits)
-                & (place("i") < place("p")),
-            ).select(place("i").alias("a"), place("p").alias("b"))
-        )
-    pairs = pairs.distinct().select(
-        F.col("a.doc").alias("a_doc"), F.col("a.line").alias("a_line"),
-        F.col("b.doc").alias("b_doc"), F.col("b.line").alias("b_line"),
-    )
-    of = lambda x: firsts.select(
-        F.col("doc_id").alias(f"{x}_doc"), F.col("line").alias(f"{x}_line"), F.col("hash_1").alias(f"{x}_hash"),
-        F.col("size").alias(f"{x}_size"), F.col("counts").alias(f"{x}_counts"),
-    )
-    pairs = _alike(pairs.join(of("a"), ["a_doc", "a_line"]).join(of("b"), ["b_doc", "b_line"]), distance)
-    pairs = stored(pairs, "line-pairs")
-    one = _with_text(pairs, docs, "a", ["b_doc", "b_line", "b_hash"])
-    both = _with_text(one, docs, "b", ["a_doc", "a_line", "a_codes"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a = [np.frombuffer(x, np.uint32) for x in batch.column("a_codes").to_pylist()]
-            b = [np.frombuffer(x, np.uint32) for x in batch.column("b_codes").to_pylist()]
-            found = np.zeros(len(a), np.int64)
-            size = np.array([len(x) for x in a], np.int64)
-            shorter = np.minimum(size, np.array([len(x) for x in b], np.int64))
-            limit = shorter // EDIT_CHARS if distance is None else np.full(len(a), distance, np.int64)
-            for edits in np.unique(limit).tolist():
-                order = np.flatnonzero(limit == edits)
-                order = order[np.argsort(size[order], kind="stable")].tolist()
-                at = 0
-                while at < len(order) and edits > BAND_EDITS:
-                    found[order[at]] = long_distance(a[order[at]], b[order[at]], edits)
-                    at += 1
-                while at < len(order):
-                    to = at + 1
-                    while to < len(order) and (to + 1 - at) * (len(a[order[to]]) + 8) <= PAIR_CHARS:
-                        to += 1
-                    some = order[at:to]
-                    found[some] = banded_distance([a[i] for i in some], [b[i] for i in some], edits)
-                    at = to
-            told = pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("a_doc", "a_line", "b_doc", "b_line")], pa.array(found.astype(np.int32))],
-                ["a_doc", "a_line", "b_doc", "b_line", "distance"],
-            )
-            yield told.filter(pa.array(found <= limit))
-
-    return both.mapInArrow(run, "a_doc long, a_line int, b_doc long, b_line int, distance int")
+    asking = stored(met.where("more").select("key", "id").distinct(), "line-probes")
+    discard(spark, index, hubs, met)
+    release(spark)  # of the probes
+    left, new = asking.select("id").distinct().count(), links.select("b_id").distinct().count()
+    while left and new >= FRUITFUL * left:
+        gone = links.select(F.col("b_id").alias("id")).distinct()
+        hubs = stored(rest.join(gone, "id", "left_anti").groupBy("key").agg(F.min(place).alias("hub")), "line-hubs")
+        hub = hubs.select("key", F.col("hub.id").alias("hub"))
+        pairs = asking.join(hub, "key").where("hub <> id").select(F.col("hub").alias("one"), F.col("id").alias("other"))
+        # Of use are lines that aren't removed yet: probes, or hubs with an earlier probe.
+        more = _verified(pairs.distinct(), table, distance).join(gone.select(F.col("id").alias("b_id")), "b_id", "left_anti")
+        more = stored(more.select(*links.columns), "line-links")
+        left, new = left - new, more.select("b_id").distinct().count()
+        used = rest.join(hub, "key", "left").where("hub is null or hub <> id").drop("hub")
+        fewer, both = stored(used, "line-index"), stored(links.unionByName(more), "line-links")
+        discard(spark, rest, hubs, links, more)
+        rest, links = fewer, both
+
+    gone = links.select(F.col("b_id").alias("id"), F.lit(True).alias("gone")).distinct()
+    facts = table.select("id", F.struct("doc", "line").alias("place"), "size", "signature").join(gone, "id", "left")
+    facts = stored(facts.withColumn("gone", F.coalesce("gone", F.lit(False))), "line-facts")
+    i, p = rest.select("key", "id").join(facts, "id").alias("i"), asking.join(facts, "id").alias("p")
+    edits = F.lit(distance) if distance is not None else F.floor(F.log(F.least("i.size", "p.size") / NEAR_CHARS) / F.log(F.lit(float(GROWTH))) + 1e-9) + 1
+    waits = F.when(F.col("i.place") > F.col("p.place"), ~F.col("i.gone")).otherwise(~F.col("p.gone"))
+    pairs = i.join(
+        p,
+        (F.col("i.key") == F.col("p.key"))
+        & (F.col("i.id") != F.col("p.id"))
+        & waits
+        & (F.bit_count(F.col("i.signature").bitwiseXOR(F.col("p.signature"))) <= 2 * edits),
+    ).select(F.col("i.id").alias("one"), F.col("p.id").alias("other"))
+    last = _verified(pairs.distinct(), table, distance)
+    told = stored(links.unionByName(last), "line-links")
+    discard(spark, table, rest, asking, facts, links, last)
+    return told
 
 
 def repeated_lines(docs: DataFrame, distance: int | None = None) -> DataFrame:
@@ -527,11 +474,10 @@ def repeated_lines(docs: DataFrame, distance: int | None = None) -> DataFrame:
     lines = stored(_lines(docs.where("doc_id is not null")), "lines")
     classes = lines.groupBy("hash_1", "hash_2").agg(
         F.min(F.struct("doc_id", "line")).alias("first"), F.max(F.struct("doc_id", "line")).alias("last"), F.first("size").alias("size"),
-        F.first("counts").alias("counts"),
     )
     classes = stored(classes, "line-classes")
-    firsts = classes.where(F.col("size") >= NEAR_CHARS).select("first.doc_id", "first.line", "hash_1", "size", "counts")
-    near = stored(near_lines(docs, firsts, distance), "line-links")
+    firsts = classes.where(F.col("size") >= NEAR_CHARS).select("first.doc_id", "first.line", "hash_1")
+    near = near_lines(docs, firsts, distance)
     earliest = near.groupBy("b_doc", "b_line").agg(
         F.min(F.struct(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line"), "distance")).alias("near")
     )
@@ -544,8 +490,8 @@ def repeated_lines(docs: DataFrame, distance: int | None = None) -> DataFrame:
     source = F.when(F.col("near").isNotNull(), F.col("near")).otherwise(
         F.struct(F.col("first.doc_id"), F.col("first.line"), F.lit(0).alias("distance"))
     )
-    return (
-        lines.join(told.drop("size", "last", "counts"), ["hash_1", "hash_2"])
+    gone = (
+        lines.join(told.drop("size", "last"), ["hash_1", "hash_2"])
         .where(F.col("near").isNotNull() | (own > F.col("first")))
         .select("doc_id", "line", "hash_1", source.alias("s"))
         .select(
@@ -553,6 +499,10 @@ def repeated_lines(docs: DataFrame, distance: int | None = None) -> DataFrame:
             F.col("s.doc_id").alias("source_doc"), F.col("s.line").alias("source_line"), F.col("s.distance"),
         )
     )
+    out = stored(gone, "repeated-lines")
+    discard(docs.sparkSession, lines, classes, near)
+    release(docs.sparkSession)
+    return out
 
 
 def dedup_lines(

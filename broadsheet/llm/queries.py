@@ -244,6 +244,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_vector_code": op13_vector_code,
 }
 
+# Rates above 64 are the sum of equal parts with a draw each, and each part's counts reach as far as its rate asks.
 OP9_SQL = """
 WITH sizes AS (
     SELECT source, coalesce(sum(length(text)), 0)::DOUBLE AS size FROM documents GROUP BY source
@@ -254,20 +255,25 @@ WITH sizes AS (
         THEN round(weight / (SELECT sum(weight) FROM weighed) * (SELECT sum(size) FROM weighed) * 1.0 / size, 9)
         ELSE 0.0 END AS rate
     FROM weighed
+), parted AS (
+    SELECT source, rate, greatest(1, ceil(rate / 64.0))::INTEGER AS parts FROM rates
 ), drawn AS (
-    SELECT d.doc_id, d.source, d.text, r.rate,
-        ('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null') || '|17|1'), 1, 13))::BIGINT / pow(16.0, 13) AS u
-    FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
+    SELECT row_id, doc_id, source, text, rate, parts, rate / parts AS part_rate,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|17|' || part), 1, 13))::BIGINT / pow(16.0, 13) AS u
+    FROM (SELECT row_number() OVER () AS row_id, d.*, r.rate, r.parts, unnest(range(1, r.parts + 1)) AS part
+          FROM documents d JOIN parted r ON d.source IS NOT DISTINCT FROM r.source)
 ), steps AS (
-    SELECT rate, k, sum(term) OVER (PARTITION BY rate ORDER BY k) AS reached
-    FROM (SELECT rate, k, exp(-rate) * pow(rate, k) / gamma(k + 1) AS term
-          FROM (SELECT DISTINCT rate FROM rates), range(0, 100) t(k))
+    SELECT part_rate, k, sum(term) OVER (PARTITION BY part_rate ORDER BY k) AS reached
+    FROM (SELECT part_rate, k,
+              CASE WHEN part_rate > 0 THEN exp(k * ln(CASE WHEN part_rate > 0 THEN part_rate ELSE 1 END) - part_rate - lgamma(k + 1)) ELSE (k = 0)::INTEGER END AS term
+          FROM (SELECT part_rate, unnest(range(0, ceil(part_rate + 12 * sqrt(part_rate) + 40)::BIGINT)) AS k
+                FROM (SELECT DISTINCT part_rate FROM drawn)))
 ), counted AS (
-    SELECT doc_id, source, text, d.rate,
-        (SELECT count(*) FROM steps s WHERE s.rate = d.rate AND s.reached <= d.u) AS n
-    FROM drawn d
+    SELECT doc_id, source, text, rate,
+        sum((SELECT count(*) FROM steps s WHERE s.part_rate = d.part_rate AND s.reached <= d.u)) AS n
+    FROM drawn d GROUP BY row_id, doc_id, source, text, rate
 ), copies AS (
-    SELECT doc_id, source, text, rate, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0
+    SELECT doc_id, source, text, rate, unnest(range(1, n::BIGINT + 1)) AS copy FROM counted WHERE n > 0
 )
 SELECT doc_id, source, copy, rate,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|17|position|' || copy), 1, 13))::BIGINT / pow(16.0, 13) AS position,

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from broadsheet.functions.shape import let
+from broadsheet.llm.work import stored
 
 PART = 64.0
 SEED = 17
@@ -100,5 +101,7 @@ def mixed_sources(docs: DataFrame, weights: DataFrame | None = None, scale: floa
 
     ``position`` in [0, 1) is the hash by which copies are in order.
     """
-    copies = replicated(docs, source_rates(docs, weights, scale, power, source, text), seed, doc_id, source)
+    # Written, so that the rates' size is known before any text moves: sources are few, and then none does here.
+    rates = stored(source_rates(docs, weights, scale, power, source, text), "source-rates")
+    copies = replicated(docs, rates, seed, doc_id, source)
     return copies.withColumn("position", uniform(F.col(f"`{doc_id}`"), F.lit(seed), F.lit("position"), F.col("copy"))).orderBy("position")

@@ -37,7 +37,7 @@ from broadsheet.llm.arrow_text import bounds, gathered, slices
 from broadsheet.llm.bpe import Merges
 from broadsheet.llm.work import stored
 
-CHUNK_BYTES = 1 << 20  # of text in a chunk
+CHUNK_BYTES = 1 << 19  # of text in a chunk
 _B_BITS = 32  # a pair of ids is a << _B_BITS | b
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -21,11 +22,33 @@ def work_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back."""
     path = f"{work_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, compression=compression)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more.
+
+    Only for tables whose results are stored themselves: a lost task must not need them again.
+    """
+    jvm = spark.sparkContext._jvm
+    for table in tables:
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing refers to any more.
+
+    Spark drops them when the driver collects their handles, which may otherwise take long to happen.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 _SHIPPED: set[str] = set()

@@ -13,15 +13,15 @@ from broadsheet.llm import bpe, language_crf, line_dedup, near_dedup, source_mix
 from broadsheet.llm.work import ship, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SCORE = 0.5  # share of a text's words in its language, below which it is rejected
+LEAST_CONFIDENCE = 0.5  # mean chance of the words' likeliest languages, below which a text is rejected
 RANKS = "byte_bpe_50k.tiktoken"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without a language, or without a prevailing one; ``lang`` is what was found."""
+    """Drop texts without a language, or whose words can't be told; ``lang`` is what prevails."""
     ship(spark)
     told = language_crf.identify(docs, docs.where("lang is not null"), keep=COLUMNS)
-    kept = told.where((F.col("lang_pred") != language_crf.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    kept = told.where((F.col("lang_pred") != language_crf.UNKNOWN) & (F.col("confidence") >= LEAST_CONFIDENCE))
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

@@ -82,7 +82,21 @@ def test_code_switched_text_and_cases(spark):
     assert {r["lang_pred"] for r in crf.label(frame, None).collect()} == {"und"}
     assert crf.label(frame.limit(0), model).count() == 0
     kept = crf.label(frame, model, keep=["doc_id", "text"]).columns
-    assert kept == ["doc_id", "text", "lang_pred", "score", "spans"]
+    assert kept == ["doc_id", "text", "lang_pred", "score", "confidence", "spans"]
+    # A text in two languages is as sure as one in a single language, though neither prevails.
+    assert switched["confidence"] > 0.8 and got[5, "en"]["confidence"] > 0.8 and got[2, "und"]["confidence"] == 0.0
+
+
+def test_language_with_long_texts_only(spark):
+    _, by_lang = corpus(spark)
+    long = lambda k: [" ".join([t] * (1 + 30_000 // max(1, len(t)))) for t in by_lang[k][:20]]
+    rows = [(i, t, "en") for i, t in enumerate(t for t in by_lang["en"] if len(t) < 2000) if i < 20]
+    rows += [(100 + i, t, "de") for i, t in enumerate(long("de"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, labels = crf.sample(docs)
+    assert labels.count("de") == 20 and max(len(t.encode()) for t in texts) <= crf.SAMPLE_BYTES
+    told = {r["doc_id"]: r["lang_pred"] for r in crf.identify(docs, docs).collect()}
+    assert sum(told[i] == lang for i, _, lang in rows) >= 38
 
 
 def got_one(got, doc):

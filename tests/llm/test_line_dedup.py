@@ -121,44 +121,106 @@ def test_query(spark):
             elif k in gone:
                 x = gone[k]
                 other = dict(rows)[x["source_doc"]].split("\n")[x["source_line"]]
-                assert distance(line, other) == x["distance"] == 1
+                assert (x["source_doc"], x["source_line"]) < (r["doc_id"], k)
+                assert 0 < distance(line, other) == x["distance"] <= limit(line, other)
         assert r["kept"] == "\n".join(x for k, x in enumerate(lines) if k not in gone)
 
 
+def limit(a: str, b: str) -> int:
+    return int(ld.allowed(np.array([min(len(a), len(b))]))[0])
+
+
+def near_earlier(rows):
+    """For each one-line document the earlier ones near it, by distances of all pairs."""
+    out = {}
+    for k, (j, b) in enumerate(rows):
+        for i, a in rows[:k]:
+            most = limit(a, b)
+            if a != b and abs(len(a) - len(b)) <= most:
+                d = ld.long_distance(*[np.array([ord(c) for c in t], np.uint32) for t in (a, b)], most)
+                if d <= most:
+                    out.setdefault(j, {})[i] = d
+    return out
+
+
 def near_corpus():
     """Lines of many lengths and copies with up to a few more edits than their length allows."""
     draw = random.Random(11)
     rows = []
-    for i, n in enumerate([45, 79, 80, 81, 119, 120, 121, 160, 200, 400, 405, 640, 1300]):
+    for i, n in enumerate([45, 79, 80, 81, 119, 120, 121, 160, 200, 400, 405, 640, 1300, 6000]):
         line = " ".join(prose(100 + i, n))[:n].ljust(n, "x")
         rows.append((100 * i, line))
         for j in range(1, 12):
             x = list(line)
-            for _ in range(max(1, n // ld.EDIT_CHARS + draw.choice([-1, 0, 0, 1]) if j % 2 else draw.randint(1, n // ld.EDIT_CHARS))):
+            for _ in range(max(1, limit(line, line) + draw.choice([-1, 0, 0, 1]) if j % 2 else draw.randint(1, 1 + limit(line, line)))):
                 k = draw.randrange(len(x))
                 x[k : k + 1] = draw.choice([[], ["é"], [x[k], "z"]])
             rows.append((100 * i + j, "".join(x)))
-    return rows + [(5000, "ab" * 1000), (5001, "ab" * 990)]
+    return rows + [(5000, "ab" * 1000), (5001, "ab" * 998)]
 
 
-def test_edits_grow_with_the_length(spark):
-    rows = near_corpus()
-    want = {}
-    for k, (j, b) in enumerate(rows):
-        for i, a in rows[:k]:
-            limit = min(len(a), len(b)) // ld.EDIT_CHARS
-            if a != b and abs(len(a) - len(b)) <= limit and min(len(a), len(b)) >= ld.NEAR_CHARS:
-                d = ld.long_distance(*[np.array([ord(c) for c in t], np.uint32) for t in (a, b)], limit)
-                if d <= limit and j not in want:
-                    want[j] = (0, i, 0, d)
-    assert max(x[3] for x in want.values()) > 15
-    out = {r["doc_id"]: [tuple(x) for x in r["removed"]] for r in ld.dedup_lines(frame(spark, rows)).collect()}
-    first = {}
+def agrees(rows, out):
+    want, first = near_earlier(rows), {}
     for i, text in rows:
-        same = [(0, first[text], 0, 0)] if text in first else []
-        assert out[i] == same or i in want and out[i] == [want[i]]
-        assert not (i in want and not same) or out[i] == [want[i]]
+        if text in first and i not in want:
+            assert out[i] == [(0, first[text], 0, 0)]
+        elif i in want:
+            ((line, source, source_line, d),) = out[i]
+            assert line == source_line == 0 and want[i].get(source, 0 if dict(rows)[source] == text else None) == d
+        else:
+            assert out[i] == []
         first.setdefault(text, i)
+    return want
+
+
+def removed(spark, rows, **other):
+    return {r["doc_id"]: [tuple(x) for x in r["removed"]] for r in ld.dedup_lines(frame(spark, rows), **other).collect()}
+
+
+def test_edits_grow_with_the_length(spark):
+    assert [int(x) for x in ld.allowed(np.array([39, 40, 41, 40 * ld.GROWTH - 1, 40 * ld.GROWTH, 40 * ld.GROWTH**9]))] == [0, 1, 1, 1, 2, 10]
+    rows = near_corpus()
+    want = agrees(rows, removed(spark, rows))
+    assert max(d for near in want.values() for d in near.values()) > 3
+
+
+@pytest.mark.parametrize("fruitful", [0.1, 0.0001, 2.0])
+def test_families_that_share_a_segment(spark, monkeypatch, fruitful):
+    """Families of near copies behind one common half, earlier and later, short and long."""
+    monkeypatch.setattr(ld, "FRUITFUL", fruitful)
+    draw = random.Random(12)
+    half = "this line begins with what many others also begin with " * 2
+    rows = []
+    for family in range(6):
+        end = "".join(draw.choices("abcdefgh ", k=110))
+        for _ in range(7):
+            x = list(end)
+            for _ in range(draw.randint(0, 3)):
+                x[draw.randrange(len(x))] = draw.choice("xyz")
+            rows.append(half + "".join(x))
+    rows += [half + f"page {i} of {j}" for i in range(12) for j in (7, 80)]
+    draw.shuffle(rows)
+    rows = list(enumerate(rows))
+    agrees(rows, removed(spark, rows))
+
+
+def test_near_copies_cost_pairs_in_proportion(spark, monkeypatch):
+    """Pairs that are verified among B near copies of a line are a small multiple of B."""
+    counted = []
+    verify = ld._verified
+    monkeypatch.setattr(ld, "_verified", lambda pairs, *rest: (counted.append(pairs.count()), verify(pairs, *rest))[1])
+    line = " ".join(prose(77, 200))[:400]
+    for copies in (100, 200):
+        draw = random.Random(copies)
+        rows = [(0, line)]
+        for i in range(1, copies):
+            x = list(line)
+            x[draw.randrange(len(x))] = f"{i % 10}"
+            rows.append((i, "".join(x)))
+        counted.clear()
+        out = removed(spark, rows)
+        assert sum(len(x) == 1 for x in out.values()) >= copies - 2
+        assert sum(counted) <= 4 * copies
 
 
 def test_long_distance_against_the_table():

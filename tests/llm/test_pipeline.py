@@ -24,7 +24,7 @@ def test_stages_take_effect_one_after_another(spark, tmp_path):
         if n < 4:
             assert out.columns == cp.COLUMNS
         if name == "language_id":
-            assert ids == {i for i, r in told.items() if r["lang_pred"] != "und" and r["score"] >= cp.LEAST_SCORE}
+            assert ids == {i for i, r in told.items() if r["lang_pred"] != "und" and r["confidence"] >= cp.LEAST_CONFIDENCE}
             assert len(ids) == len(after) and all(r["text"] == before[r["doc_id"]]["text"] for r in after)
         elif name == "line_dedup":
             want = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}

@@ -78,3 +78,16 @@ def test_query_and_sql(spark):
 def test_uniform(spark, value):
     u = spark.createDataFrame([(value,)], "x long").select(sm.uniform(F.col("x"), F.lit(1)).alias("u")).first()["u"]
     assert 0 <= u < 1
+
+
+def test_sql_with_a_rate_over_one_part(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, "x" * 40_000, "large") for i in range(80)] + [(900, "ab", "tiny"), (901, "c", "tiny"), (902, "y" * 300, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(str(tmp_path / "documents"))
+    told = sm.mixed_sources(docs, power=0.5).select("doc_id", "source", "copy", "rate", "position", "text")
+    assert told.agg(F.max("rate")).first()[0] > 3 * sm.PART
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert compare(told, con, SQL["op9_source_mixing"]) is None
