@@ -46,7 +46,7 @@ from broadsheet.llm.work import discard, release, stored
 
 EXACT_CHARS = 1  # empty lines stay
 NEAR_CHARS = 40  # code points from which a line allows an edit
-GROWTH = 2  # factor of length for each further edit
+GROWTH = 3  # factor of length for each further edit
 BAND_EDITS = 8  # up to so many edits pairs are verified side by side
 FRUITFUL = 0.1  # hubs are tried again while they remove this share of the lines that were left
 CLASSES = 32  # of characters, counted in each line
@@ -151,6 +151,18 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, line int, size int, hash_1 long, hash_2 long")
 
 
+class Ranges:
+    """Hashes of many stretches of the same values."""
+
+    def __init__(self, values: np.ndarray):
+        up, self.down = _FIRST.upto(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[: len(values)], dtype=np.uint64, out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+
 def segments(size: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the even segments of lines of given lengths; the last ones are longer."""
     count = distance + 1
@@ -181,22 +193,24 @@ def _keys(
     """
     owners, keys = [], []
     for some, codes, start in lines.parts(which):
+        hashes = Ranges(codes)
         size = lines.size[which[some]]
         for shorter in range(distance + 1) if probe else (0,):
             begin, length = segments(size - shorter, distance)
             meant = (size - shorter >= low_size) & (size - shorter < high_size)
-            for i in range(distance + 1):
-                left, right = i, distance - i  # edits that may lie on either side
-                for shift in range(-distance, distance + 1) if probe else (0,):
-                    if probe and not (-left <= shift <= left and shorter - right <= shift <= shorter + right):
-                        continue
-                    at = begin[:, i] + shift
-                    fits = np.flatnonzero(meant & (at >= 0) & (at + length[:, i] <= size) & (length[:, i] > 0))
-                    low = start[fits] + at[fits]
-                    value = range_hashes(codes, low, low + length[fits, i], _FIRST)
-                    tag = (size[fits] - shorter).astype(np.uint64) * _U(64) + _U(i)
-                    owners.append(some[fits])
-                    keys.append(mixed(value + mixed(tag)))
+            # A segment can't stand further off than edits may lie to its left, or to its right.
+            places = [
+                (i, shift)
+                for i in range(distance + 1)
+                for shift in (range(max(-i, shorter - (distance - i)), min(i, shorter + (distance - i)) + 1) if probe else (0,))
+            ]
+            which_one, shift = np.array(places, np.int64).reshape(-1, 2).T
+            at, long = begin[:, which_one] + shift, length[:, which_one]
+            row, column = np.nonzero(meant[:, None] & (at >= 0) & (at + long <= size[:, None]) & (long > 0))
+            low = start[row] + at[row, column]
+            tag = (size[row] - shorter).astype(np.uint64) * _U(64) + which_one[column].astype(np.uint64)
+            owners.append(some[row])
+            keys.append(mixed(hashes.of(low, low + long[row, column]) + mixed(tag)))
     return (np.concatenate(owners), np.concatenate(keys)) if owners else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
 
@@ -416,9 +430,9 @@ def near_lines(docs: DataFrame, firsts: DataFrame, distance: int | None = None)
     """
     spark = docs.sparkSession
     listed = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("line", "hash_1")).alias("wanted"))
-    # A short name of a line's place. Rows that repeat an id and a text repeat it; should two places ever
-    # share one, pairs are told apart by place again before they are verified.
-    table = _line_table(docs.join(listed, "doc_id")).select(F.xxhash64("doc", "line").alias("id"), "*")
+    # Numbers are narrow and close to one another. Rows that repeat an id and a text have lines with other
+    # numbers in the same place, which are no pairs.
+    table = _line_table(docs.join(listed, "doc_id")).select(F.monotonically_increasing_id().alias("id"), "*")
     table = stored(table, "line-table", "zstd")
     release(spark)  # of the shuffled texts
     place = F.struct("doc", "line", "id")
