@@ -35,6 +35,7 @@ from broadsheet.llm.work import stored
 
 WINDOW, SLOP = 10, 2
 STRETCH = 64  # words of a document whose postings are looked up together
+MOST_SENT = 500_000  # documents with candidates that are sent to all tasks, some tens of bytes each
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 COUNT = ""  # no word: its posting is the number of a document's words
@@ -145,11 +146,28 @@ def candidates(index: Index, window: int = WINDOW, slop: int = SLOP) -> DataFram
     return stored(_met(first, index.postings, 2, slop, lookups), "candidates")
 
 
-def phrase_matches(index: Index, found: DataFrame, window: int = WINDOW) -> DataFrame:
+def nearby_postings(index: Index, found: DataFrame, slop: int = SLOP) -> DataFrame:
+    """The postings around candidates, written: of documents that have any, in the stretches that these cover.
+
+    The documents are sent to all tasks if they are at most ``MOST_SENT``, which is counted; beyond that they
+    are joined like any other table.
+    """
+    stretch = lambda position: F.floor(position / STRETCH)
+    low, high = F.col("start") + F.col("first") - slop, F.col("start") + F.col("last") + slop
+    listed = found.select(*PLACE, F.explode(F.sequence(stretch(low), stretch(high))).alias("stretch")).distinct()
+    places = stored(listed.groupBy(*PLACE).agg(F.collect_list("stretch").alias("stretches")), "candidate-places")
+    sent = F.broadcast(places) if places.count() <= MOST_SENT else places
+    inside = index.postings.join(sent, PLACE).where(F.array_contains("stretches", stretch(F.col("position"))))
+    return stored(inside.select(*PLACE, "term", "position").distinct(), "nearby-postings")
+
+
+def phrase_matches(index: Index, found: DataFrame, window: int = WINDOW, inside: DataFrame | None = None) -> DataFrame:
     """(doc, twin, item, start, first, last): stretches of an item's offsets that occur word by word.
 
-    ``found``: of ``candidates``. The item's word at an offset is the document's at ``start`` + offset.
+    ``found``: of ``candidates``; ``inside``: of ``nearby_postings``. The item's word at an offset is the
+    document's at ``start`` + offset.
     """
+    inside = nearby_postings(index, found) if inside is None else inside
     due = (
         found.where("apart_2 = 0")
         .select(*PLACE, "item", "start", F.explode(F.sequence("first", "last")).alias("offset"))
@@ -157,13 +175,7 @@ def phrase_matches(index: Index, found: DataFrame, window: int = WINDOW) -> Data
         .join(index.tokens, ["item", "offset"])
         .withColumn("position", F.col("start") + F.col("offset"))
     )
-    due = stored(due, "due-words")
-    # Which stretches of which documents are asked for: only their postings move.
-    stretch = lambda position: F.floor(position / STRETCH)
-    within = due.select(*PLACE, stretch(F.col("position")).alias("stretch")).distinct()
-    within = stored(within.groupBy(*PLACE).agg(F.collect_list("stretch").alias("stretches")), "matched-places")
-    inside = index.postings.join(within, PLACE).where(F.array_contains("stretches", stretch(F.col("position"))))
-    hit = due.join(inside.select(*PLACE, "term", "position"), [*PLACE, "term", "position"], "left_semi")
+    hit = due.join(inside, [*PLACE, "term", "position"], "left_semi")
     alignment = [*PLACE, "item", "start"]
     run = F.col("offset") - F.row_number().over(Window.partitionBy(*alignment).orderBy("offset"))
     runs = hit.withColumn("run", run).groupBy(*alignment, "run").agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
@@ -174,12 +186,13 @@ def phrase_matches(index: Index, found: DataFrame, window: int = WINDOW) -> Data
     )
 
 
-def proximity_matches(index: Index, found: DataFrame, slop: int = SLOP) -> DataFrame:
+def proximity_matches(index: Index, found: DataFrame, slop: int = SLOP, inside: DataFrame | None = None) -> DataFrame:
     """(doc, twin, item, start, apart): windows whose three rarest terms stand within ``slop`` of their places.
 
     Places are counted from the rarest term's; ``apart``: the largest distance from one.
     """
-    third = _met(found.where(F.col("apart_2") <= slop), index.postings, 3, slop)
+    inside = nearby_postings(index, found, slop) if inside is None else inside
+    third = _met(found.where(F.col("apart_2") <= slop), inside, 3, slop)
     return third.groupBy(*PLACE, "item", "start").agg(F.min(F.greatest("apart_2", "apart_3")).alias("apart"))
 
 
@@ -192,7 +205,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
     """
     index = build_index(docs, items, doc_id, item_id, text)
     found = candidates(index, window, slop)
-    phrases = stored(phrase_matches(index, found, window), "phrases")
+    inside = nearby_postings(index, found, slop)
+    phrases = stored(phrase_matches(index, found, window, inside), "phrases")
     hits = (
         phrases.select(*PLACE, F.explode(F.sequence(F.col("start") + F.col("first"), F.col("start") + F.col("last"))).alias("position"))
         .distinct()
@@ -209,7 +223,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
     return (
         counted.join(hits, PLACE, "left")
         .join(ids(phrases, "items"), PLACE, "left")
-        .join(ids(proximity_matches(index, found, slop), "near_items"), PLACE, "left")
+        .join(ids(proximity_matches(index, found, slop, inside), "near_items"), PLACE, "left")
         .select(
             F.when(F.col("known"), F.col("doc")).alias("doc_id"),
             F.col("position").cast("long").alias("n_words"),

@@ -39,6 +39,7 @@ from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from broadsheet.llm.arrow_text import Powers, bounds, gathered, mixed, range_hashes, slices
@@ -48,8 +49,10 @@ EXACT_CHARS = 1  # empty lines stay
 NEAR_CHARS = 40  # code points from which a line allows an edit
 GROWTH = 3  # factor of length for each further edit
 BAND_EDITS = 8  # up to so many edits pairs are verified side by side
+PAIR = ["a_doc", "a_line", "b_doc", "b_line"]
 FRUITFUL = 0.1  # hubs are tried again while they remove this share of the lines that were left
 CLASSES = 32  # of characters, counted in each line
+PACKED_BYTES = 1 << 19  # of compressed text that is unpacked at once
 PAIR_CHARS = 1 << 20  # code points of the pairs that are verified side by side
 
 _U = np.uint64
@@ -67,6 +70,7 @@ class Lines:
         np.cumsum(
             1 + (self.codes >= 0x80).astype(np.int8) + (self.codes >= 0x800) + (self.codes >= 0x10000), out=place[1:]
         )
+        self.data, self.place = data, place
         first = np.searchsorted(place, off)
         breaks = np.flatnonzero(self.codes == 10)
         null = texts.is_null().to_numpy(zero_copy_only=False)
@@ -82,6 +86,12 @@ class Lines:
         self.end = np.where(last, first[self.text + 1], padded[np.minimum(before + 1, len(padded) - 1)])
         self.size = self.end - self.start
 
+    def texts(self, which: np.ndarray) -> pa.Array:
+        """The texts of some lines."""
+        low, size = self.place[self.start[which]], self.place[self.end[which]] - self.place[self.start[which]]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return pa.Array.from_buffers(pa.large_string(), len(which), [None, pa.py_buffer(ends), pa.py_buffer(gathered(self.data, low, size))]).cast(pa.string())
+
     def hashes(self, which: np.ndarray, powers: Powers) -> np.ndarray:
         out = np.empty(len(which), np.uint64)
         for some, codes, start in self.parts(which):
@@ -117,18 +127,41 @@ def allowed(size: np.ndarray, distance: int | None = None) -> np.ndarray:
     return edits
 
 
-def _counts(lines: Lines) -> pa.Array:
+def _counts(lines: Lines, which: np.ndarray) -> pa.Array:
     """How often each of ``CLASSES`` classes of characters occurs in each line, modulo 256, as bytes."""
     kind = (((lines.codes * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(CLASSES)).astype(np.int64)
-    out = np.zeros((len(lines.size), CLASSES), np.uint8)
+    out = np.zeros((len(which), CLASSES), np.uint8)
     for at in range(0, len(out), 256):
-        size, start = lines.size[at : at + 256], lines.start[at : at + 256]
+        some = which[at : at + 256]
+        size, start = lines.size[some], lines.start[some]
         owner = np.repeat(np.arange(len(size)), size)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + start[owner]
         out[at : at + 256] = np.bincount(owner * CLASSES + kind[place], minlength=len(size) * CLASSES).reshape(-1, CLASSES)
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(CLASSES), len(out), [None, pa.py_buffer(out.tobytes())]).cast(pa.binary())
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``text`` compressed, as it is about to be shuffled."""
+    rest = [c for c in docs.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = [None if not t.is_valid else packer.compress(t.as_buffer()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(texts, pa.binary())], [*rest, "text"])
+
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in rest)
+    return docs.select(*rest, "text").mapInArrow(run, f"{kinds}, text binary")
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices, with their texts as they were."""
+    packer, at = zstandard.ZstdDecompressor(), batch.schema.get_field_index("text")
+    for part in slices(batch, "text", PACKED_BYTES):
+        texts = pa.array([None if not t.is_valid else packer.decompress(t.as_buffer()) for t in part.column("text")], pa.binary())
+        yield from slices(part.set_column(at, "text", texts.view(pa.string())), "text")
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line, size, hash_1, hash_2) of all lines but empty ones."""
 
@@ -247,20 +280,17 @@ def _line_table(chosen: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in _unpacked(batch):
                 lines, which, _ = _first_lines(part)
-                which = np.unique(which)  # a listed line may stand in several rows of an id
-                raw = lines.codes
-                texts = [raw[s:e].tobytes().decode("utf-32-le") for s, e in zip(lines.start[which].tolist(), lines.end[which].tolist())]
-                own = Lines(pa.array(texts, pa.string()))
+                which = np.sort(which)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(pa.array(lines.text[which])),
                         pa.array(lines.number[which].astype(np.int32)),
-                        pa.array(own.size.astype(np.int32)),
-                        pa.array(_signatures(own, np.arange(len(texts)))),
-                        _counts(own),
-                        pa.array(texts, pa.string()),
+                        pa.array(lines.size[which].astype(np.int32)),
+                        pa.array(_signatures(lines, which)),
+                        _counts(lines, which),
+                        lines.texts(which),
                     ],
                     ["doc", "line", "size", "signature", "counts", "text"],
                 )
@@ -269,7 +299,7 @@ def _line_table(chosen: DataFrame) -> DataFrame:
 
 
 def _segment_keys(table: DataFrame, distance: int | None, probe: bool) -> DataFrame:
-    """(key, id) of the lines of the table."""
+    """(key, doc, line) of the lines of the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,11 +308,12 @@ def _segment_keys(table: DataFrame, distance: int | None, probe: bool) -> DataFr
                 for edits, low, high in _groups(int(lines.size.max(initial=0)), distance):
                     some = np.flatnonzero((lines.size >= low) & (lines.size < high + (edits if probe else 0)))
                     owner, key = _keys(lines, some, edits, probe, low, high)
+                    mine = pa.array(some[owner])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), part.column("id").take(pa.array(some[owner]))], ["key", "id"]
+                        [pa.array(key.view(np.int64)), part.column("doc").take(mine), part.column("line").take(mine)], ["key", "doc", "line"]
                     )
 
-    return table.select("id", "text").mapInArrow(run, "key long, id long")
+    return table.select("doc", "line", "text").mapInArrow(run, "key long, doc long, line int")
 
 
 def _alike(pairs: DataFrame, distance: int | None) -> DataFrame:
@@ -293,27 +324,25 @@ def _alike(pairs: DataFrame, distance: int | None) -> DataFrame:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CLASSES) for c in ("a_counts", "b_counts"))
             apart = np.abs((a - b).view(np.int8).astype(np.int64)).sum(1)  # never more than the true difference
             shorter = np.minimum(batch.column("a_size").to_numpy(), batch.column("b_size").to_numpy())
-            yield batch.select(names).filter(pa.array(apart <= 2 * allowed(shorter, distance)))
+            yield batch.select(PAIR).filter(pa.array(apart <= 2 * allowed(shorter, distance)))
 
-    names = ["a_id", "a_doc", "a_line", "b_id", "b_doc", "b_line"]
-    return pairs.mapInArrow(run, "a_id long, a_doc long, a_line int, b_id long, b_doc long, b_line int")
+    return pairs.mapInArrow(run, "a_doc long, a_line int, b_doc long, b_line int")
 
 
 def _verified(pairs: DataFrame, table: DataFrame, distance: int | None) -> DataFrame:
-    """Links among pairs (one, other) of line ids: (a_id, a_doc, a_line, b_id, b_doc, b_line, distance), a the earlier."""
+    """Links among pairs (one, other) of places: (a_doc, a_line, b_doc, b_line, distance), a the earlier."""
     of = lambda x: table.select(
-        F.col("id").alias(x), F.struct(F.col("doc").alias("doc"), F.col("line").alias("line"), "id", "size", "counts").alias(f"{x}_line")
+        F.struct("doc", "line").alias(x), F.struct(F.col("doc").alias("doc"), F.col("line").alias("line"), "size", "counts").alias(f"{x}_line")
     )
-    known = pairs.join(of("one"), "one").join(of("other"), "other")
+    known = pairs.where("one <> other").join(of("one"), "one").join(of("other"), "other")
     first, last = F.least("one_line", "other_line"), F.greatest("one_line", "other_line")
-    names = lambda x, s: [s[c].alias(f"{x}_{c}") for c in ("id", "doc", "line", "size", "counts")]
-    apart = known.where("one_line.doc <> other_line.doc or one_line.line <> other_line.line")
-    alike = stored(_alike(apart.select(*names("a", first), *names("b", last)), distance).distinct(), "line-pairs")
-    place = lambda x: [f"{x}_id", f"{x}_doc", f"{x}_line"]
-    wanted = stored(alike.select(*place("a")).union(alike.select(*place("b"))).distinct().toDF("id", "doc", "line"), "wanted-lines")
-    texts = table.select("id", "doc", "line", "text").join(wanted, ["id", "doc", "line"]).dropDuplicates(["id", "doc", "line"])
-    text = lambda x: texts.toDF(*place(x), f"{x}_text")
-    both = alike.join(text("a"), place("a")).join(text("b"), place("b"))
+    names = lambda x, s: [s[c].alias(f"{x}_{c}") for c in ("doc", "line", "size", "counts")]
+    # Rows that repeat an id and a text have their lines twice in the table.
+    alike = stored(_alike(known.select(*names("a", first), *names("b", last)), distance).distinct(), "line-pairs")
+    wanted = stored(alike.select("a_doc", "a_line").union(alike.select("b_doc", "b_line")).distinct().toDF("doc", "line"), "wanted-lines")
+    texts = table.select("doc", "line", "text").join(wanted, ["doc", "line"]).dropDuplicates(["doc", "line"])
+    text = lambda x: texts.toDF(f"{x}_doc", f"{x}_line", f"{x}_text")
+    both = alike.join(text("a"), ["a_doc", "a_line"]).join(text("b"), ["b_doc", "b_line"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -335,12 +364,10 @@ def _verified(pairs: DataFrame, table: DataFrame, distance: int | None) -> DataF
                     some = order[at:to]
                     found[some] = banded_distance([a[i] for i in some], [b[i] for i in some], edits)
                     at = to
-            told = batch.select(kept).append_column("distance", pa.array(found.astype(np.int32)))
+            told = batch.select(PAIR).append_column("distance", pa.array(found.astype(np.int32)))
             yield told.filter(pa.array(found <= limit))
 
-    kept = ["a_id", "a_doc", "a_line", "b_id", "b_doc", "b_line"]
-    links = both.mapInArrow(run, "a_id long, a_doc long, a_line int, b_id long, b_doc long, b_line int, distance int")
-    out = stored(links, "line-links")
+    out = stored(both.mapInArrow(run, "a_doc long, a_line int, b_doc long, b_line int, distance int"), "line-links")
     discard(table.sparkSession, alike, wanted)
     return out
 
@@ -421,62 +448,58 @@ def long_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     return min(found, limit + 1)
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame, distance: int | None = None) -> DataFrame:
-    """Links between different lines: (a_id, a_doc, a_line, b_id, b_doc, b_line, distance), a the earlier.
+def near_lines(packed: DataFrame, firsts: DataFrame, distance: int | None = None) -> DataFrame:
+    """Links between different lines: (a_doc, a_line, b_doc, b_line, distance), a the earlier.
 
     Every line with an earlier one near it is the later one of a link; not all such links are told.
-    ``docs``: (doc_id, text); ``firsts``: (doc_id, line, hash_1) of the lines to compare. Without
+    ``packed``: documents of ``_packed``; ``firsts``: (doc_id, line, hash_1) of the lines to compare. Without
     ``distance``, the edits that the shorter line's length allows.
     """
-    spark = docs.sparkSession
+    spark = packed.sparkSession
     listed = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("line", "hash_1")).alias("wanted"))
-    # Numbers are narrow and close to one another. Rows that repeat an id and a text have lines with other
-    # numbers in the same place, which are no pairs.
-    table = _line_table(docs.join(listed, "doc_id")).select(F.monotonically_increasing_id().alias("id"), "*")
-    table = stored(table, "line-table", "zstd")
+    table = stored(_line_table(packed.join(listed, "doc_id")), "line-table", "zstd")
     release(spark)  # of the shuffled texts
-    place = F.struct("doc", "line", "id")
-    index = stored(_segment_keys(table, distance, False).join(table.select("id", "doc", "line"), "id"), "line-index")
-    hubs = stored(index.groupBy("key").agg(F.min(place).alias("hub"), (F.count("*") > 1).alias("more")), "line-hubs")
-    probes = _segment_keys(table, distance, True).join(hubs.select("key", F.col("hub.id").alias("hub"), "more"), "key")
-    met = stored(probes.where("more or hub <> id"), "line-probes")
-    links = _verified(met.where("hub <> id").select(F.col("hub").alias("one"), F.col("id").alias("other")).distinct(), table, distance)
+    place, hub = F.struct("doc", "line"), F.col("hub")
+    hubs = _segment_keys(table, distance, False).groupBy("key").agg(F.min(place).alias("hub"), (F.count("*") > 1).alias("more"))
+    hubs = stored(hubs, "line-hubs", "zstd")
+    met = _segment_keys(table, distance, True).join(hubs, "key").where(F.col("more") | (hub != place))
+    met = stored(met, "line-probes", "zstd")
+    release(spark)  # of the shuffled probes
+    links = _verified(met.select(hub.alias("one"), place.alias("other")).where("one <> other").distinct(), table, distance)
 
     # Keys with several indexed lines: those lines but the hub, and all that probe them.
-    rest = stored(
-        index.join(hubs.where("more").select("key", F.col("hub.id").alias("hub")), "key").where("id <> hub").drop("hub"), "line-index"
-    )
-    asking = stored(met.where("more").select("key", "id").distinct(), "line-probes")
-    discard(spark, index, hubs, met)
-    release(spark)  # of the probes
-    left, new = asking.select("id").distinct().count(), links.select("b_id").distinct().count()
+    rest = _segment_keys(table, distance, False).join(hubs.where("more").select("key", "hub"), "key")
+    rest = stored(rest.where(place != hub).drop("hub"), "line-index", "zstd")
+    asking = stored(met.where("more").select("key", "doc", "line").distinct(), "line-probes", "zstd")
+    discard(spark, hubs, met)
+    removed = lambda told: told.select(F.col("b_doc").alias("doc"), F.col("b_line").alias("line")).distinct()
+    left, new = asking.select("doc", "line").distinct().count(), removed(links).count()
     while left and new >= FRUITFUL * left:
-        gone = links.select(F.col("b_id").alias("id")).distinct()
-        hubs = stored(rest.join(gone, "id", "left_anti").groupBy("key").agg(F.min(place).alias("hub")), "line-hubs")
-        hub = hubs.select("key", F.col("hub.id").alias("hub"))
-        pairs = asking.join(hub, "key").where("hub <> id").select(F.col("hub").alias("one"), F.col("id").alias("other"))
+        gone = removed(links)
+        hubs = stored(rest.join(gone, ["doc", "line"], "left_anti").groupBy("key").agg(F.min(place).alias("hub")), "line-hubs")
+        pairs = asking.join(hubs, "key").select(hub.alias("one"), place.alias("other")).where("one <> other").distinct()
         # Of use are lines that aren't removed yet: probes, or hubs with an earlier probe.
-        more = _verified(pairs.distinct(), table, distance).join(gone.select(F.col("id").alias("b_id")), "b_id", "left_anti")
-        more = stored(more.select(*links.columns), "line-links")
-        left, new = left - new, more.select("b_id").distinct().count()
-        used = rest.join(hub, "key", "left").where("hub is null or hub <> id").drop("hub")
-        fewer, both = stored(used, "line-index"), stored(links.unionByName(more), "line-links")
+        later = gone.toDF("b_doc", "b_line")
+        more = stored(_verified(pairs, table, distance).join(later, ["b_doc", "b_line"], "left_anti").select(*links.columns), "line-links")
+        left, new = left - new, removed(more).count()
+        fewer = stored(rest.join(hubs, "key", "left").where(hub.isNull() | (hub != place)).drop("hub"), "line-index")
+        both = stored(links.unionByName(more), "line-links")
         discard(spark, rest, hubs, links, more)
         rest, links = fewer, both
 
-    gone = links.select(F.col("b_id").alias("id"), F.lit(True).alias("gone")).distinct()
-    facts = table.select("id", F.struct("doc", "line").alias("place"), "size", "signature").join(gone, "id", "left")
-    facts = stored(facts.withColumn("gone", F.coalesce("gone", F.lit(False))), "line-facts")
-    i, p = rest.select("key", "id").join(facts, "id").alias("i"), asking.join(facts, "id").alias("p")
+    gone = removed(links).withColumn("gone", F.lit(True))
+    facts = table.select("doc", "line", "size", "signature").distinct().join(gone, ["doc", "line"], "left")
+    facts = stored(facts.select("doc", "line", place.alias("place"), "size", "signature", F.coalesce("gone", F.lit(False)).alias("gone")), "line-facts")
+    i, p = rest.select("key", "doc", "line").join(facts, ["doc", "line"]).alias("i"), asking.join(facts, ["doc", "line"]).alias("p")
     edits = F.lit(distance) if distance is not None else F.floor(F.log(F.least("i.size", "p.size") / NEAR_CHARS) / F.log(F.lit(float(GROWTH))) + 1e-9) + 1
     waits = F.when(F.col("i.place") > F.col("p.place"), ~F.col("i.gone")).otherwise(~F.col("p.gone"))
     pairs = i.join(
         p,
         (F.col("i.key") == F.col("p.key"))
-        & (F.col("i.id") != F.col("p.id"))
+        & (F.col("i.place") != F.col("p.place"))
         & waits
         & (F.bit_count(F.col("i.signature").bitwiseXOR(F.col("p.signature"))) <= 2 * edits),
-    ).select(F.col("i.id").alias("one"), F.col("p.id").alias("other"))
+    ).select(F.col("i.place").alias("one"), F.col("p.place").alias("other"))
     last = _verified(pairs.distinct(), table, distance)
     told = stored(links.unionByName(last), "line-links")
     discard(spark, table, rest, asking, facts, links, last)
@@ -485,13 +508,13 @@ def near_lines(docs: DataFrame, firsts: DataFrame, distance: int | None = None)
 
 def repeated_lines(docs: DataFrame, distance: int | None = None) -> DataFrame:
     """Lines to remove: (doc_id, line, hash_1, source_doc, source_line, distance)."""
-    lines = stored(_lines(docs.where("doc_id is not null")), "lines")
+    lines = stored(_lines(docs.where("doc_id is not null")), "lines", "zstd")
     classes = lines.groupBy("hash_1", "hash_2").agg(
         F.min(F.struct("doc_id", "line")).alias("first"), F.max(F.struct("doc_id", "line")).alias("last"), F.first("size").alias("size"),
     )
-    classes = stored(classes, "line-classes")
+    classes = stored(classes, "line-classes", "zstd")
     firsts = classes.where(F.col("size") >= NEAR_CHARS).select("first.doc_id", "first.line", "hash_1")
-    near = near_lines(docs, firsts, distance)
+    near = near_lines(_packed(docs), firsts, distance)
     earliest = near.groupBy("b_doc", "b_line").agg(
         F.min(F.struct(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line"), "distance")).alias("near")
     )
@@ -536,10 +559,10 @@ def dedup_lines(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in _unpacked(batch):
                 yield _without(part)
 
-    found = base.join(gone, "doc_id", "left").mapInArrow(
+    found = _packed(base).join(gone, "doc_id", "left").mapInArrow(
         run,
         f"doc_id long, rest {base.schema['rest'].dataType.simpleString()}, n_lines long, n_removed long, kept string, "
         "removed array<struct<line: int, source_doc: bigint, source_line: int, distance: int>>",
