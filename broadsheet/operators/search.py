@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from broadsheet.functions.shape import computed, let
 from broadsheet.operators.analysis import PLAIN, Analyser
 from broadsheet.operators.filters import check_terms
+from broadsheet.operators.query_terms import Slot, all_terms, analysed, distinct_slots, phrase_starts
 
 # ---- fixed values: BM25 parameters --------------------------------------------------
 K1 = 1.2
@@ -45,25 +46,30 @@ def required_matches(n_terms: int, mm: float | int) -> int:
     return max(1, min(n_terms, needed))
 
 
-def _term_counts(words: Column, terms: Sequence[str]) -> Column:
-    """Frequency of each query term among ``words``, in query order.
+def _term_counts(words: Column, asked: Sequence[tuple[str, ...]]) -> Column:
+    """How often what a query asks for stands among ``words``, in query order; synonyms add up.
 
     One hashed pass keeps the query's words; only those are compared per term.
     """
-    asked = F.array(*[F.lit(t) for t in terms])
+    every = list(dict.fromkeys(t for terms in asked for t in terms))
+    listed = F.array(*[F.array(*[F.lit(t) for t in terms]) for terms in asked])
     return let(
-        F.filter(words, lambda w: w.isin(*terms)),
-        lambda hits: F.transform(asked, lambda q: F.size(F.filter(hits, lambda w: w == q)).cast("double")),
+        F.filter(words, lambda w: w.isin(*every)),
+        lambda hits: F.transform(listed, lambda q: F.size(F.filter(hits, lambda w: F.array_contains(q, w))).cast("double")),
     )
 
 
-def _phrase_count(words: Column, phrase: Sequence[str]) -> Column:
-    """Occurrences of the words of ``phrase`` next to each other."""
-    n = len(phrase)
-    wanted = F.array(*[F.lit(t) for t in phrase])
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-    found = F.filter(starts, lambda i: F.slice(words, i, n) == wanted)
-    return F.coalesce(F.when(F.size(words) >= n, F.size(found)), F.lit(0)).cast("double")
+def _phrase_count(placed: Column, slots: Sequence[Slot]) -> Column:
+    """Occurrences of the query's words in their places, in an array of (pos, term)."""
+
+    def of(own: Column) -> Column:
+        def held(slot: Slot) -> Column:
+            return F.transform(F.filter(own, lambda p: p["term"].isin(*slot.terms)), lambda p: p["pos"])
+
+        return F.size(phrase_starts([held(s) for s in slots], slots))
+
+    every = all_terms(slots)
+    return F.coalesce(let(F.filter(placed, lambda p: p["term"].isin(*every)), of), F.lit(0)).cast("double")
 
 
 def _fold_sum(values: Column) -> Column:
@@ -84,14 +90,16 @@ def search_fields(
 ) -> DataFrame:
     """Matching rows as (key, *keep, matched, score).
 
-    Per term the best weighted field counts; terms add up. ``mm`` says how many terms must
-    match. ``phrase_weights`` adds the score of the whole query as a phrase. ``boost`` adds a
+    The query is analysed by the fields' chain; what it asks for is its words, each once, where
+    synonyms in one place are one word. Per word the best weighted field counts; words add up. ``mm`` says
+    how many must match. ``phrase_weights`` adds the score of the whole query as a phrase. ``boost`` adds a
     numeric column. ``filters`` narrow the hits but not the collection's statistics. An empty
     query matches everything with score 0.
     """
-    terms = check_terms(terms)
+    slots = analysed(df.sparkSession, terms, analyser)
+    asked = distinct_slots(slots)
     narrowed = df
-    if not terms:
+    if not asked:
         for test in filters:
             narrowed = narrowed.where(test)
         zero = F.lit(0.0) if boost is None else F.coalesce(F.col(boost).cast("double"), F.lit(0.0))
@@ -100,15 +108,21 @@ def search_fields(
     phrase_weights = dict(phrase_weights or {})
     fields = list(dict.fromkeys([*weights, *phrase_weights]))
 
-    def counted(source: DataFrame, extra: Sequence[Column]) -> DataFrame:
-        words = computed(source, extra, [analyser.words(F.col(f)).alias(f"w_{f}") for f in fields])
+    def counted(source: DataFrame, extra: Sequence[Column], placed: Sequence[str] = ()) -> DataFrame:
+        """Counts of each row; ``placed``: fields whose terms stay, with their positions."""
+        words = computed(
+            source,
+            extra,
+            [analyser.terms(F.col(f)).alias(f"w_{f}") if f in placed else analyser.words(F.col(f)).alias(f"w_{f}") for f in fields],
+        )
+        of = {f: F.transform(f"w_{f}", lambda p: p["term"]) if f in placed else F.col(f"w_{f}") for f in fields}
         return computed(
             words,
             [c for c in words.columns if not c.startswith("w_")],
             [
                 *[F.size(F.col(f"w_{f}")).cast("double").alias(f"dl_{f}") for f in fields],
-                *[_term_counts(F.col(f"w_{f}"), terms).alias(f"tf_{f}") for f in fields],
-                *[F.col(f"w_{f}") for f in phrase_weights],
+                *[_term_counts(of[f], asked).alias(f"tf_{f}") for f in fields],
+                *[F.col(f"w_{f}") for f in placed],
             ],
         )
 
@@ -121,7 +135,7 @@ def search_fields(
             F.count_if(present).cast("double").alias(f"n_{f}"),
             F.avg(F.when(present, F.col(f"dl_{f}"))).alias(f"avg_{f}"),
             F.array(
-                *[F.count_if(F.get(F.col(f"tf_{f}"), i) > 0).cast("double") for i in range(len(terms))]
+                *[F.count_if(F.get(F.col(f"tf_{f}"), i) > 0).cast("double") for i in range(len(asked))]
             ).alias(f"df_{f}"),
         ]
     stats = counted(df, []).agg(*per_field)
@@ -130,18 +144,18 @@ def search_fields(
     for test in filters:
         narrowed = narrowed.where(test)
     names = list(dict.fromkeys([key, *keep, *([boost] if boost else [])]))
-    hits = counted(narrowed, [F.col(c) for c in names])
+    hits = counted(narrowed, [F.col(c) for c in names], list(phrase_weights) if len(slots) > 1 else [])
 
     def tf_at(f: str, i: int) -> Column:
         return F.coalesce(F.get(F.col(f"tf_{f}"), i), F.lit(0.0))
 
     matched = F.lit(0)
-    for i in range(len(terms)):
+    for i in range(len(asked)):
         any_field = F.lit(False)
         for f in weights:
             any_field = any_field | (tf_at(f, i) > 0)
         matched = matched + any_field.cast("int")
-    hits = hits.withColumn("matched", matched).where(F.col("matched") >= required_matches(len(terms), mm))
+    hits = hits.withColumn("matched", matched).where(F.col("matched") >= required_matches(len(asked), mm))
     hits = hits.withColumn("s", one_row.scalar())
 
     def stat(f: str):
@@ -150,7 +164,7 @@ def search_fields(
     def field_scores(f: str) -> Column:
         n, avg, dfs = stat(f)
         return F.transform(
-            F.coalesce(F.col(f"tf_{f}"), F.array_repeat(F.lit(0.0), len(terms))),
+            F.coalesce(F.col(f"tf_{f}"), F.array_repeat(F.lit(0.0), len(asked))),
             lambda tf, i: F.when(
                 tf > 0, F.lit(float(weights[f])) * bm25(tf, F.col(f"dl_{f}"), n, avg, F.get(dfs, i))
             ).otherwise(0.0),
@@ -161,10 +175,10 @@ def search_fields(
         best = F.zip_with(best, field_scores(f), lambda a, b: F.greatest(a, b))
     score = _fold_sum(best)
 
-    if len(terms) > 1:
+    if len(slots) > 1:
         for f, weight in phrase_weights.items():
             n, avg, dfs = stat(f)
-            tf = _phrase_count(F.col(f"w_{f}"), terms)
+            tf = _phrase_count(F.col(f"w_{f}"), slots)
             idf_sum = _fold_sum(F.transform(dfs, lambda d: idf(n, d)))
             norm = K1 * (1 - B + B * F.col(f"dl_{f}") / avg)
             gain = F.lit(float(weight)) * idf_sum * tf * (K1 + 1) / (tf + norm)
@@ -194,6 +208,7 @@ def search_postings(
     key: str = "id",
     mm: float | int = 1.0,
     statistics: DataFrame | None = None,
+    analyser: Analyser = PLAIN,
 ) -> DataFrame:
     """The same ranking from a stored index (``postings`` and ``field_lengths``).
 
@@ -202,11 +217,16 @@ def search_postings(
     The term filter reaches the postings scan, so only the query's posting lists are read.
     Postings that carry ``dl``, as stored ones do, need no join with the lengths by key.
     """
-    terms = check_terms(terms)
+    asked = distinct_slots(analysed(postings.sparkSession, terms, analyser))
     fields = list(weights)
-    wanted = postings.where(F.col("term").isin(*terms) & F.col("field").isin(*fields)).select(
-        key, "field", "term", "tf", *(["dl"] if "dl" in postings.columns else [])
+    size = ["dl"] if "dl" in postings.columns else []
+    wanted = postings.where(F.col("term").isin(*[t for ts in asked for t in ts]) & F.col("field").isin(*fields)).select(
+        key, "field", "term", "tf", *size
     )
+    if any(len(ts) > 1 for ts in asked):
+        # Synonyms add up under one name; there are as many rows as the query has terms.
+        named = postings.sparkSession.createDataFrame([(t, str(i)) for i, ts in enumerate(asked) for t in ts], "term string, slot string")
+        wanted = wanted.join(F.broadcast(named), "term").groupBy(key, "field", F.col("slot").alias("term"), *size).agg(F.sum("tf").alias("tf"))
     if statistics is None:
         statistics = field_statistics(lengths)
     per_field = statistics.where(F.col("field").isin(*fields))
@@ -224,7 +244,52 @@ def search_postings(
         .agg(F.max("part").alias("part"))
         .groupBy(key)
         .agg(F.count(F.lit(1)).cast("int").alias("matched"), F.sum("part").alias("score"))
-        .where(F.col("matched") >= required_matches(len(terms), mm))
+        .where(F.col("matched") >= required_matches(len(asked), mm))
+    )
+
+
+def search_phrase_postings(
+    postings: DataFrame,
+    statistics: DataFrame,
+    terms: Sequence[str],
+    field: str,
+    slop: int = 0,
+    key: str = "id",
+    analyser: Analyser = PLAIN,
+) -> DataFrame:
+    """(key, tf, score): articles with the query's words in their places, from stored postings.
+
+    ``slop``: how far apart the words' beginnings may lie, if each is moved back by its place in the
+    query. Repeated words need positions of their own. Only the query's posting lists are read; an
+    article's lists, one a term, meet in one row, where positions are merged.
+    """
+    slots = analysed(postings.sparkSession, terms, analyser)
+    asked, every = distinct_slots(slots), all_terms(slots)
+    wanted = postings.where(F.col("term").isin(*every) & (F.col("field") == field)).select(key, "term", "positions", "dl")
+    lists = wanted.groupBy(key).agg(F.collect_list(F.struct("term", "positions")).alias("lists"), F.first("dl").alias("dl"))
+
+    def positions(slot: Slot) -> Column:
+        own = F.filter("lists", lambda p: p["term"].isin(*slot.terms))
+        return F.array_sort(F.flatten(F.transform(own, lambda p: p["positions"])))
+
+    held = computed(lists, [key, "dl"], [positions(s).alias(f"p{i}") for i, s in enumerate(slots)])
+    full = F.lit(True)
+    for i in range(len(slots)):
+        full = full & (F.size(f"p{i}") > 0)
+    starts = phrase_starts([F.col(f"p{i}") for i in range(len(slots))], slots, slop)
+    found = computed(held.where(full), [key, "dl"], [F.size(starts).cast("double").alias("tf")]).where("tf > 0")
+    names = {t: i for i, ts in enumerate(asked) for t in ts}
+    slot = F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("term"))
+    counted = wanted.groupBy(slot.alias("slot")).agg(F.count_distinct(key).alias("doc_freq"))
+    per_field = statistics.where(F.col("field") == field).select("n", "avg_dl")
+    # One row for each of the query's words, and one of statistics.
+    stats = per_field.select(F.struct("n", "avg_dl").alias("s"))
+    weighed = counted.withColumn("s", stats.scalar()).agg(F.sum(idf(F.col("s.n"), F.col("doc_freq"))).alias("idf"))
+    norm = K1 * (1 - B + B * F.col("dl") / F.col("s.avg_dl"))
+    return (
+        found.withColumn("s", stats.scalar())
+        .withColumn("idf", weighed.scalar())
+        .select(key, "tf", (F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("score"))
     )
 
 
@@ -312,4 +377,9 @@ def curated(
     kept = hits.join(excluded, key, "left_anti")
     if candidates is None:
         return kept.join(pins, key, "left")
-    return kept.join(pins, key, "full_outer")
+    # Pins meet the hits twice, where they are: as a mark on those that match, and to find those that don't.
+    # The second time only the pins' own rows are looked for, so hits are never shuffled for a few pins.
+    marked = kept.join(pins, key, "left")
+    unmatched = pins.join(hits.join(pins.select(key), key, "left_semi").select(key), key, "left_anti")
+    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in kept.schema.fields if f.name != key]
+    return marked.unionByName(unmatched.join(excluded, key, "left_anti").select(key, *others, "pin_rank"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.operators.analysis import PLAIN, Analyser
 from broadsheet.operators.filters import check_terms
+from broadsheet.operators.query_terms import all_terms, analysed
 
 # ---- fixed values -------------------------------------------------------------------
 MAX_EDITS = 2
@@ -40,6 +41,7 @@ def suggest(
     count: int = COUNT,
     alternative_count: int | None = None,
     analyser: Analyser = PLAIN,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """(query, suggestion, distance, n, rank) for the query terms that look misspelt.
 
@@ -48,10 +50,11 @@ def suggest(
     most ``max_edits`` away and similar enough; they rank by distance, then frequency, then
     term. ``alternative_count`` limits the list for terms that do occur.
 
-    Words that cannot be near any query term are dropped inside each row, before counting.
+    Words that cannot be near any query term are dropped inside each row, before counting. With
+    ``stored``, the field's vocabulary (term, n) of an index, no row is tokenized.
     """
-    asked = [t for t in check_terms(terms) if len(t) >= min_length]
     spark = df.sparkSession
+    asked = [t for t in all_terms(analysed(spark, terms, analyser)) if len(t) >= min_length]
     queries = spark.createDataFrame([(t, t[:MIN_PREFIX]) for t in asked], "query string, head string")
     if not asked:
         return queries.select(
@@ -67,7 +70,8 @@ def suggest(
             )
         return test
 
-    vocabulary = _word_counts(df, field, analyser, near_some).withColumn("head", F.substring("term", 1, MIN_PREFIX))
+    counted = _word_counts(df, field, analyser, near_some) if stored is None else stored.where(near_some(F.col("term")))
+    vocabulary = counted.withColumn("head", F.substring("term", 1, MIN_PREFIX))
     n_docs = df.agg(F.count(F.lit(1)).alias("n_docs"))
     known = vocabulary.select(F.col("term").alias("query"), F.col("n").alias("query_n"))
     considered = (
@@ -135,13 +139,17 @@ def collations(
     tries: int = MAX_COLLATION_TRIES,
     max_collations: int = MAX_COLLATIONS,
     analyser: Analyser = PLAIN,
+    postings: DataFrame | None = None,
+    key: str = "id",
     **suggest_options,
 ) -> DataFrame:
     """(rewrite, cost, hits, rank): queries with misspellings replaced that do find something.
 
     Offered only when the query itself has at most ``max_results`` hits. Rewrites are tried in
     order of the sum of their suggestions' ranks. Keeping the ``tries`` best partial rewrites
-    term by term is exact, because costs add up and the choices are independent.
+    term by term is exact, because costs add up and the choices are independent. With the ``postings`` of a
+    stored index, and its vocabulary as ``stored``, hits are counted from the posting lists of the
+    rewrites' words.
     """
     terms = check_terms(terms)
     suggestions = suggest(df, field, terms, analyser=analyser, **suggest_options)
@@ -163,7 +171,14 @@ def collations(
         F.filter(rewrites, lambda r: r["cost"] > 0).alias("rewrites")
     )
 
-    words = df.select(analyser.words(F.col(field)).alias("w"))
+    if postings is None:
+        words = df.select(analyser.words(F.col(field)).alias("w"))
+    else:
+        # Some words a query term: a row's list holds those of them that it has.
+        listed = tried.select(F.explode("rewrites").alias("r")).select(F.explode("r.words").alias("term"))
+        listed = listed.union(df.sparkSession.createDataFrame([(t,) for t in terms], "term string")).distinct()
+        own = postings.where(F.col("field") == field).join(F.broadcast(listed), "term")
+        words = own.groupBy(key).agg(F.collect_set("term").alias("w")).select("w")
     query = F.array(*[F.lit(t) for t in terms])
     own_hits = words.where(F.forall(query, lambda t: F.array_contains("w", t))).agg(F.count(F.lit(1)).alias("n"))
     matched = words.withColumn("r", tried.scalar()).select(

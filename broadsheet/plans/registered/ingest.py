@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from broadsheet.functions import display, naming, text as fx
+from broadsheet.functions import display, naming, ring, text as fx
 from broadsheet.functions.typed import cast_by_suffix
 from broadsheet.operators import counters, extract, facets
 from broadsheet.operators.search import order_columns, page
@@ -154,6 +154,62 @@ def job_rejects(t: Tables):
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _without_ids(docs):
+    """The issues' XML, in which every seventh issue's articles have no id."""
+    xml = bind.issue_xml(docs)
+    bare = F.regexp_replace("xml", "<article><id>[^<]*</id>", "<article>")
+    return xml.select("domid", F.when(F.col("domid").cast("bigint") % 7 == 0, bare).otherwise(F.col("xml")).alias("xml"))
+
+
+@query(
+    "rejects_without_id",
+    f"""WITH {_PARTS} SELECT CASE source WHEN 'src17' THEN 'SRC17-1899.xml' ELSE upper(source) || '-' || strftime(day, '%Y-%m-%d') || '.xml' END AS what,
+     'NO_ID' AS reason, CAST(count(*) AS BIGINT) AS n FROM parts WHERE doc_id % 7 = 0 GROUP BY 1""",
+)
+def rejects_without_id(t: Tables):
+    """Articles without an id are told by their issue's file."""
+    docs = t.documents
+    rejects = jobs.index_articles(bind.manifest_lines(docs), _without_ids(docs), PREFIX).rejects
+    return rejects.where(F.col("reason") == "NO_ID").groupBy("what", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "indexed_once",
+    f"""WITH {_PARTS}
+    SELECT 'article' AS kind, '{PREFIX}' || doc_id || '-' || n AS what, CAST(1 AS BIGINT) AS n FROM parts WHERE doc_id % 7 <> 0
+    UNION ALL SELECT 'reject', reason, CAST(count(*) AS BIGINT) FROM (
+      SELECT CASE WHEN status <> 'OK' THEN status WHEN source = 'src5' THEN 'NO_DOCUMENT' ELSE 'BAD_XML' END AS reason
+      FROM issues WHERE status <> 'OK' OR source IN ('src5', 'src6')
+      UNION ALL SELECT 'NO_ID' FROM parts WHERE doc_id % 7 = 0) GROUP BY reason
+    UNION ALL SELECT 'status', CASE WHEN source IN ('src5', 'src6') THEN 'FAILED' ELSE 'GOOD' END,
+     CAST(sum(CASE WHEN source IN ('src5', 'src6') THEN 0 ELSE len(string_split(text, chr(10))) END) AS BIGINT)
+    FROM issues WHERE status = 'OK' GROUP BY 2""",
+)
+def indexed_once(t: Tables):
+    """Articles, rejects and status counts from one written parse."""
+    docs = t.documents
+    job = jobs.index_once(bind.manifest_lines(docs), _without_ids(docs), shared_dir(t.spark, "parsed"), PREFIX)
+    rows = job.articles.select(F.lit("article").alias("kind"), F.col("id").alias("what"), F.lit(1).cast("bigint").alias("n"))
+    rejects = job.rejects.groupBy(F.lit("reject").alias("kind"), F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(rejects).unionByName(job.status.select(F.lit("status").alias("kind"), F.col("status").alias("what"), "n"))
+
+
+@query(
+    "status_written",
+    f"""WITH {_ISSUES}
+    SELECT CASE WHEN source IN ('src5', 'src6') THEN 'FAILED' ELSE 'GOOD' END AS key,
+     CAST(sum(CASE WHEN source IN ('src5', 'src6') THEN 0 ELSE len(string_split(text, chr(10))) END) AS BIGINT) AS n
+    FROM issues WHERE status = 'OK' GROUP BY 1""",
+)
+def status_written(t: Tables):
+    """The job's counters as a status file, read back."""
+    docs = t.documents
+    path = shared_dir(t.spark, "status")
+    status = jobs.index_articles(bind.manifest_lines(docs), bind.issue_xml(docs), PREFIX).status
+    sinks.write_status(status.withColumnRenamed("status", "key"), path)
+    return t.spark.read.schema("key string, n bigint").option("sep", "\t").csv(path)
+
+
 _SHARD = "CAST(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) % 4 AS INTEGER)"
 
 
@@ -165,6 +221,50 @@ def shard_assignment(t: Tables):
     return t.documents.select("doc_id", naming.shard_of(F.col("doc_id"), 4).alias("shard"))
 
 
+_ROT = "((({x}) * {up} % 4294967296) + ({x}) // {down})"
+
+
+def _rot(x: str, bits: int) -> str:
+    return _ROT.format(x=x, up=1 << bits, down=1 << (32 - bits))
+
+
+def _xor(a: str, b: str) -> str:
+    return f"CAST(xor(CAST({a} AS UBIGINT), CAST({b} AS UBIGINT)) AS HUGEINT)"
+
+
+# The published hash step by step, each block of four bytes scrambled and folded in; the last one is the tail.
+_RING_SQL = f"""ids AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source || '!' || doc_id ELSE 'art-' || doc_id END AS id FROM documents),
+    p AS (SELECT doc_id, 'w' AS part, id AS text FROM ids WHERE NOT contains(id, '!')
+      UNION ALL SELECT doc_id, 'u', string_split(id, '!')[1] FROM ids WHERE contains(id, '!')
+      UNION ALL SELECT doc_id, 'l', string_split(id, '!')[2] FROM ids WHERE contains(id, '!')),
+    x AS (SELECT *, hex(encode(text)) AS hx, octet_length(encode(text)) AS size FROM p),
+    k0 AS (SELECT *, list_transform(range(0, size // 4 + 1), lambda b: list_sum(list_transform(range(0, 4), lambda j:
+      CASE WHEN 4 * b + j < size THEN CAST('0x' || substr(hx, CAST(2 * (4 * b + j) + 1 AS BIGINT), 2) AS BIGINT) * (1 << (8 * j)) ELSE 0 END))::HUGEINT) AS k FROM x),
+    k1 AS (SELECT * EXCLUDE (k), list_transform(k, lambda v: v * {ring.C1} % 4294967296) AS k FROM k0),
+    k2 AS (SELECT * EXCLUDE (k), list_transform(k, lambda v: {_rot('v', 15)} * {ring.C2} % 4294967296) AS k FROM k1),
+    h0 AS (SELECT *, list_reduce(list_concat([CAST(0 AS HUGEINT)], k[1 : size // 4]),
+      lambda h, v: ({_rot(_xor('h', 'v'), 13)} * 5 + {ring.ADD}) % 4294967296) AS h FROM k2),
+    h1 AS (SELECT * EXCLUDE (h), {_xor(_xor('h', 'k[size // 4 + 1]'), 'size')} AS h FROM h0),
+    h2 AS (SELECT * EXCLUDE (h), {_xor('h', 'h // 65536')} * {ring.MIX1} % 4294967296 AS h FROM h1),
+    h3 AS (SELECT * EXCLUDE (h), {_xor('h', 'h // 8192')} * {ring.MIX2} % 4294967296 AS h FROM h2),
+    h4 AS (SELECT doc_id, part, {_xor('h', 'h // 65536')} AS h FROM h3),
+    ring AS (SELECT doc_id, sum(CASE part WHEN 'w' THEN h WHEN 'u' THEN h - h % 65536 ELSE h % 65536 END) AS place FROM h4 GROUP BY doc_id),
+    signed AS (SELECT doc_id, CAST(CASE WHEN place > 2147483647 THEN place - 4294967296 ELSE place END AS BIGINT) AS place FROM ring)"""
+
+
+@query(
+    "shard_ring",
+    f"""WITH {_RING_SQL} SELECT doc_id, CAST(place AS INTEGER) AS place,
+     CAST((((place + 2147483648) >> 16) * 5) >> 16 AS INTEGER) AS shard FROM signed""",
+)
+def shard_ring(t: Tables):
+    """Every third id is composite, so that its newspaper's articles lie together."""
+    key = F.when(F.col("doc_id") % 3 == 0, F.concat(F.col("source"), F.lit("!"), F.col("doc_id").cast("string"))).otherwise(
+        F.concat(F.lit("art-"), F.col("doc_id").cast("string"))
+    )
+    return t.documents.select("doc_id", ring.ring_hash(key).alias("place"), ring.ring_shard(key, 5).alias("shard"))
+
+
 @query(
     "shard_counts",
     f"""WITH s AS (SELECT CAST({_SHARD.format('CAST(doc_id AS VARCHAR)')} AS VARCHAR) AS shard, n_chars > 5000 AS failed FROM documents),
@@ -424,3 +524,33 @@ def catalogue_records_assembled(t: Tables):
         lambda f: F.array_join(F.transform(f["subfields"], lambda s: s["value"]), ","),
     )
     return nested.select("record_id", F.size("fields").alias("n_fields"), F.array_join(texts, " ").alias("content"))
+
+
+# Letters of the texts in the older escape-coded set: a mark before its letter, or a letter of its own.
+_ENCODED = {"ß": "\xc7", "ä": "\xe8a", "ç": "\xf0c", "è": "\xe1e", "é": "\xe2e", "ê": "\xe3e", "í": "\xe2i", "ñ": "\xe4n", "ó": "\xe2o", "ö": "\xe8o", "ü": "\xe8u"}
+_ENCODED |= {k.upper(): v[:-1] + v[-1].upper() for k, v in _ENCODED.items() if k != "ß"}
+
+
+@query(
+    "catalogue_charsets",
+    """SELECT CAST(doc_id AS VARCHAR) AS record_id, 'OK' AS status,
+     substr(string_split(text, chr(10))[1], 1, 200) || CASE WHEN doc_id % 3 = 0 THEN ' x' || chr(178) || '!' ELSE '' END AS title
+     FROM documents WHERE doc_id % 11 <> 0 AND text IS NOT NULL
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), 'BAD_CHARSET', NULL FROM documents WHERE doc_id % 11 = 0 AND text IS NOT NULL""",
+)
+def catalogue_charsets(t: Tables):
+    """Titles of records in the older set, some with a superscript, some with a byte that means nothing."""
+    pairs = [F.lit(x) for kv in _ENCODED.items() for x in kv]
+    title = F.substring(F.substring_index("text", "\n", 1), 1, 200)
+    coded = F.array_join(F.transform(F.split(title, ""), lambda c: F.coalesce(F.try_element_at(F.create_map(*pairs), c), c)), "")
+    more = F.when(F.col("doc_id") % 3 == 0, F.lit(" x\x1bp2\x1bs!")).otherwise("")
+    rows = t.documents.where("text is not null").select(
+        F.col("doc_id").cast("string").alias("record_id"),
+        F.lit("00000nam  2200000 a 4500").alias("leader"),
+        F.lit(None).cast("string").alias("data"),
+        F.concat(coded, more, F.when(F.col("doc_id") % 11 == 0, F.lit("\xff")).otherwise("")).alias("value"),
+    )
+    good, bad = marc.split_by_charset(rows)
+    return good.select("record_id", F.lit("OK").alias("status"), F.col("value").alias("title")).unionByName(
+        bad.select("record_id", F.col("reason").alias("status"), F.lit(None).cast("string").alias("title"))
+    )

@@ -7,11 +7,11 @@ import math
 from pyspark.sql import functions as F
 
 from broadsheet.functions.text import natural_key, utc_format
-from broadsheet.operators import analysis, filters as flt, group, search as se, similar
+from broadsheet.operators import analysis, filters as flt, group, label_clusters as lc, phrase_clusters as pc, search as se, similar
 from broadsheet.operators.terms import terms_of_index
 from broadsheet.plans import bindings as bind, jobs
 from broadsheet.plans.registered.registry import Tables, query, tokens_sql
-from broadsheet.session import shared_dir
+from broadsheet.session import shared_dir, written
 
 _TITLE = "article_title_s"
 _WEIGHTS = {"content": 1.0, _TITLE: 2.5}
@@ -72,11 +72,17 @@ def search_stored_postings(t: Tables):
     return _shown(se.search_postings(rows, lengths, ["la", "que", "des", "un"], _WEIGHTS, mm=0.75))
 
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
 def written_index(t: Tables) -> str:
-    """An index of the articles in the shared folder; its path."""
-    path = shared_dir(t.spark, "index")
-    se.write_index(bind.articles(t.documents), path, "id", list(_WEIGHTS))
-    return path
+    """An index of the articles in the shared folder, written once an application for all requests; its path."""
+    known = (t.spark.sparkContext.applicationId, t._folder)
+    if known not in _INDEXES:
+        path = shared_dir(t.spark, "index")
+        se.write_index(bind.articles(t.documents), path, "id", list(_WEIGHTS))
+        _INDEXES[known] = path
+    return _INDEXES[known]
 
 
 @query("search_written_index", f"WITH {_search_ctes(['la', 'que', 'des', 'un'], _WEIGHTS)} {_ranked('count(*) >= 3')}")
@@ -96,6 +102,83 @@ def terms_written_index(t: Tables):
     return terms_of_index(se.read_vocabulary(t.spark, written_index(t)), "content", "th", 20)
 
 
+_NEAR_SLOP = 4
+_EXACT, _NEAR = ["la", "de"], ["the", "of", "the"]
+
+
+def _phrase_sql(words: list[str], slop: int) -> str:
+    """Beginnings of a phrase: a position of its own for each word, moved back by its place, within the slop."""
+    n = len(words)
+    slots = ", ".join(f"pos s{i}" for i in range(n))
+    tests = [f"s{i}.id = s0.id AND s{i}.term = '{w}' AND s{i}.p - {i} BETWEEN m.start AND m.start + {slop}" for i, w in enumerate(words)]
+    tests += [f"s{i}.p <> s{j}.p" for i in range(n) for j in range(i) if words[i] == words[j]]
+    starts = " UNION ".join(f"SELECT id, p - {i} AS start FROM pos WHERE term = '{w}'" for i, w in enumerate(words))
+    return f"(SELECT m.id, count(DISTINCT m.start) AS tf FROM ({starts}) m, {slots} WHERE s0.id = m.id AND {' AND '.join(tests)} GROUP BY m.id)"
+
+
+def _phrase_score_sql(kind: str, words: list[str], slop: int) -> str:
+    listed = ", ".join(f"'{w}'" for w in dict.fromkeys(words))
+    return f"""SELECT '{kind}' AS kind, id, CAST(x.tf AS DOUBLE) AS tf,
+      round(i.idf * x.tf * 2.2 / (x.tf + 1.2 * (0.25 + 0.75 * dl / avg_dl)), 6) AS score
+      FROM {_phrase_sql(words, slop)} x JOIN f USING (id), st,
+       (SELECT sum({_idf('st.n', 'd.df')}) AS idf FROM st, (SELECT term, count(DISTINCT id) AS df FROM pos WHERE term IN ({listed}) GROUP BY term) d) i"""
+
+
+@query(
+    "search_phrase_written_index",
+    f"""WITH f AS MATERIALIZED (SELECT doc_id AS id, {tokens_sql('text')} AS w, len({tokens_sql('text')}) AS dl FROM documents),
+    st AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(dl) AS avg_dl FROM f),
+    pos AS MATERIALIZED (SELECT id, term, p FROM (SELECT id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS p FROM f) WHERE term IN ('la', 'de', 'the', 'of'))
+    {_phrase_score_sql('exact', _EXACT, 0)} UNION ALL {_phrase_score_sql('near', _NEAR, _NEAR_SLOP)}""",
+)
+def search_phrase_written_index(t: Tables):
+    """A phrase, and one with a repeated word and some slop, from the positions of an index on disk."""
+    path = written_index(t)
+    found = []
+    for kind, terms, slop in (("exact", _EXACT, 0), ("near", _NEAR, _NEAR_SLOP)):
+        rows, _ = se.read_index(t.spark, path, terms)
+        hits = se.search_phrase_postings(rows, se.read_statistics(t.spark, path), terms, "content", slop)
+        found.append(_shown(hits).withColumn("kind", F.lit(kind)))
+    return found[0].unionByName(found[1])
+
+
+_FOLD = analysis.Analyser(fold=True)
+_MANY = "content"
+for _char, _plain in analysis.FOLD_MANY.items():
+    _MANY = f"replace({_MANY}, '{_char}', '{_plain}')"
+_FOLDED = f"translate({_MANY}, '{analysis.FOLD_FROM}', '{analysis.FOLD_TO}')"
+
+
+@query(
+    "search_folded",
+    f"WITH {_search_ctes(['cion', 'fur'], {'content': 1.0}).replace(tokens_sql('content'), tokens_sql(_FOLDED))} {_ranked()}",
+)
+def search_folded(t: Tables):
+    """Accents of the query are folded as those of the text are."""
+    return _shown(se.search(bind.articles(t.documents), ["Ción", "für"], analyser=_FOLD))
+
+
+_SETS = [["der", "die", "das"], ["the", "that"]]
+_SYNONYMS = analysis.Analyser(synonyms=analysis.synonym_table({}, _SETS))
+_SLOT_OF = "CASE " + " ".join(f"WHEN term IN ({', '.join(repr(x) for x in s)}) THEN {i}" for i, s in enumerate(_SETS)) + " END"
+_SET_SIZE = "CASE " + " ".join(f"WHEN term IN ({', '.join(repr(x) for x in s)}) THEN {len(s)}" for s in _SETS) + " ELSE 1 END"
+
+
+@query(
+    "search_synonyms",
+    f"""WITH tok AS MATERIALIZED (SELECT doc_id AS id, unnest({tokens_sql('text')}) AS term FROM documents),
+    dl AS (SELECT doc_id AS id, coalesce(sum({_SET_SIZE}), 0) AS dl FROM documents LEFT JOIN tok ON tok.id = doc_id WHERE text IS NOT NULL GROUP BY doc_id),
+    st AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(dl) AS avg_dl FROM dl),
+    tf AS (SELECT id, {_SLOT_OF} AS slot, CAST(sum({_SET_SIZE}) AS DOUBLE) AS tf FROM tok WHERE {_SLOT_OF} IS NOT NULL GROUP BY 1, 2),
+    df AS (SELECT slot, CAST(count(*) AS DOUBLE) AS df FROM tf GROUP BY slot)
+    SELECT id, CAST(count(*) AS INTEGER) AS matched, round(sum({_bm25('tf.tf', 'dl.dl', 'st.n', 'st.avg_dl', 'df.df')}), 6) AS score
+    FROM tf JOIN df USING (slot) JOIN dl USING (id), st GROUP BY id HAVING count(*) = 2""",
+)
+def search_synonyms(t: Tables):
+    """A query of two words, each of which stands for a set; a set counts once towards the match."""
+    return _shown(se.search(bind.articles(t.documents), ["die", "the"], analyser=_SYNONYMS, mm=1.0))
+
+
 _PHRASE = ["of", "the"]
 
 
@@ -306,3 +389,85 @@ def natural_order_keys(t: Tables):
 )
 def natural_order_page(t: Tables):
     return t.part.orderBy(natural_key(F.col("p_brand")), "p_partkey").limit(25).select("p_brand", "p_partkey")
+
+
+_STOP = ", ".join(f"'{w}'" for w in analysis.STOPWORDS_EN)
+_PHRASES = " UNION ALL ".join(
+    f"""SELECT id, {n} AS words, array_to_string(w[i : i + {n - 1}], ' ') AS phrase FROM (SELECT id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM h)
+    WHERE w[i] NOT IN ({_STOP}) AND w[i + {n - 1}] NOT IN ({_STOP})"""
+    for n in range(1, pc.MAX_WORDS + 1)
+)
+
+
+@query(
+    "hit_phrase_clusters",
+    f"""WITH RECURSIVE {_search_ctes(['the', 'of', 'that'], {'content': 1.0})}, r AS ({_ranked('count(*) = 3')}),
+    h AS MATERIALIZED (SELECT id, {tokens_sql('content')} AS w FROM r JOIN a USING (id)),
+    p AS MATERIALIZED (SELECT DISTINCT id, phrase, words FROM ({_PHRASES})),
+    c AS (SELECT phrase, words, list(id ORDER BY id) AS ids FROM p GROUP BY phrase, words HAVING count(*) >= {pc.MIN_HITS}),
+    named AS (SELECT phrase, words, ids FROM c QUALIFY row_number() OVER (PARTITION BY ids ORDER BY words DESC, phrase) = 1),
+    best AS MATERIALIZED (SELECT phrase, ids, row_number() OVER (ORDER BY len(ids) * CASE WHEN words = 1 THEN {pc.SINGLE} ELSE least(words, {pc.LONG}) END DESC, phrase) AS rank
+      FROM named QUALIFY rank <= {pc.BASE}),
+    links AS MATERIALIZED (SELECT x.rank AS a, y.rank AS b FROM best x JOIN best y ON x.rank <> y.rank
+      AND len(list_intersect(x.ids, y.ids)) > {pc.OVERLAP} * greatest(len(x.ids), len(y.ids))),
+    reach AS (SELECT rank AS a, rank AS b FROM best UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    placed AS (SELECT a AS rank, min(b) AS cluster FROM reach GROUP BY a),
+    names AS (SELECT cluster, best.rank, phrase FROM placed JOIN best USING (rank)),
+    own_names AS (SELECT * FROM names x WHERE NOT EXISTS (SELECT 1 FROM names y WHERE y.cluster = x.cluster AND y.rank < x.rank
+      AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' '))),
+    labels AS (SELECT cluster, array_to_string(list(phrase ORDER BY rank)[1 : {pc.LABEL_PHRASES}], ', ') AS label FROM own_names GROUP BY cluster),
+    told AS (SELECT DISTINCT unnest(ids) AS id, cluster FROM best JOIN placed USING (rank)),
+    every AS (SELECT id, cluster, label FROM told JOIN labels USING (cluster)
+      UNION ALL SELECT id, 0, '{pc.OTHER}' FROM h WHERE id NOT IN (SELECT id FROM told))
+    SELECT id, CAST(cluster AS INTEGER) AS cluster, label, CAST(count(*) OVER (PARTITION BY cluster) AS BIGINT) AS size FROM every""",
+)
+def hit_phrase_clusters(t: Tables):
+    """Clusters of all hits of a query by shared phrases."""
+    articles = bind.articles(t.documents)
+    hits = se.search_fields(articles, ["the", "of", "that"], {"content": 1.0}, keep=["content"])
+    return pc.phrase_clusters(hits, "content")
+
+
+@query("hit_label_clusters")
+def hit_label_clusters(t: Tables):
+    """Clusters of all hits of a query, named by the phrases that match the concepts of their wording."""
+    articles = bind.articles(t.documents)
+    hits = se.search_fields(articles, ["the", "of", "that"], {"content": 1.0}, keep=["content"])
+    hits = written(hits, "hits")
+    return lc.label_clusters(hits, "content")
+
+
+@query(
+    "discovery_written_index",
+    f"""WITH {_search_ctes(['the', 'of'], _WEIGHTS)}, r AS ({_ranked('count(*) = 2')})
+    SELECT r.id, r.score, article_title_s, issue_year_s FROM r JOIN a USING (id) ORDER BY issue_pub_date DESC, article_title_s, id LIMIT 10""",
+)
+def discovery_written_index(t: Tables):
+    """The page from an index on disk, with the facets' and the page's columns of the hits only."""
+    articles = bind.articles(t.documents)
+    found = jobs.discover_index(articles, written_index(t), ["the", "of"], _WEIGHTS, sort="date")
+    return _shown(found.page).select("id", "score", _TITLE, "issue_year_s")
+
+
+@query(
+    "more_like_this_written_index",
+    f"""WITH {_search_ctes(['the', 'of'], {'content': 1.0})}, r AS ({_ranked('count(*) = 2')}),
+    seeds AS (SELECT id AS seed FROM r ORDER BY score DESC, id LIMIT 10),
+    tok AS (SELECT id, unnest(w) AS term FROM f), counts AS (SELECT id, term, count(*) AS n_tf FROM tok GROUP BY id, term),
+    dfs AS (SELECT term, count(*) AS n_df FROM counts GROUP BY term),
+    picked AS (SELECT seed, term, n_df FROM (
+      SELECT seed, c.term, n_df, row_number() OVER (PARTITION BY seed ORDER BY n_tf * (1 + ln((st.n + 1) / (n_df + 1))) DESC, c.term) AS k
+      FROM seeds JOIN counts c ON c.id = seed JOIN dfs USING (term), st WHERE n_tf >= 2 AND n_df >= 5) WHERE k <= 25),
+    lens AS (SELECT id, len(w) AS dl FROM f),
+    pairs AS (SELECT p.seed, c.id, round(sum({_bm25('c.n_tf', 'lens.dl', 'st.n', 'st.avg_dl', 'p.n_df')}), 6) AS score
+      FROM picked p JOIN counts c USING (term) JOIN lens ON lens.id = c.id, st WHERE c.id <> p.seed GROUP BY p.seed, c.id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY score DESC, id) AS rank FROM pairs)
+    SELECT seed, id, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 3""",
+)
+def more_like_this_written_index(t: Tables):
+    """The same from an index on disk: only the ten seeds' texts are tokenized."""
+    articles, path = bind.articles(t.documents), written_index(t)
+    rows, lengths = se.read_index(t.spark, path, ["the", "of"])
+    hits = _shown(se.search_postings(rows, lengths, ["the", "of"], {"content": 1.0}, statistics=se.read_statistics(t.spark, path)))
+    shown = se.page(hits, se.order_columns([("score", "desc")]), rows=10).select("id").collect()
+    return similar.more_like_this_index(articles, path, [r.id for r in shown], {"content": 1.0})

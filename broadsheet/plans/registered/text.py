@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from broadsheet.operators import analysis, highlight as hl, spelling, terms as tm
+from broadsheet.operators import analysis, highlight as hl, search as se, spelling, spelling_index, terms as tm, word_breaks
 from broadsheet.operators.analysis import Analyser
 from broadsheet.plans import bindings as bind
 from broadsheet.plans.registered.registry import Tables, query, tokens_sql
+from broadsheet.plans.registered.search import written_index
+from broadsheet.session import shared_dir, written
 
 _TOK = tokens_sql("text")
 _STOP = ", ".join(f"'{w}'" for w in analysis.STOPWORDS_EN)
@@ -260,6 +262,80 @@ def spelling_suggestions(t: Tables):
     return spelling.suggest(t.documents, "text", _MISSPELT)
 
 
+# Letters beyond ASCII as capitals, as lower-cased terms have none and this distance counts bytes.
+_BEYOND, _CAPITALS = "ßäçèéêíñóöü", "ABCDEFGHIJK"
+
+
+def _letters(term: str) -> str:
+    return f"translate({term}, '{_BEYOND}', '{_CAPITALS}')"
+
+
+_TRUE_DISTANCE = f"levenshtein({_letters('c.query')}, {_letters('v.term')})"
+_VOCABULARY = f"v AS MATERIALIZED (SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct({_TOK})) AS term FROM documents) GROUP BY term)"
+
+
+@query(
+    "spelling_batch",
+    f"""WITH {_VOCABULARY},
+    q AS (SELECT DISTINCT query FROM (SELECT unnest({_TOK}) AS query FROM benchmark) WHERE length(query) >= 4),
+    c AS (SELECT q.query FROM q LEFT JOIN v ON v.term = q.query WHERE coalesce(v.n, 0) <= 0.01 * (SELECT count(*) FROM documents)),
+    near AS (SELECT c.query, v.term AS suggestion, v.n, {_TRUE_DISTANCE} AS distance FROM c JOIN v ON c.query[1] = v.term[1]
+      WHERE abs(length(c.query) - length(v.term)) <= 2 AND {_TRUE_DISTANCE} BETWEEN 1 AND 2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, n DESC, suggestion) AS rank FROM near
+      WHERE 1 - distance / greatest(length(query), length(suggestion)) >= 0.5)
+    SELECT query, suggestion, CAST(distance AS INTEGER) AS distance, CAST(n AS BIGINT) AS n, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""",
+)
+def spelling_batch(t: Tables):
+    """Suggestions for all rare words of a whole table, from stored deletions of the vocabulary."""
+    vocabulary = written(tm.document_frequencies(t.documents, "text"), "vocabulary")
+    path = shared_dir(t.spark, "deletions")
+    spelling_index.write_deletions(vocabulary, path)
+    words = t.benchmark.select(F.explode(analysis.tokenize(F.col("text"))).alias("query"))
+    n_docs = t.documents.agg(F.count(F.lit(1)))
+    return spelling_index.suggest_batch(spelling_index.read_deletions(t.spark, path), vocabulary, words, n_docs)
+
+
+_MIN_PART = 2
+_BREAK_QUERIES = f"""q AS MATERIALIZED (SELECT doc_id AS id, [w[1] || w[2] || w[3], substr(w[4], 1, 2), substr(w[4], 3, 2), substr(w[4], 5)] AS words
+    FROM (SELECT doc_id, {_TOK} AS w FROM documents) WHERE len(w) >= 4 AND length(w[4]) > 4)"""
+
+
+@query(
+    "word_breaks_many",
+    f"""WITH RECURSIVE {_VOCABULARY}, {_BREAK_QUERIES},
+    words AS MATERIALIZED (SELECT DISTINCT id, unnest(words) AS query FROM q),
+    asked AS MATERIALIZED (SELECT DISTINCT query FROM words WHERE length(query) >= {2 * _MIN_PART}),
+    subs AS MATERIALIZED (SELECT query, i, k, n, term FROM (
+      SELECT query, i, k, substr(query, i + 1, k) AS term FROM (SELECT query, i, unnest(range({_MIN_PART}, length(query))) AS k
+      FROM (SELECT query, unnest(range(0, length(query))) AS i FROM asked)) WHERE i + k <= length(query)) JOIN v USING (term)),
+    walk AS (SELECT query, 0 AS place, 0 AS parts, CAST(0 AS BIGINT) AS n, '' AS said FROM asked
+      UNION ALL SELECT w.query, w.place + s.k, w.parts + 1, CAST(w.n + s.n AS BIGINT), CASE WHEN w.parts = 0 THEN s.term ELSE w.said || ' ' || s.term END
+      FROM walk w JOIN subs s ON s.query = w.query AND s.i = w.place WHERE w.parts <= 10),
+    best AS (SELECT query, said, parts - 1 AS changes, n FROM walk WHERE place = length(query) AND parts > 1
+      QUALIFY row_number() OVER (PARTITION BY query ORDER BY parts, n DESC, said) = 1),
+    runs AS (SELECT DISTINCT id, array_to_string(words[i : i + k - 1], ' ') AS query, k - 1 AS changes FROM (
+      SELECT id, words, i, unnest(range(2, least(len(words) - i + 1, 11) + 1)) AS k FROM (SELECT id, words, unnest(range(1, len(words))) AS i FROM q)))
+    SELECT id, 'split' AS kind, query, said AS suggestion, CAST(changes AS INTEGER) AS changes, CAST(n AS BIGINT) AS n FROM words JOIN best USING (query)
+    UNION ALL SELECT id, 'join', query, term, CAST(changes AS INTEGER), CAST(n AS BIGINT) FROM runs JOIN v ON v.term = replace(query, ' ', '')""",
+)
+def word_breaks_many(t: Tables):
+    """Three words run together and one torn apart, from the beginning of each document."""
+    w = F.col("w")
+    queries = (
+        t.documents.select(F.col("doc_id").alias("id"), analysis.tokenize(F.col("text")).alias("w"))
+        .where((F.size(w) >= 4) & (F.length(F.get(w, 3)) > 4))
+        .select(
+            "id",
+            F.array(
+                F.concat(F.get(w, 0), F.get(w, 1), F.get(w, 2)), F.substring(F.get(w, 3), 1, 2), F.substring(F.get(w, 3), 3, 2),
+                F.substring(F.get(w, 3), F.lit(5), F.length(F.get(w, 3))),
+            ).alias("words"),
+        )
+    )
+    vocabulary = written(tm.document_frequencies(t.documents, "text"), "vocabulary")
+    return word_breaks.word_breaks_many(vocabulary, queries, min_part=_MIN_PART)
+
+
 @query(
     "word_breaks",
     f"""WITH v AS (SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct({_TOK})) AS term FROM documents) GROUP BY term),
@@ -270,7 +346,7 @@ def spelling_suggestions(t: Tables):
     UNION ALL
     SELECT 'split', w, a || ' ' || b, CAST(least(x.n, y.n) AS BIGINT) FROM s JOIN v x ON x.term = a JOIN v y ON y.term = b""",
 )
-def word_breaks(t: Tables):
+def word_breaks_two(t: Tables):
     return spelling.word_breaks(t.documents, "text", ["ofthe", "an", "other", "th", "at"])
 
 
@@ -295,6 +371,31 @@ def query_rewrites(t: Tables):
     return spelling.collations(t.documents, "text", ["thatt", "the", "frmo"])
 
 
+@query(
+    "rewrites_written_index",
+    f"""WITH d AS (SELECT {_TOK} AS w FROM documents),
+    v AS (SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct(w)) AS term FROM d) GROUP BY term),
+    q AS (SELECT unnest(['thatt', 'frmo']) AS query),
+    c AS (SELECT q.query FROM q LEFT JOIN v ON v.term = q.query WHERE coalesce(v.n, 0) <= 0.01 * (SELECT count(*) FROM documents)),
+    p AS (SELECT c.query, v.term, {_NEAR} AS distance, v.n FROM c JOIN v ON c.query[1] = v.term[1]
+      WHERE {_NEAR} BETWEEN 1 AND 2 AND 1 - {_NEAR} / greatest(length(c.query), length(v.term)) >= 0.5),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, n DESC, term) AS rank FROM p),
+    k AS (SELECT query, term, rank FROM r WHERE rank <= 5),
+    combos AS (SELECT a.term AS x, b.term AS y, a.rank + b.rank AS cost FROM k a JOIN k b ON a.query = 'thatt' AND b.query = 'frmo'
+      ORDER BY cost, x, y LIMIT 5),
+    hits AS (SELECT x || ' the ' || y AS rewrite, cost, count(*) AS hits FROM combos JOIN d ON list_contains(d.w, x) AND list_contains(d.w, y) AND list_contains(d.w, 'the') GROUP BY 1, 2),
+    own AS (SELECT count(*) AS n FROM d WHERE list_contains(w, 'thatt') AND list_contains(w, 'the') AND list_contains(w, 'frmo')),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY cost, rewrite) AS rank FROM hits WHERE (SELECT n FROM own) <= 5)
+    SELECT rewrite, CAST(cost AS INTEGER) AS cost, CAST(hits AS BIGINT) AS hits, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 3""",
+)
+def rewrites_written_index(t: Tables):
+    """The same from an index on disk: suggestions from its vocabulary, hits from its posting lists."""
+    articles, path = bind.articles(t.documents), written_index(t)
+    vocabulary = se.read_vocabulary(t.spark, path).where(F.col("field") == "content").select("term", "n")
+    rows, _ = se.read_index(t.spark, path)
+    return spelling.collations(articles, "content", ["thatt", "the", "frmo"], postings=rows, stored=vocabulary)
+
+
 _TERMS = ["the", "und", "que"]
 _IN = ", ".join(f"'{w}'" for w in _TERMS)
 
@@ -324,9 +425,32 @@ def highlights(t: Tables):
     return t.documents.select("doc_id", hl.highlight(F.col("text"), _TERMS).alias("snippet"))
 
 
-@query("highlights_by_sentence", _highlight_sql(r"""regexp_extract_all(text, '[-\w ,/\n"'']{20,200}')"""))
+_SIZE, _LEAST, _MOST = hl.REGEX_SIZE, int(hl.REGEX_SIZE * (1 - hl.REGEX_SLOP)), int(hl.REGEX_SIZE * (1 + hl.REGEX_SLOP))
+_MARKED = rf"""regexp_replace(text, '([-\w ,/\n"'']{{20,200}})', '\1' || chr(57346), 'g')"""
+_STRETCHES = rf"""flatten(list_transform(string_split({_MARKED}, chr(57346)),
+  lambda x: regexp_extract_all(x, '(?s)(?:.{{1,{_MOST}}}\z|.{{0,{_MOST - 1}}}\s|.{{1,{_MOST}}})')))"""
+_LONGER = "(length(s.o) + length(x.o))"
+_CLOSES = f"""({_LONGER} > {_MOST} OR (length(s.o) >= {_LEAST} AND abs(length(s.o) - {_SIZE}) <= abs({_LONGER} - {_SIZE})))"""
+_SENTENCES = f"""list_transform([list_reduce(list_transform({_STRETCHES}, lambda p: {{'d': CAST([] AS VARCHAR[]), 'o': p}}),
+  lambda s, x: CASE WHEN {_CLOSES} THEN {{'d': list_append(s.d, s.o), 'o': x.o}} ELSE {{'d': s.d, 'o': s.o || x.o}} END)], lambda z: list_append(z.d, z.o))[1]"""
+
+
+@query("highlights_by_sentence", _highlight_sql(_SENTENCES, "(SELECT * FROM documents WHERE text <> '')"))
 def highlights_by_sentence(t: Tables):
-    return t.documents.select("doc_id", hl.highlight(F.col("text"), _TERMS, fragments=hl.regex_fragments).alias("snippet"))
+    told = t.documents.where("text <> ''")
+    return told.select("doc_id", hl.highlight(F.col("text"), _TERMS, fragments=hl.regex_fragments).alias("snippet"))
+
+
+@query(
+    "sentence_fragments",
+    f"""SELECT doc_id, len(p) AS n, array_to_string(p, '') = text AS whole, md5(array_to_string(p, '|')) AS pieces
+    FROM (SELECT doc_id, text, {_SENTENCES} AS p FROM documents WHERE text <> '')""",
+)
+def sentence_fragments(t: Tables):
+    """The pieces of each text, which put together are the text."""
+    told = t.documents.where("text <> ''").select("doc_id", "text", hl.regex_fragments(F.col("text")).alias("p"))
+    whole = F.array_join("p", "") == F.col("text")
+    return told.select("doc_id", F.size("p").cast("bigint").alias("n"), whole.alias("whole"), F.md5(F.array_join("p", "|")).alias("pieces"))
 
 
 _BACK = "substr(text, greatest(1, st - 9), least(st, 10))"

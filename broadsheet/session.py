@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps every parsed date an absolute instant; the AQE switches let Spark choose
 # partition counts, split skewed join partitions and pick broadcast joins by measured size.
@@ -44,3 +44,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="broadsheet-")
     return f"{root.rstrip('/')}/broadsheet-{name}-{os.urandom(8).hex()}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table written to a folder of its own and read back, which cuts its lineage."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from broadsheet.functions.charset import decode_escaped
 from broadsheet.schemas import MARC_SCHEMA
 
+BAD_CHARSET = "BAD_CHARSET"
+
 
 def read_marc_table(spark: SparkSession, path: str) -> DataFrame:
     """Records already stored in the nested shape."""
@@ -60,3 +63,26 @@ def assemble_marc(rows: DataFrame) -> DataFrame:
             ).alias("fields"),
         )
     )
+
+
+def normalised_rows(rows: DataFrame) -> DataFrame:
+    """Flat rows with ``data`` and ``value`` as composed Unicode, and ``mapped``: whether that succeeded.
+
+    A record whose leader has ``a`` in place 9 is Unicode already. Any other is in the catalogue's default
+    set, its bytes given as characters below 256.
+    """
+    unicode = F.coalesce(F.substring("leader", 10, 1) == "a", F.lit(False))
+    for name in ("data", "value"):
+        rows = rows.withColumn(f"_{name}", F.when(~unicode, decode_escaped(F.col(name))))
+    told = rows.withColumn("mapped", F.coalesce("_data.mapped", F.lit(True)) & F.coalesce("_value.mapped", F.lit(True)))
+    for name in ("data", "value"):
+        told = told.withColumn(name, F.when(unicode, F.col(name)).otherwise(F.col(f"_{name}.text")))
+    return told.drop("_data", "_value")
+
+
+def split_by_charset(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Flat rows of the records that could be mapped in whole, and rejects (record_id, reason) of the others."""
+    told = normalised_rows(rows)
+    bad = told.where(~F.col("mapped")).select("record_id").distinct()
+    good = told.join(bad, "record_id", "left_anti").drop("mapped")
+    return good, bad.select("record_id", F.lit(BAD_CHARSET).alias("reason"))

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from broadsheet.operators.extract import extract_articles
 from broadsheet.operators.maintain import append_batch, latest_per_key
+from broadsheet.sources.issues import read_issue_files
 from broadsheet.sources.manifest import accepted, parse_manifest
 
 
@@ -52,3 +53,8 @@ def issues_from(archive: DataFrame) -> Callable[[DataFrame], DataFrame]:
         return archive.join(manifest.select("domid").distinct(), "domid", "left_semi")
 
     return lookup
+
+
+def issues_in(spark: SparkSession, prefix: str, suffix: str = "") -> Callable[[DataFrame], DataFrame]:
+    """Issue lookup among files under a prefix for ``ingest_lines``: a batch reads its own files only."""
+    return lambda manifest: read_issue_files(spark, manifest, prefix, suffix)

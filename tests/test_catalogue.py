@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import random
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.functions import marc
+from broadsheet.functions import charset, marc
 from broadsheet.operators import catalogue as cat
 from broadsheet.schemas import MARC_SCHEMA
+from broadsheet.sources import marc as marc_source
 from broadsheet.sources.marc import assemble_marc
 
 
@@ -153,3 +157,63 @@ def test_medium_contains_the_words(spark):
     for medium, want in (("[electronic resource] :", "Electronic"), ("text", "Book")):
         df = record(spark, field("245", f"h={medium}"))
         assert df.select(cat.detailed_format().alias("f")).first().f == want
+
+
+def encoded(text):
+    """A text in the older set: marks before their letter, as characters below 256."""
+    marks = {chr(m): chr(b) for b, m in charset.MARKS.items()}
+    letters = {v: chr(k) for k, v in charset.LETTERS.items()}
+    out, wait = [], []
+    for c in reversed(unicodedata.normalize("NFD", text)):
+        if c in marks:
+            wait.append(marks[c])
+        else:
+            out.append("".join(reversed(wait)) + letters.get(c, c))
+            wait = []
+    return "".join(reversed(out))
+
+
+def test_escape_coded_texts_become_composed(spark):
+    texts = ["plain", "", "Größe", "São Paulo, naïve café", "Łódź", "Đặng Việt Nam", "ấ ậ", "ǖ ǻ", "x̌ ẋ̣", "Æsir £5 ©", "ſ".replace("ſ", "s"), "a" * 3000 + "é"]
+    rows = [(i, encoded(t)) for i, t in enumerate(texts)]
+    assert rows[2][1] == "Gr\xe8o\xc7e" and rows[6][1].startswith("\xe3\xe2a")
+    df = spark.createDataFrame(rows + [(99, None)], "id int, t string")
+    got = {r.id: r.d for r in df.select("id", charset.decode_escaped(F.col("t")).alias("d")).collect()}
+    assert got.pop(99) is None
+    for i, text in enumerate(texts):
+        assert got[i].mapped and got[i].text == unicodedata.normalize("NFC", text), text
+
+
+def test_marks_are_composed_as_by_the_standard(spark):
+    draw = random.Random(1)
+    marks = sorted(charset.MARKS)
+    rows = []
+    for i in range(400):
+        own = draw.sample(marks, draw.randint(0, 3))
+        rows.append((i, "".join(map(chr, own)) + draw.choice("aeiouAOUncsyz1")))
+    df = spark.createDataFrame(rows, "id int, t string")
+    for r in df.select("t", charset.decode_escaped(F.col("t")).alias("d")).collect():
+        want = unicodedata.normalize("NFC", r.t[-1] + "".join(chr(charset.MARKS[ord(c)]) for c in r.t[:-1]))
+        assert r.d.text == want and r.d.mapped, (r.t, r.d.text, want)
+
+
+def test_escapes_and_what_cannot_be_mapped(spark):
+    cases = {
+        "x\x1bp2\x1bs y": ("x² y", True), "H\x1bb2\x1b(BO": ("H₂O", True), "\x1bga\x1bs ray": ("α ray", True), "a\x1b)!Eb": ("ab", True),
+        "\x1b(NABC\x1b(B": (None, False), "\x1b$1!3*": (None, False), "a\xff": (None, False), "a\xe2": (None, False), "\x1bpx": (None, False), "a\x1b": (None, False),
+        "\xe4\xbd \xf2\xac": ("ữ Ợ", True),
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    for r in df.select("t", charset.decode_escaped(F.col("t")).alias("d")).collect():
+        text, mapped = cases[r.t]
+        assert r.d.mapped == mapped and (not mapped or r.d.text == text), r
+
+
+def test_records_are_rejected_in_whole(spark):
+    rows = [
+        ("1", "00000nam  2200000", None, "caf\xe2e"), ("1", "00000nam  2200000", "x", None), ("2", "00000nam  2200000", None, "fine"),
+        ("2", "00000nam  2200000", "bad\xff", None), ("3", "00000nam a2200000", None, "café \xff"), ("4", None, None, "\xc7"),
+    ]
+    good, bad = marc_source.split_by_charset(spark.createDataFrame(rows, "record_id string, leader string, data string, value string"))
+    assert {(r.record_id, r.data, r.value) for r in good.collect()} == {("1", None, "café"), ("1", "x", None), ("3", None, "café \xff"), ("4", None, "ß")}
+    assert [tuple(r) for r in bad.collect()] == [("2", "BAD_CHARSET")]

@@ -247,3 +247,22 @@ def test_long_digit_runs_keep_their_order(spark):
     one, two = "a" + "1" * 25, "a" + "1" * 24 + "2"
     df = spark.createDataFrame([(two,), ("a" + "9" * 24,), (one,)], "n string")
     assert [r.n for r in df.orderBy(natural_key(F.col("n"))).collect()] == ["a" + "9" * 24, one, two]
+
+
+def test_only_listed_issue_files_are_read(spark, tmp_path, monkeypatch):
+    from broadsheet.sources import issues
+
+    for name in ("1", "2", "3", "10"):
+        (tmp_path / f"{name}.xml").write_text(f"<issue><id>{name}</id></issue>")
+    (tmp_path / "4.xml.bak").write_text("no issue")
+    wanted = lambda *ids: spark.createDataFrame([(i,) for i in ids], "domid string")
+    got = issues.read_issue_files(spark, wanted("1", "10", "1", "77", None), str(tmp_path), ".xml")
+    assert {r.domid for r in got.collect()} == {"1", "10"}
+    assert {f.rsplit("/", 1)[1] for f in got.inputFiles()} == {"1.xml", "10.xml"}
+    assert issues.read_issue_files(spark, wanted("77"), str(tmp_path), ".xml").count() == 0
+    assert issues.read_issue_files(spark, wanted(), str(tmp_path), ".xml").count() == 0
+    # Ids that are no plain names, or too many, cut the whole prefix instead.
+    odd = issues.read_issue_files(spark, wanted("2", "*"), str(tmp_path), ".xml")
+    assert {r.domid for r in odd.collect()} == {"2"}
+    monkeypatch.setattr(issues, "MOST_LISTED", 1)
+    assert {r.domid for r in issues.read_issue_files(spark, wanted("2", "3"), str(tmp_path), ".xml").collect()} == {"2", "3"}

@@ -38,7 +38,11 @@ def test_query(spark, con, name):
 
 
 # These read back what they derived from the tables.
-BACK = "shards_written log_of_batches streamed_articles hit_clusters search_written_index terms_written_index".split()
+BACK = (
+    "shards_written log_of_batches streamed_articles hit_clusters search_written_index terms_written_index search_phrase_written_index "
+    "spelling_batch word_breaks_many hit_phrase_clusters hit_label_clusters committed_articles streamed_once streamed_status sketched_stats "
+    "status_written indexed_once discovery_written_index more_like_this_written_index rewrites_written_index"
+).split()
 
 
 def test_every_query_reads_given_tables(spark):
@@ -73,6 +77,13 @@ def test_written_index_reads_the_buckets_of_its_terms(spark):
     assert "StartsWith(term,th)" in plan_of(queries()["terms_written_index"](spark, DATA))
 
 
+def test_requests_over_a_written_index_tokenize_nothing(spark):
+    for name in ("discovery_written_index", "more_like_this_written_index", "rewrites_written_index", "search_phrase_written_index", "spelling_batch"):
+        plan = plan_of(queries()[name](spark, DATA))
+        assert "split(lower(" not in plan or name == "spelling_batch", name
+    assert "split(lower(text" not in plan_of(queries()["discovery_written_index"](spark, DATA))
+
+
 def test_postings_need_no_shuffle(spark):
     assert "Exchange" not in plan_of(queries()["postings"](spark, DATA)).replace("RoundRobin", "")
 

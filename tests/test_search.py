@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.operators import analysis, filters as flt, group, search as se, similar
+from broadsheet.operators import analysis, filters as flt, group, highlight as hl, search as se, similar
 from broadsheet.plans.jobs import discover
 
 DOCS = [
@@ -199,3 +199,83 @@ def test_word_breaks_look_at_every_term(spark):
     terms = [f"w{i}" for i in range(10)] + ["eleven", "joined", "tailend"]
     got = {(r.kind, r.query, r.suggestion) for r in word_breaks(df, "t", terms).collect()}
     assert got == {("join", "eleven joined", "elevenjoined"), ("split", "tailend", "tail end")}
+
+
+@pytest.mark.parametrize(
+    "chain, query, text",
+    [
+        (analysis.Analyser(fold=True), ["café"], "le café noir"),
+        (analysis.Analyser(fold=True), ["cafe"], "le Café noir"),
+        (analysis.Analyser(elision="fr"), ["L'Café"], "dans le café"),
+        (analysis.PLAIN, ["tea-room"], "the tea room"),
+        (analysis.Analyser(stems={"ran": "run"}), ["ran"], "they ran"),
+        (analysis.Analyser(synonyms=analysis.synonym_table({"pixima": ["pixma"]}, [])), ["pixima"], "a pixima"),
+        (analysis.Analyser(stopwords=["the"]), ["the", "tea"], "tea"),
+    ],
+)
+def test_query_is_analysed_like_the_text(spark, chain, query, text):
+    df = spark.createDataFrame([(1, text), (2, "other words")], "id int, content string")
+    assert [r.id for r in se.search(df, query, analyser=chain, mm=1.0).collect()] == [1]
+    rows, lengths = analysis.postings(df, "id", ["content"], chain, lengths=True), analysis.field_lengths(df, "id", ["content"], chain)
+    want = as_dict(se.search(df, query, analyser=chain, mm=1.0))
+    assert as_dict(se.search_postings(rows, lengths, query, {"content": 1.0}, mm=1.0, analyser=chain)) == want
+    shown = df.select(hl.highlight(F.col("content"), query, analyser=chain).alias("h")).collect()
+    assert "<b>" in shown[0].h and "<b>" not in shown[1].h
+
+
+def test_synonyms_in_one_place_count_once(spark):
+    chain = analysis.Analyser(synonyms=analysis.synonym_table({}, [["tv", "television"]]))
+    df = spark.createDataFrame([(1, "a television set"), (2, "a set"), (3, "tv")], "id int, content string")
+    got = {r.id: r.matched for r in se.search(df, ["tv", "set"], analyser=chain, mm=1).collect()}
+    assert got == {1: 2, 2: 1, 3: 1}
+    rows, lengths = analysis.postings(df, "id", ["content"], chain, lengths=True), analysis.field_lengths(df, "id", ["content"], chain)
+    assert as_dict(se.search_postings(rows, lengths, ["tv", "set"], {"content": 1.0}, mm=1, analyser=chain)) == as_dict(
+        se.search(df, ["tv", "set"], analyser=chain, mm=1)
+    )
+
+
+def test_phrase_keeps_repeated_words(spark):
+    texts = ["to be or not to be", "to be or not now", "be to not or be to", "to be or to be not"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
+    query = "to be or not to be".split()
+    ranked = se.search_fields(df, query, {"content": 1.0}, phrase_weights={"content": 2.0}, mm=1).orderBy(F.col("score").desc())
+    assert ranked.first().id == 0
+    gained = {r.id: r.score for r in ranked.collect()}
+    base = {r.id: r.score for r in se.search_fields(df, query, {"content": 1.0}, mm=1).collect()}
+    assert {i for i in base if gained[i] > base[i]} == {0}
+
+
+def sloppy(words, query, slop):
+    """Beginnings by trying every choice of positions."""
+    import itertools
+
+    held = [[p for p, w in enumerate(words, 1) if w == q] for q in query]
+    moved = {p - i for i, ps in enumerate(held) for p in ps}
+    out = set()
+    for start in moved:
+        near = [[p for p in ps if start <= p - i <= start + slop] for i, ps in enumerate(held)]
+        if any(len(set(c)) == len(c) for c in itertools.product(*near)):
+            out.add(start)
+    return len(out)
+
+
+@pytest.mark.parametrize("query", [["a", "b"], ["a", "b", "a"], ["b", "a", "a", "c"], ["a"], ["c", "b", "c", "b"], ["a", "x"]])
+@pytest.mark.parametrize("slop", [0, 1, 3])
+def test_phrase_positions_from_postings(spark, query, slop):
+    import random
+
+    draw = random.Random(len(query) * 7 + slop)
+    texts = [(i, " ".join(draw.choices("abcd", k=draw.randint(0, 14)))) for i in range(60)]
+    df = spark.createDataFrame(texts, "id int, content string")
+    rows, lengths = analysis.postings(df, "id", ["content"], lengths=True), analysis.field_lengths(df, "id", ["content"])
+    found = se.search_phrase_postings(rows, se.field_statistics(lengths), query, "content", slop)
+    want = {i: n for i, t in texts if (n := sloppy(t.split(), query, slop))}
+    assert {r.id: int(r.tf) for r in found.collect()} == want
+
+
+def test_phrase_search_places_gaps_of_stop_words(spark):
+    chain = analysis.Analyser(stopwords=["the"], fold=True)
+    df = spark.createDataFrame([(1, "lord of the rings"), (2, "lord of rings")], "id int, content string")
+    rows, lengths = analysis.postings(df, "id", ["content"], chain, lengths=True), analysis.field_lengths(df, "id", ["content"], chain)
+    found = se.search_phrase_postings(rows, se.field_statistics(lengths), ["lord", "of", "the", "rings"], "content", analyser=chain)
+    assert [r.id for r in found.collect()] == [1]

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.operators import activity as ac, currency as cur, facets as fc, maintain as mt
+from broadsheet.functions import ring
+from broadsheet.operators import activity as ac, currency as cur, facets as fc, maintain as mt, sketches, versions
 from broadsheet.sources.manifest import MANIFEST_COLUMNS
+from broadsheet.streaming import state
 from broadsheet.streaming.ingest import ingest_manifests, issues_from
 
 from tests.test_ingest import HEADER, ISSUE, row
@@ -172,3 +176,131 @@ def test_shared_folder_is_required_on_a_cluster():
         shared_dir(Cluster(), "x")
     Cluster.conf["spark.checkpoint.dir"] = "hdfs://shared"
     assert shared_dir(Cluster(), "x").startswith("hdfs://shared/broadsheet-x-")
+
+
+# Published results of the hash with seed 0.
+VECTORS = {"": 0, "test": 0xBA6BD213, "hello": 0x248BFA47, "hello, world": 0x149BBB7F, "abc": 0xB3DD93FA,
+           "The quick brown fox jumps over the lazy dog": 0x2E4FF723}
+
+
+def murmur(data: bytes) -> int:
+    h, mask = 0, 0xFFFFFFFF
+    rot = lambda x, r: (x << r | x >> (32 - r)) & mask
+    scr = lambda k: rot(k * ring.C1 & mask, 15) * ring.C2 & mask
+    for i in range(0, len(data) // 4 * 4, 4):
+        h = (rot(h ^ scr(int.from_bytes(data[i : i + 4], "little")), 13) * 5 + ring.ADD) & mask
+    h ^= scr(int.from_bytes(data[len(data) // 4 * 4 :], "little")) ^ len(data)
+    h = (h ^ h >> 16) * ring.MIX1 & mask
+    h = (h ^ h >> 13) * ring.MIX2 & mask
+    return h ^ h >> 16
+
+
+def signed(x: int) -> int:
+    return x - (1 << 32) if x >> 31 else x
+
+
+def test_ring_hash(spark):
+    assert all(murmur(k.encode()) == v for k, v in VECTORS.items())
+    texts = [*VECTORS, "é", "a€b", "😀😀", "x" * 1001, *(f"art-{i}" for i in range(300)), "a!b", "!b", "a!", "news!x-1", "news!x-2", "a!b!c"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "id string")
+    got = {r.id: (r.h, r.p, r.s) for r in df.select("id", ring.murmur(F.col("id")).alias("h"), ring.ring_hash(F.col("id")).alias("p"), ring.ring_shard(F.col("id"), 7).alias("s")).collect()}
+    ranges = ring.ring_ranges(7)
+    assert ranges[0][0] == -(1 << 31) and ranges[-1][1] == (1 << 31) - 1 and all(a[1] + 1 == b[0] for a, b in zip(ranges, ranges[1:]))
+    assert max(b - a for a, b in ranges) - min(b - a for a, b in ranges) <= 1 << 16
+    for t in texts:
+        h, p, s = got[t]
+        assert h == signed(murmur(t.encode()))
+        at = t.find("!")
+        if 0 < at < len(t) - 1:
+            assert p & 0xFFFFFFFF == murmur(t[:at].encode()) & 0xFFFF0000 | murmur(t[at + 1 :].encode()) & 0xFFFF
+        else:
+            assert p == h
+        assert ranges[s][0] <= p <= ranges[s][1]
+    assert got[None] == (None, None, None) and got["news!x-1"][2] == got["news!x-2"][2]
+    with pytest.raises(ValueError):
+        ring.ring_shard(F.col("id"), 0)
+
+
+def test_versions_and_newer_batches(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    rows = lambda *x: spark.createDataFrame(x, "id int, v string")
+    held = lambda: {(r.id, r.v) for r in versions.committed(spark, path).collect()}
+    assert versions.newest_version(spark, path) is None and versions.committed(spark, path) is None and versions.compact(spark, path) is None
+    mt.append_batch(rows((1, "a"), (2, "a")), path, 0)
+    mt.append_batch(rows((2, "b"), (3, "b")), path, 1)
+    assert held() == {(1, "a"), (2, "b"), (3, "b")}
+    assert versions.compact(spark, path)[0::2] == (1, 1) and held() == {(1, "a"), (2, "b"), (3, "b")}
+    assert versions.compact(spark, path) is None
+    mt.append_batch(rows((3, "c"), (4, "c")), path, 2)
+    assert held() == {(1, "a"), (2, "b"), (3, "c"), (4, "c")}
+    # The version stands for the batches up to its last one, which are not read again.
+    shutil.rmtree(f"{path}/batch_id=0")
+    assert held() == {(1, "a"), (2, "b"), (3, "c"), (4, "c")}
+    assert "batch_id=1" not in " ".join(versions.committed(spark, path).inputFiles())
+    second = versions.compact(spark, path)
+    assert second[0::2] == (2, 2) and held() == {(1, "a"), (2, "b"), (3, "c"), (4, "c")}
+    # The log itself can still be read as before.
+    assert mt.read_log(spark, path).count() == 4
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    mt.append_batch(spark.createDataFrame([(1, "a")], "id int, v string"), path, 0)
+    versions.publish(spark, path, versions.Version(1, "_data/first", 0))
+    with pytest.raises(versions.VersionConflict):
+        versions.publish(spark, path, versions.Version(1, "_data/second", 0))
+    assert versions.newest_version(spark, path).folder == "_data/first"
+
+
+def test_sketches_stay_near_exact_counts(spark, tmp_path):
+    rows = [(i, f"v{i % 3000}" if i % 4 else None, float(i % 977), "x" if i % 2 else None) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "id int, name string, size double, half string")
+    for batch in range(4):
+        part = df.where(F.col("id") % 4 == batch)
+        sketches.write_sketches(part, str(tmp_path / "s"), batch, ["name", "size", "half"], group=F.col("id") % 5)
+    sketches.write_sketches(df.where("id % 4 = 3"), str(tmp_path / "s"), 3, ["name", "size", "half"], group=F.col("id") % 5)  # repeated
+    stored = sketches.read_sketches(spark, str(tmp_path / "s"))
+    told = {r.field: r for r in sketches.sketch_stats(stored).collect()}
+    assert {f: (r.rows, r.present) for f, r in told.items()} == {"name": (20_000, 15_000), "size": (20_000, 20_000), "half": (20_000, 10_000)}
+    exact = len({r[1] for r in rows if r[1]})
+    assert abs(told["name"].distinct_values - exact) <= 0.07 * exact and told["half"].distinct_values == 1
+    assert told["name"].quantiles is None
+    for q, x in zip((0.25, 0.5, 0.75), told["size"].quantiles):
+        assert abs(x - 977 * q) <= 977 * 0.03
+    over = sketches.sketch_overlap(stored, ["name", "half"]).first()
+    both = sum(r[1] is not None and r[3] is not None for r in rows)
+    assert (over.a, over.b) == ("half", "name")
+    assert abs(over.both - both) <= 0.1 * both and abs(over.only_a - (10_000 - both)) <= 0.1 * 10_000
+    plan = sketches.sketch_stats(stored)._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path) in plan
+
+
+def test_stream_keeps_the_first_of_each_key(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    start = datetime(2020, 1, 1)
+    kind = "id int, v string, arrived timestamp"
+    drops = [
+        [(1, "a", start), (1, "a2", start), (2, "b", start + timedelta(hours=1)), (None, "x", start), (5, "x", None)],
+        [(2, "b2", start + timedelta(hours=2)), (3, "c", start + timedelta(hours=50))],
+        [(4, "late", start + timedelta(hours=2)), (3, "c2", start + timedelta(hours=50)), (6, "d", start + timedelta(hours=49))],
+    ]
+    for i, drop in enumerate(drops):
+        spark.createDataFrame(drop, kind).coalesce(1).write.parquet(f"{tmp_path}/in/drop={i}")
+        rows = spark.readStream.schema(kind).parquet(f"{tmp_path}/in/*")
+        state.append_stream(state.once_per_key(rows, "id", "arrived", "10 hours"), f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
+    got = {(r.id, r.v[0]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {(1, "a"), (2, "b"), (3, "c"), (6, "d")}
+
+
+def test_one_parse_for_all_results(spark, tmp_path):
+    from broadsheet.plans import bindings as bind, jobs
+    from tests.test_registered import DATA, plan_of
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    lines, xml = bind.manifest_lines(docs), bind.issue_xml(docs)
+    job = jobs.index_once(lines, xml, f"{tmp_path}/parsed", "p-")
+    plain = jobs.index_articles(lines, xml, "p-")
+    for one, other in ((job.articles, plain.articles), (job.rejects, plain.rejects), (job.status, plain.status)):
+        assert "from_xml" not in plan_of(one) and f"{tmp_path}/parsed" in plan_of(one)
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
