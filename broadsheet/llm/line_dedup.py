@@ -448,6 +448,25 @@ def long_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     return min(found, limit + 1)
 
 
+def _waiting(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs (one, other) of which the later line isn't removed by the links."""
+    gone = links.select(F.struct(F.col("b_doc").alias("doc"), F.col("b_line").alias("line")).alias("later")).distinct()
+    return pairs.withColumn("later", F.greatest("one", "other")).join(gone, "later", "left_anti").drop("later")
+
+
+def _hub_links(pairs: DataFrame, table: DataFrame, distance: int | None) -> DataFrame:
+    """Links among pairs (one: a hub, other), written. Each line meets the earliest of its hubs first.
+
+    That removes most lines of a group of copies, so the hubs of their other keys needn't be compared.
+    """
+    pairs = stored(pairs.distinct(), "hub-pairs")
+    first = _verified(pairs.groupBy("other").agg(F.min("one").alias("one")), table, distance)
+    rest = _verified(_waiting(pairs, first), table, distance)
+    out = stored(first.unionByName(rest).distinct(), "line-links")
+    discard(table.sparkSession, pairs, first, rest)
+    return out
+
+
 def near_lines(packed: DataFrame, firsts: DataFrame, distance: int | None = None) -> DataFrame:
     """Links between different lines: (a_doc, a_line, b_doc, b_line, distance), a the earlier.
 
@@ -465,7 +484,7 @@ def near_lines(packed: DataFrame, firsts: DataFrame, distance: int | None = None
     met = _segment_keys(table, distance, True).join(hubs, "key").where(F.col("more") | (hub != place))
     met = stored(met, "line-probes", "zstd")
     release(spark)  # of the shuffled probes
-    links = _verified(met.select(hub.alias("one"), place.alias("other")).where("one <> other").distinct(), table, distance)
+    links = _hub_links(met.select(hub.alias("one"), place.alias("other")).where("one <> other"), table, distance)
 
     # Keys with several indexed lines: those lines but the hub, and all that probe them.
     rest = _segment_keys(table, distance, False).join(hubs.where("more").select("key", "hub"), "key")
@@ -477,10 +496,9 @@ def near_lines(packed: DataFrame, firsts: DataFrame, distance: int | None = None
     while left and new >= FRUITFUL * left:
         gone = removed(links)
         hubs = stored(rest.join(gone, ["doc", "line"], "left_anti").groupBy("key").agg(F.min(place).alias("hub")), "line-hubs")
-        pairs = asking.join(hubs, "key").select(hub.alias("one"), place.alias("other")).where("one <> other").distinct()
+        pairs = asking.join(hubs, "key").select(hub.alias("one"), place.alias("other")).where("one <> other")
         # Of use are lines that aren't removed yet: probes, or hubs with an earlier probe.
-        later = gone.toDF("b_doc", "b_line")
-        more = stored(_verified(pairs, table, distance).join(later, ["b_doc", "b_line"], "left_anti").select(*links.columns), "line-links")
+        more = _hub_links(_waiting(pairs, links), table, distance)
         left, new = left - new, removed(more).count()
         fewer = stored(rest.join(hubs, "key", "left").where(hub.isNull() | (hub != place)).drop("hub"), "line-index")
         both = stored(links.unionByName(more), "line-links")
