@@ -282,11 +282,12 @@ def term_runs(tokens: Column) -> Column:
 
 
 def postings(
-    df: DataFrame, key: str, fields: Sequence[str], analyser: Analyser = PLAIN, lengths: bool = False
+    df: DataFrame, key: str, fields: Sequence[str], analyser: Analyser = PLAIN, lengths: bool = False, only: Sequence[str] | None = None
 ) -> DataFrame:
     """Inverted index rows (term, field, key, tf, positions), with ``dl`` if ``lengths``.
 
     A document's tokens lie in one row, so its postings are made there, without a shuffle.
+    ``only``: the terms whose postings are wanted; others are left out before tokens are sorted.
     """
 
     def placed(f: str) -> Column:
@@ -295,7 +296,7 @@ def postings(
         def rows(tokens: Column) -> Column:
             length = [F.size(tokens).alias("dl")] if lengths else []
             return F.transform(
-                term_runs(tokens),
+                term_runs(tokens if only is None else F.filter(tokens, lambda p: p["term"].isin(*only))),
                 lambda r: F.struct(
                     F.lit(f).alias("field"), r["term"].alias("term"), *length, r["tf"].alias("tf"), r["positions"].alias("positions")
                 ),

@@ -66,10 +66,10 @@ def search_minimum_match(t: Tables):
 @query("search_stored_postings", f"WITH {_search_ctes(['la', 'que', 'des', 'un'], _WEIGHTS)} {_ranked('count(*) >= 3')}")
 def search_stored_postings(t: Tables):
     articles = bind.articles(t.documents)
-    fields = list(_WEIGHTS)
-    rows = analysis.postings(articles, "id", fields, lengths=True)
+    fields, terms = list(_WEIGHTS), ["la", "que", "des", "un"]
+    rows = analysis.postings(articles, "id", fields, lengths=True, only=terms)
     lengths = analysis.field_lengths(articles, "id", fields)
-    return _shown(se.search_postings(rows, lengths, ["la", "que", "des", "un"], _WEIGHTS, mm=0.75))
+    return _shown(se.search_postings(rows, lengths, terms, _WEIGHTS, mm=0.75))
 
 
 _INDEXES: dict[tuple[str, str], str] = {}

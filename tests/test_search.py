@@ -279,3 +279,11 @@ def test_phrase_search_places_gaps_of_stop_words(spark):
     rows, lengths = analysis.postings(df, "id", ["content"], chain, lengths=True), analysis.field_lengths(df, "id", ["content"], chain)
     found = se.search_phrase_postings(rows, se.field_statistics(lengths), ["lord", "of", "the", "rings"], "content", analyser=chain)
     assert [r.id for r in found.collect()] == [1]
+
+
+def test_postings_of_some_terms_only(spark):
+    df = spark.createDataFrame([(1, "tea and tea"), (2, "salt"), (3, None)], "id int, content string")
+    every = analysis.postings(df, "id", ["content"], lengths=True)
+    some = analysis.postings(df, "id", ["content"], lengths=True, only=["tea", "salt"])
+    assert sorted(some.collect()) == sorted(every.where("term in ('tea', 'salt')").collect())
+    assert {(r.id, r.term, r.tf, r.dl) for r in some.collect()} == {(1, "tea", 2, 3), (2, "salt", 1, 1)}
