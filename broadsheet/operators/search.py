@@ -301,14 +301,14 @@ def field_statistics(lengths: DataFrame) -> DataFrame:
 def write_index(df: DataFrame, path: str, key: str, fields: Sequence[str], analyser: Analyser = PLAIN, buckets: int = 64) -> None:
     """Store postings, field lengths, statistics and vocabulary under ``path``.
 
-    Postings are sorted by term in hash buckets; a bucket with a very common term is split over
-    several files by the rebalance. The vocabulary (field, term, n) is sorted, so that a prefix
-    reads few row groups.
+    Each part of the input writes a segment of its own: its postings, sorted by term in hash buckets.
+    So postings are never shuffled, and a very common term lies in as many files as there are segments.
+    The vocabulary (field, term, n) is sorted, so that a prefix reads few row groups.
     """
     from broadsheet.operators.analysis import field_lengths, postings
 
     bucket = F.pmod(F.hash("term"), F.lit(buckets)).alias("bucket")
-    rows = postings(df, key, fields, analyser, lengths=True).select("*", bucket).hint("rebalance", "bucket")
+    rows = postings(df, key, fields, analyser, lengths=True).select("*", bucket)
     rows.sortWithinPartitions("bucket", "term", "field").write.partitionBy("bucket").parquet(f"{path}/postings")
     field_lengths(df, key, fields, analyser).write.parquet(f"{path}/lengths")
     field_statistics(df.sparkSession.read.parquet(f"{path}/lengths")).coalesce(1).write.parquet(f"{path}/statistics")

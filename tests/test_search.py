@@ -281,6 +281,19 @@ def test_phrase_search_places_gaps_of_stop_words(spark):
     assert [r.id for r in found.collect()] == [1]
 
 
+def test_an_index_is_written_in_segments_without_moving_postings(spark, tmp_path):
+    rows = [(i, f"tea number{i} tea") for i in range(30)]
+    df = spark.createDataFrame(rows, "id int, content string").repartition(3, "id")
+    assert df.rdd.getNumPartitions() == 3
+    df.write.parquet(f"{tmp_path}/articles")
+    parts = spark.read.parquet(*sorted(str(f) for f in (tmp_path / "articles").glob("*.parquet")))
+    se.write_index(parts, f"{tmp_path}/index", "id", ["content"], buckets=1)
+    stored, _ = se.read_index(spark, f"{tmp_path}/index")
+    files = stored.where("term = 'tea'").select(F.input_file_name().alias("f")).distinct().count()
+    assert files == parts.rdd.getNumPartitions() > 1
+    assert sorted(r.id for r in stored.where("term = 'tea' and tf = 2 and positions = array(1, 3)").collect()) == list(range(30))
+
+
 def test_postings_of_some_terms_only(spark):
     df = spark.createDataFrame([(1, "tea and tea"), (2, "salt"), (3, None)], "id int, content string")
     every = analysis.postings(df, "id", ["content"], lengths=True)
