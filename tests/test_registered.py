@@ -101,3 +101,8 @@ def test_documents_are_parsed_once(spark):
     plan = plan_of(queries()["search_one_field"](spark, DATA))
     # One tokenization for the statistics, one for the hits.
     assert plan.count("split(lower(") == 2
+
+
+def test_records_to_parse_are_dealt_out_by_number(spark):
+    df = queries()["full_records"](spark, DATA)
+    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
