@@ -17,8 +17,12 @@ where the shorter line allows t edits:
   can stand if the edits left of it and right of it are counted (multi-match-aware selection);
 * a key's probes meet its earliest indexed line first, its hub, so that a group of copies costs as
   many pairs as it has lines. While that removes many lines, the earliest ones not yet removed are
-  hubs in turn; then the keys that are left are joined in whole, for lines not yet removed only,
-  where a signature of character parities, of which an edit changes two at most, is a join condition;
+  hubs in turn; then the keys that are left are joined in whole, for lines not yet removed only.
+  Among the unchanged segments of a pair, take that after which the edits from the line's begin last
+  were as many as the segments passed (``_marked_keys``): as many edits lie to its left as segments
+  do, one at most in the next segment, two in the next two, and the rest of t to its right. Counts of
+  characters left and right of the segment, of which an edit changes two, are held against that
+  within the join, so that lines with one passage in common but not near make few pairs;
 * pairs are held against counts of ``CLASSES`` classes of characters, of which an edit changes
   two by one at most, before any text is fetched;
 * the rest is verified by a bit-parallel automaton over the band of 2 * t + 1 diagonals for
@@ -52,6 +56,8 @@ BAND_EDITS = 8  # up to so many edits pairs are verified side by side
 PAIR = ["a_doc", "a_line", "b_doc", "b_line"]
 FRUITFUL = 0.1  # hubs are tried again while they remove this share of the lines that were left
 CLASSES = 32  # of characters, counted in each line
+MARKED = 64  # classes of characters, counted beside a segment
+RING = np.array([0, 1, 3, 7, 15, 14, 12, 8], np.uint64)  # as many bits apart as counts modulo 8 are, by the shorter way
 PACKED_BYTES = 1 << 19  # of compressed text that is unpacked at once
 PAIR_CHARS = 1 << 20  # code points of the pairs that are verified side by side
 
@@ -218,13 +224,14 @@ def _groups(longest: int, distance: int | None) -> list[tuple[int, int, int]]:
 
 
 def _keys(
-    lines: Lines, which: np.ndarray, distance: int, probe: bool, low_size: int = 0, high_size: int = 1 << 31
-) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys, or probe keys, of lines: the line's place in ``which`` and the key.
+    lines: Lines, which: np.ndarray, distance: int, probe: bool, low_size: int = 0, high_size: int = 1 << 31, marked: bool = False
+) -> list[np.ndarray]:
+    """Index keys, or probe keys, of lines: the line's place in ``which``, the key, whether the line is indexed by it.
 
-    Indexed are lines of lengths from ``low_size`` and below ``high_size``.
+    Indexed are lines of lengths from ``low_size`` and below ``high_size``. If ``marked``, the segment's
+    number and the marks of the text beside it follow.
     """
-    owners, keys = [], []
+    out = []
     for some, codes, start in lines.parts(which):
         hashes = Ranges(codes)
         size = lines.size[which[some]]
@@ -242,23 +249,32 @@ def _keys(
             row, column = np.nonzero(meant[:, None] & (at >= 0) & (at + long <= size[:, None]) & (long > 0))
             low = start[row] + at[row, column]
             tag = (size[row] - shorter).astype(np.uint64) * _U(64) + which_one[column].astype(np.uint64)
-            owners.append(some[row])
-            keys.append(mixed(hashes.of(low, low + long[row, column]) + mixed(tag)))
-    return (np.concatenate(owners), np.concatenate(keys)) if owners else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-
-
-def _signatures(lines: Lines, which: np.ndarray) -> np.ndarray:
-    """For each line, which of 31 classes of characters occur an odd number of times, as bits.
-
-    The sign stays clear, as Spark counts the bits of an integer widened to 64.
-    """
-    out = np.zeros(len(which), np.uint32)
-    size = lines.size[which]
-    total = np.zeros(len(lines.codes) + 1, np.uint32)
-    bit = np.uint32(1) << ((lines.codes * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(31)
-    np.bitwise_xor.accumulate(bit, out=total[1:])
-    out[:] = total[lines.start[which] + size] ^ total[lines.start[which]]
-    return out.view(np.int32)
+            high = low + long[row, column]
+            found = [some[row], mixed(hashes.of(low, high) + mixed(tag)), (shorter == 0) & (shift[column] == 0)]
+            if marked:
+                part, begins, stop = which_one[column], start[row], start[row] + size[row]
+                ends = [np.minimum(low - at[row, column] + shift[column] + (begin + length)[row, np.minimum(part + k, distance)], stop) for k in (1, 2)]
+                found += [part, _marks(codes, [(begins, low), (high, np.maximum(ends[0], high)), (high, np.maximum(ends[1], high)), (high, stop)])]
+            out.append(found)
+    if not out:
+        none = np.zeros(0, np.int64)
+        return [none, none.astype(np.uint64), none.astype(bool), none, np.zeros((0, 4 * MARKED // 16), np.int64)][: 5 if marked else 3]
+    return [np.concatenate(x) for x in zip(*out)]
+
+
+def _marks(codes: np.ndarray, stretches: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Counts of the ``MARKED`` classes of characters in stretches of codes, 16 counts of four bits of ``RING`` in a word."""
+    words: list[list[np.ndarray]] = [[] for _ in stretches]
+    kind = (codes % _U(MARKED)).astype(np.int64)
+    for at in range(0, MARKED, 16):
+        total = np.zeros((len(codes) + 1, 16), np.uint8)
+        here = np.flatnonzero((kind >= at) & (kind < at + 16))
+        total[here + 1, kind[here] - at] = 1
+        np.cumsum(total, 0, np.uint8, out=total)
+        for to, (low, high) in zip(words, stretches):
+            ring = RING[(total[high] - total[low]) & 7]
+            to.append(np.bitwise_or.reduce(ring << (4 * np.arange(16)).astype(np.uint64), 1).view(np.int64))
+    return np.stack([x for to in words for x in to], 1)
 
 
 def _first_lines(part: pa.RecordBatch) -> tuple[Lines, np.ndarray, np.ndarray]:
@@ -276,7 +292,7 @@ def _first_lines(part: pa.RecordBatch) -> tuple[Lines, np.ndarray, np.ndarray]:
 
 
 def _line_table(chosen: DataFrame) -> DataFrame:
-    """(doc, line, size, signature, counts, text) of the lines listed with each document."""
+    """(doc, line, size, counts, text) of the lines listed with each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,18 +304,17 @@ def _line_table(chosen: DataFrame) -> DataFrame:
                         part.column("doc_id").take(pa.array(lines.text[which])),
                         pa.array(lines.number[which].astype(np.int32)),
                         pa.array(lines.size[which].astype(np.int32)),
-                        pa.array(_signatures(lines, which)),
                         _counts(lines, which),
                         lines.texts(which),
                     ],
-                    ["doc", "line", "size", "signature", "counts", "text"],
+                    ["doc", "line", "size", "counts", "text"],
                 )
 
-    return chosen.mapInArrow(run, "doc long, line int, size int, signature int, counts binary, text string")
+    return chosen.mapInArrow(run, "doc long, line int, size int, counts binary, text string")
 
 
 def _segment_keys(table: DataFrame, distance: int | None, probe: bool) -> DataFrame:
-    """(key, doc, line) of the lines of the table."""
+    """(key, doc, line, own) of the lines of the table; ``own``: the line is indexed by the key, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,13 +322,66 @@ def _segment_keys(table: DataFrame, distance: int | None, probe: bool) -> DataFr
                 lines = Lines(part.column("text"))
                 for edits, low, high in _groups(int(lines.size.max(initial=0)), distance):
                     some = np.flatnonzero((lines.size >= low) & (lines.size < high + (edits if probe else 0)))
-                    owner, key = _keys(lines, some, edits, probe, low, high)
+                    owner, key, own = _keys(lines, some, edits, probe, low, high)
                     mine = pa.array(some[owner])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), part.column("doc").take(mine), part.column("line").take(mine)], ["key", "doc", "line"]
+                        [pa.array(key.view(np.int64)), part.column("doc").take(mine), part.column("line").take(mine), pa.array(own)],
+                        ["key", "doc", "line", "own"],
                     )
 
-    return table.select("doc", "line", "text").mapInArrow(run, "key long, doc long, line int")
+    return table.select("doc", "line", "text").mapInArrow(run, "key long, doc long, line int, own boolean")
+
+
+def _marked_keys(table: DataFrame, distance: int | None, probe: bool) -> DataFrame:
+    """(key, doc, line, size, part, edits, marks): keys with the segment's number, the edits allowed and counts beside it.
+
+    Let e(j) be the edits of segment j of a pair of lines within t edits, and f(k) their sum below k, less k.
+    f begins at 0, ends below 0 and falls by one at most, so the last k where it isn't below 0 is an
+    unchanged segment with k edits to its left; from there on f stays below 0, so that up to n edits lie in
+    the n segments after it, and up to t - k in all. Stretches of equal length beside it that as many
+    edits change have counts that differ by twice as many at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                lines = Lines(part.column("text"))
+                for edits, low, high in _groups(int(lines.size.max(initial=0)), distance):
+                    some = np.flatnonzero((lines.size >= low) & (lines.size < high + (edits if probe else 0)))
+                    owner, key, _, number, marks = _keys(lines, some, edits, probe, low, high, marked=True)
+                    mine = pa.array(some[owner])
+                    of = np.arange(len(key) + 1, dtype=np.int32) * marks.shape[1]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(key.view(np.int64)), part.column("doc").take(mine), part.column("line").take(mine),
+                            pa.array(lines.size[some[owner]].astype(np.int32)), pa.array(number.astype(np.int32)),
+                            pa.array(np.full(len(key), edits, np.int32)), pa.ListArray.from_arrays(pa.array(of), pa.array(marks.reshape(-1))),
+                        ],
+                        ["key", "doc", "line", "size", "part", "edits", "marks"],
+                    )
+
+    return table.select("doc", "line", "text").mapInArrow(run, "key long, doc long, line int, size int, part int, edits int, marks array<long>")
+
+
+def _joined(index: DataFrame, probes: DataFrame) -> DataFrame:
+    """Pairs (one, other) of marked keys' lines that may be near, of which the later is not ``gone``."""
+    i, p = index.alias("i"), probes.alias("p")
+    place = lambda x: F.struct(F.col(f"{x}.doc").alias("doc"), F.col(f"{x}.line").alias("line"))
+    words = MARKED // 16
+    apart = lambda k: sum((F.bit_count(F.col("i.marks")[w].bitwiseXOR(F.col("p.marks")[w])) for w in range(k * words, (k + 1) * words)), F.lit(0))
+    left, right = F.col("i.part"), F.col("i.edits") - F.col("i.part")
+    return i.join(
+        p,
+        (F.col("i.key") == F.col("p.key"))
+        & F.when(place("i") > place("p"), ~F.col("i.gone")).otherwise(~F.col("p.gone"))
+        # Lines of one length probe each other: the later one's probe is enough.
+        & ((F.col("i.size") < F.col("p.size")) | (place("i") < place("p")))
+        & (place("i") != place("p"))
+        & (apart(0) <= 2 * left)
+        & (apart(3) <= 2 * right)
+        & (apart(1) <= F.least(F.lit(2), 2 * right))
+        & (apart(2) <= F.least(F.lit(4), 2 * right)),
+    ).select(place("i").alias("one"), place("p").alias("other"))
 
 
 def _alike(pairs: DataFrame, distance: int | None) -> DataFrame:
@@ -329,9 +397,12 @@ def _alike(pairs: DataFrame, distance: int | None) -> DataFrame:
     return pairs.mapInArrow(run, "a_doc long, a_line int, b_doc long, b_line int")
 
 
-def _verified(pairs: DataFrame, table: DataFrame, distance: int | None) -> DataFrame:
-    """Links among pairs (one, other) of places: (a_doc, a_line, b_doc, b_line, distance), a the earlier."""
-    of = lambda x: table.select(
+def _verified(pairs: DataFrame, table: DataFrame, facts: DataFrame, distance: int | None) -> DataFrame:
+    """Links among pairs (one, other) of places: (a_doc, a_line, b_doc, b_line, distance), a the earlier.
+
+    ``facts``: (doc, line, size, counts) of all lines that occur in pairs.
+    """
+    of = lambda x: facts.select(
         F.struct("doc", "line").alias(x), F.struct(F.col("doc").alias("doc"), F.col("line").alias("line"), "size", "counts").alias(f"{x}_line")
     )
     known = pairs.where("one <> other").join(of("one"), "one").join(of("other"), "other")
@@ -454,14 +525,14 @@ def _waiting(pairs: DataFrame, links: DataFrame) -> DataFrame:
     return pairs.withColumn("later", F.greatest("one", "other")).join(gone, "later", "left_anti").drop("later")
 
 
-def _hub_links(pairs: DataFrame, table: DataFrame, distance: int | None) -> DataFrame:
+def _hub_links(pairs: DataFrame, table: DataFrame, facts: DataFrame, distance: int | None) -> DataFrame:
     """Links among pairs (one: a hub, other), written. Each line meets the earliest of its hubs first.
 
     That removes most lines of a group of copies, so the hubs of their other keys needn't be compared.
     """
     pairs = stored(pairs.distinct(), "hub-pairs")
-    first = _verified(pairs.groupBy("other").agg(F.min("one").alias("one")), table, distance)
-    rest = _verified(_waiting(pairs, first), table, distance)
+    first = _verified(pairs.groupBy("other").agg(F.min("one").alias("one")), table, facts, distance)
+    rest = _verified(_waiting(pairs, first), table, facts, distance)
     out = stored(first.unionByName(rest).distinct(), "line-links")
     discard(table.sparkSession, pairs, first, rest)
     return out
@@ -483,14 +554,16 @@ def near_lines(packed: DataFrame, firsts: DataFrame, distance: int | None = None
     hubs = stored(hubs, "line-hubs", "zstd")
     met = _segment_keys(table, distance, True).join(hubs, "key").where(F.col("more") | (hub != place))
     met = stored(met, "line-probes", "zstd")
+    discard(spark, hubs)
     release(spark)  # of the shuffled probes
-    links = _hub_links(met.select(hub.alias("one"), place.alias("other")).where("one <> other"), table, distance)
+    involved = met.select("doc", "line").union(met.select("hub.doc", "hub.line")).distinct()
+    facts = stored(table.select("doc", "line", "size", "counts").join(involved, ["doc", "line"], "left_semi"), "line-facts")
+    links = _hub_links(met.select(hub.alias("one"), place.alias("other")).where("one <> other"), table, facts, distance)
 
     # Keys with several indexed lines: those lines but the hub, and all that probe them.
-    rest = _segment_keys(table, distance, False).join(hubs.where("more").select("key", "hub"), "key")
-    rest = stored(rest.where(place != hub).drop("hub"), "line-index", "zstd")
+    rest = stored(met.where("more and own").where(place != hub).select("key", "doc", "line").distinct(), "line-index", "zstd")
     asking = stored(met.where("more").select("key", "doc", "line").distinct(), "line-probes", "zstd")
-    discard(spark, hubs, met)
+    discard(spark, met)
     removed = lambda told: told.select(F.col("b_doc").alias("doc"), F.col("b_line").alias("line")).distinct()
     left, new = asking.select("doc", "line").distinct().count(), removed(links).count()
     while left and new >= FRUITFUL * left:
@@ -498,7 +571,7 @@ def near_lines(packed: DataFrame, firsts: DataFrame, distance: int | None = None
         hubs = stored(rest.join(gone, ["doc", "line"], "left_anti").groupBy("key").agg(F.min(place).alias("hub")), "line-hubs")
         pairs = asking.join(hubs, "key").select(hub.alias("one"), place.alias("other")).where("one <> other")
         # Of use are lines that aren't removed yet: probes, or hubs with an earlier probe.
-        more = _hub_links(_waiting(pairs, links), table, distance)
+        more = _hub_links(_waiting(pairs, links), table, facts, distance)
         left, new = left - new, removed(more).count()
         fewer = stored(rest.join(hubs, "key", "left").where(hub.isNull() | (hub != place)).drop("hub"), "line-index")
         both = stored(links.unionByName(more), "line-links")
@@ -506,21 +579,20 @@ def near_lines(packed: DataFrame, firsts: DataFrame, distance: int | None = None
         rest, links = fewer, both
 
     gone = removed(links).withColumn("gone", F.lit(True))
-    facts = table.select("doc", "line", "size", "signature").distinct().join(gone, ["doc", "line"], "left")
-    facts = stored(facts.select("doc", "line", place.alias("place"), "size", "signature", F.coalesce("gone", F.lit(False)).alias("gone")), "line-facts")
-    i, p = rest.select("key", "doc", "line").join(facts, ["doc", "line"]).alias("i"), asking.join(facts, ["doc", "line"]).alias("p")
-    edits = F.lit(distance) if distance is not None else F.floor(F.log(F.least("i.size", "p.size") / NEAR_CHARS) / F.log(F.lit(float(GROWTH))) + 1e-9) + 1
-    waits = F.when(F.col("i.place") > F.col("p.place"), ~F.col("i.gone")).otherwise(~F.col("p.gone"))
-    pairs = i.join(
-        p,
-        (F.col("i.key") == F.col("p.key"))
-        & (F.col("i.place") != F.col("p.place"))
-        & waits
-        & (F.bit_count(F.col("i.signature").bitwiseXOR(F.col("p.signature"))) <= 2 * edits),
-    ).select(F.col("i.place").alias("one"), F.col("p.place").alias("other"))
-    last = _verified(pairs.distinct(), table, distance)
+    asks = asking.join(gone, ["doc", "line"], "left").select("key", "doc", "line", F.coalesce("gone", F.lit(False)).alias("gone"))
+    keys = asks.groupBy("key").agg((F.count("*") > 1).alias("several"), F.bool_or(~F.col("gone")).alias("waits")).where("several and waits")
+    keys = stored(keys.join(rest.select("key").distinct(), "key", "left_semi").select("key"), "line-keys")
+    asks = stored(asks.join(keys, "key", "left_semi"), "line-probes")
+    few = table.select("doc", "line", "text").join(asks.select("doc", "line").distinct(), ["doc", "line"], "left_semi")
+    few = stored(few.dropDuplicates(["doc", "line"]), "line-few", "zstd")
+    release(spark)
+    same = ["key", "doc", "line"]
+    pairs = _joined(
+        _marked_keys(few, distance, False).join(rest.join(asks, same), same), _marked_keys(few, distance, True).join(asks, same)
+    )
+    last = _verified(pairs.distinct(), table, facts, distance)
     told = stored(links.unionByName(last), "line-links")
-    discard(spark, table, rest, asking, facts, links, last)
+    discard(spark, table, rest, asking, keys, asks, few, facts, links, last)
     return told
 
 

@@ -239,3 +239,53 @@ def test_long_distance_against_the_table():
 def test_short_lines_are_compared_exactly(spark):
     out = {r["doc_id"]: r["kept"] for r in ld.dedup_lines(frame(spark, [(1, "a\n\nshort"), (2, "short\n\nb\na")])).collect()}
     assert out == {1: "a\n\nshort", 2: "\nb"}
+
+
+def one_word_more(copies, seed):
+    """A line, and copies of it with one word more than it, that differ by more edits than are allowed."""
+    draw = random.Random(seed)
+    words = prose(78, 200)[:90]
+    rows = [(0, " ".join(words))]
+    while len(rows) < copies:
+        at = draw.randrange(len(words))
+        more = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=5))
+        rows.append((len(rows), " ".join([*words[:at], more, *words[at:]])))
+    return rows
+
+
+def test_lines_that_share_passages_make_few_pairs(spark, monkeypatch):
+    """Lines not near one another that share most of their segments are told apart before they make pairs."""
+    counted = []
+    verify = ld._verified
+    monkeypatch.setattr(ld, "_verified", lambda pairs, *rest: (counted.append(pairs.count()), verify(pairs, *rest))[1])
+    rows = one_word_more(300, 5)
+    agrees(rows, removed(spark, rows))
+    assert sum(counted) <= 25 * len(rows)  # 63040 pairs if only the parity of all characters is compared
+
+
+def test_marks_are_no_further_apart_than_edits_allow():
+    """Of pairs within the distance, a segment is unchanged at which the counts beside it pass."""
+    draw = random.Random(13)
+    tried = 0
+    for n in range(600):
+        t = n % 4 + 1
+        x = "".join(draw.choices("ab" if n % 3 else "abcdefgh", k=draw.randint(t + 1, 40)))
+        y = list(x)
+        for _ in range(draw.randint(1, t)):
+            k = draw.randrange(len(y) + 1)
+            y[k : k + draw.randint(0, 1)] = draw.choice(["", "a", "b", "c"])
+        x, y = sorted([x, "".join(y)], key=len)
+        if x == y or distance(x, y) > t or len(x) <= t:
+            continue
+        tried += 1
+        sides = []
+        for text, probe in ((x, False), (y, True)):
+            lines = ld.Lines(pa.array([text]))
+            _, key, _, part, marks = ld._keys(lines, np.array([0]), t, probe, marked=True)
+            sides.append(list(zip(key.tolist(), part.tolist(), marks.view(np.uint64).tolist())))
+        apart = lambda a, b, k: sum((u ^ v).bit_count() for u, v in zip(a[4 * k : 4 * k + 4], b[4 * k : 4 * k + 4]))
+        assert any(
+            key == other and apart(a, b, 0) <= 2 * i and apart(a, b, 3) <= 2 * (t - i) and apart(a, b, 1) <= min(2, 2 * (t - i)) and apart(a, b, 2) <= min(4, 2 * (t - i))
+            for key, i, a in sides[0] for other, _, b in sides[1]
+        ), (x, y, t)
+    assert tried > 200
