@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import DataFrame, Window, functions as F
 
 from broadsheet.operators.analysis import PLAIN, Analyser
+from broadsheet.session import shared_dir
 
 # ---- fixed values -------------------------------------------------------------------
 CLUSTERS = 20
@@ -29,18 +31,25 @@ def cluster_hits(
     come to the driver. A cluster's label is the terms with the greatest summed weight in it.
     """
     words = hits.select(F.col(key), F.coalesce(analyser.words(F.col(field)), F.array().cast("array<string>")).alias("words"))
-    counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(words)
+    # Each pass below reads these rows as they lie, so texts are analysed once and k-means draws from the same partitions.
+    counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(words).persist(StorageLevel.DISK_ONLY)
     vectors = IDF(inputCol="tf", outputCol="features").fit(counted).transform(counted).select(key, "words", "features")
     model = KMeans(k=k, seed=seed, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(vectors)
+    path = shared_dir(hits.sparkSession, "clusters")
     placed = model.transform(vectors).select(key, "words", "cluster")
+    placed.write.parquet(path)
+    counted.unpersist()
+    placed = hits.sparkSession.read.schema(placed.schema).parquet(path)
+    # Occurrences of a term, and hits with it, of each cluster.
+    told = lambda terms, new: F.transform(terms, lambda x: F.struct(x.alias("term"), F.lit(new).alias("new")))
+    terms = F.explode(F.concat(told(F.col("words"), False), told(F.array_distinct("words"), True)))
     per_cluster = (
-        placed.select("cluster", F.explode("words").alias("term")).groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("tf"))
-    )
-    frequency = (
-        words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        placed.select("cluster", terms.alias("x")).groupBy("cluster", "x.term").agg(F.count_if(~F.col("x.new")).alias("tf"), F.count_if("x.new").alias("hits"))
     )
+    per_cluster = per_cluster.withColumn("df", F.sum("hits").over(Window.partitionBy("term")))
+    words = placed
     n = words.agg(F.count(F.lit(1)).alias("n"))
-    weighed = per_cluster.join(frequency, "term").withColumn("weight", F.col("tf") * F.log((n.scalar() + 1) / (F.col("df") + 1)))
+    weighed = per_cluster.withColumn("weight", F.col("tf") * F.log((n.scalar() + 1) / (F.col("df") + 1)))
     best = Window.partitionBy("cluster").orderBy(F.col("weight").desc(), "term")
     labels = (
         weighed.where(F.col("weight") > 0)
