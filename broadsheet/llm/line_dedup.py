@@ -8,13 +8,14 @@ gives. Lines are judged on the input. Empty lines stay; those under ``NEAR_CHARS
 allow no edit and are compared exactly only.
 
 Exact: lines with equal 128-bit hashes are one line; its first place is a minimum, combined
-before the shuffle. Near, over first places only, which are written once as a table of lines, and
-where the shorter line allows t edits:
+before the shuffle. Near, over first places only, where the shorter line allows t edits:
 
 * an indexed line of length l is cut into t + 1 segments, of which one must occur unchanged in any
   line within the distance;
 * a line probes the index of lengths l - t to l, at those positions where the segment
   can stand if the edits left of it and right of it are counted (multi-match-aware selection);
+* hashes of all probes, among them the index keys, are dealt out by key in compact pieces; only lines
+  that meet another one by a key, of which one is indexed by it, go on, mostly a few in a hundred;
 * a key's probes meet its earliest indexed line first, its hub, so that a group of copies costs as
   many pairs as it has lines. While that removes many lines, the earliest ones not yet removed are
   hubs in turn; then the keys that are left are joined in whole, for lines not yet removed only.
@@ -43,6 +44,7 @@ from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -58,6 +60,10 @@ FRUITFUL = 0.1  # hubs are tried again while they remove this share of the lines
 CLASSES = 32  # of characters, counted in each line
 MARKED = 64  # classes of characters, counted beside a segment
 RING = np.array([0, 1, 3, 7, 15, 14, 12, 8], np.uint64)  # as many bits apart as counts modulo 8 are, by the shorter way
+DEALT = 13  # leading bits of a key by which it is dealt out
+KEY_BYTES, LINE_BYTES = 5, 6  # of a key beyond these, and of a line's hash, that are dealt out
+DEALT_KEYS = 1 << 20  # keys of a part that are sorted at once
+MET_BYTES = 1 << 25  # of the keys with the same leading bits that are compared at once
 PACKED_BYTES = 1 << 19  # of compressed text that is unpacked at once
 PAIR_CHARS = 1 << 20  # code points of the pairs that are verified side by side
 
@@ -69,15 +75,9 @@ class Lines:
     """Lines of a slice of texts, as stretches of code points."""
 
     def __init__(self, texts: pa.Array):
-        data, off = bounds(texts)
-        raw = data.tobytes()
-        self.codes = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
-        place = np.zeros(len(self.codes) + 1, np.int64)
-        np.cumsum(
-            1 + (self.codes >= 0x80).astype(np.int8) + (self.codes >= 0x800) + (self.codes >= 0x10000), out=place[1:]
-        )
-        self.data, self.place = data, place
-        first = np.searchsorted(place, off)
+        self.data, _ = bounds(texts)
+        self.codes = np.frombuffer(str(memoryview(self.data), "utf-8").encode("utf-32-le"), np.uint32)
+        first = np.concatenate(([0], np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)))
         breaks = np.flatnonzero(self.codes == 10)
         null = texts.is_null().to_numpy(zero_copy_only=False)
         here = np.searchsorted(breaks, first)
@@ -94,21 +94,27 @@ class Lines:
 
     def texts(self, which: np.ndarray) -> pa.Array:
         """The texts of some lines."""
-        low, size = self.place[self.start[which]], self.place[self.end[which]] - self.place[self.start[which]]
+        place = np.zeros(len(self.codes) + 1, np.int64)
+        np.cumsum(
+            1 + (self.codes >= 0x80).astype(np.int8) + (self.codes >= 0x800) + (self.codes >= 0x10000), out=place[1:]
+        )
+        low, size = place[self.start[which]], place[self.end[which]] - place[self.start[which]]
         ends = np.concatenate(([0], np.cumsum(size)))
         return pa.Array.from_buffers(pa.large_string(), len(which), [None, pa.py_buffer(ends), pa.py_buffer(gathered(self.data, low, size))]).cast(pa.string())
 
-    def hashes(self, which: np.ndarray, powers: Powers) -> np.ndarray:
-        out = np.empty(len(which), np.uint64)
+    def hashes(self, which: np.ndarray, *powers: Powers) -> np.ndarray:
+        """Hashes of ordered lines, a row for each of ``powers``."""
+        out = np.empty((len(powers), len(which)), np.uint64)
         for some, codes, start in self.parts(which):
-            out[some] = range_hashes(codes, start, start + self.size[which[some]], powers)
+            for row, power in zip(out, powers):
+                row[some] = range_hashes(codes, start, start + self.size[which[some]], power)
         return out
 
     def hashes_any(self, which: np.ndarray) -> np.ndarray:
         """First hashes of lines in any order."""
         order = np.argsort(which, kind="stable")
         out = np.empty(len(which), np.int64)
-        out[order] = self.hashes(which[order], _FIRST).view(np.int64)
+        out[order] = self.hashes(which[order], _FIRST)[0].view(np.int64)
         return out
 
     def parts(self, which: np.ndarray, limit: int = 1 << 18):
@@ -176,13 +182,14 @@ def _lines(docs: DataFrame) -> DataFrame:
             for part in slices(batch, "text"):
                 lines = Lines(part.column("text"))
                 long = np.flatnonzero(lines.size >= EXACT_CHARS)
+                first, second = lines.hashes(long, _FIRST, _SECOND).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(pa.array(lines.text[long])),
                         pa.array(lines.number[long].astype(np.int32)),
                         pa.array(lines.size[long].astype(np.int32)),
-                        pa.array(lines.hashes(long, _FIRST).view(np.int64)),
-                        pa.array(lines.hashes(long, _SECOND).view(np.int64)),
+                        pa.array(first),
+                        pa.array(second),
                     ],
                     ["doc_id", "line", "size", "hash_1", "hash_2"],
                 )
@@ -199,7 +206,11 @@ class Ranges:
         np.cumsum(values * up[: len(values)], dtype=np.uint64, out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+        return mixed(self.sum(starts, ends) + (ends - starts).astype(np.uint64))
+
+    def sum(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Of values times powers that begin at 1."""
+        return (self.sums[ends] - self.sums[starts]) * self.down[starts]
 
 
 def segments(size: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -313,6 +324,129 @@ def _line_table(chosen: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "doc long, line int, size int, counts binary, text string")
 
 
+def _probes(
+    of: Ranges, start: np.ndarray, size: np.ndarray, distance: int, low_size: int, high_size: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probe keys of lines, at the same segments as those of ``_keys``: the line's row, the key, whether it is indexed by it."""
+    count = distance + 1
+    shorter, part, shift = np.array(
+        [
+            (less, i, by)
+            for less in range(count)
+            for i in range(count)
+            for by in range(max(-i, less - (distance - i)), min(i, less + (distance - i)) + 1)
+        ],
+        np.int64,
+    ).T
+    base = size[:, None] - shorter
+    short = base // count
+    even = count - (base - short * count)  # segments before those that have one more
+    long = short + (part >= even)
+    at = part * short + np.maximum(part - even, 0) + shift
+    inside = (base >= low_size) & (base < high_size) & (at >= 0) & (long > 0) & (at + long <= size[:, None])
+    row, own = np.broadcast_to(np.arange(len(size))[:, None], inside.shape)[inside], (shorter == 0) & (shift == 0)
+    low = (start[:, None] + at)[inside]
+    tag = (base * 64 + part)[inside].astype(np.uint64)
+    return row, mixed(of.sum(low, low + long[inside]) + tag * _U(0x9E3779B97F4A7C15)), np.broadcast_to(own, inside.shape)[inside]
+
+
+def _dealt(key: np.ndarray, line: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    """(dealt, size, part) of keys with line hashes: a row for all keys with the same leading bits."""
+    key = key >> _U(64 - DEALT - 8 * KEY_BYTES + 1) << _U(1) | own.astype(np.uint64)
+    order = np.argsort(key)
+    key, line = key[order], line[order]
+    which, begin = np.unique(key >> _U(8 * KEY_BYTES), return_index=True)
+    ends = np.append(begin[1:], len(key))
+    # The keys' bytes of a row come before those of its lines.
+    low = lambda x, n: np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
+    keys, lines = low(key, KEY_BYTES), low(line, LINE_BYTES)
+    parts = [keys[KEY_BYTES * a : KEY_BYTES * b] + lines[LINE_BYTES * a : LINE_BYTES * b] for a, b in zip(begin.tolist(), ends.tolist())]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(which.astype(np.int32)), pa.array((ends - begin).astype(np.int32)), pa.array(parts, pa.binary())], ["dealt", "size", "part"]
+    )
+
+
+def _met(parts: list[tuple[int, bytes]]) -> np.ndarray:
+    """Lines of the parts that share a key with another line, of which one at least is indexed by it."""
+
+    def wide(pieces: list[bytes], n: int) -> np.ndarray:
+        out = np.zeros((sum(map(len, pieces)) // n, 8), np.uint8)
+        out[:, :n] = np.frombuffer(b"".join(pieces), np.uint8).reshape(-1, n)
+        return out.view(np.uint64)[:, 0]
+
+    key = wide([part[: KEY_BYTES * size] for size, part in parts], KEY_BYTES)
+    line = wide([part[KEY_BYTES * size :] for size, part in parts], LINE_BYTES)
+    order = np.argsort(key)
+    key, line = key[order], line[order]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] >> _U(1) != key[:-1] >> _U(1)
+    begin = np.flatnonzero(first)
+    size = np.diff(np.append(begin, len(key)))
+    begin, size = begin[size > 1], size[size > 1]
+    if not len(begin):
+        return line[:0]
+    place = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+    key, line, begin = key[place], line[place], np.cumsum(size) - size
+    meets = np.bitwise_or.reduceat(key, begin) & _U(1) == 1
+    meets &= np.minimum.reduceat(line, begin) != np.maximum.reduceat(line, begin)
+    return np.unique(line[np.repeat(meets, size)])
+
+
+def _meet(batches: Iterator[pa.RecordBatch], limit: int = MET_BYTES) -> Iterator[pa.RecordBatch]:
+    """(met) of ``_dealt`` rows in order. Beyond ``limit`` bytes with the same leading bits all their lines go on."""
+
+    def every(parts: list[tuple[int, bytes]]) -> np.ndarray:
+        out = np.zeros((sum(size for size, _ in parts), 8), np.uint8)
+        out[:, :LINE_BYTES] = np.frombuffer(b"".join(part[KEY_BYTES * size :] for size, part in parts), np.uint8).reshape(-1, LINE_BYTES)
+        return np.unique(out.view(np.uint64)[:, 0])
+
+    told = lambda lines: pa.RecordBatch.from_arrays([pa.array(lines.view(np.int64))], ["met"])
+    parts: list[tuple[int, bytes]] = []
+    last, held, split = None, 0, False
+    for batch in batches:
+        for dealt, size, part in zip(*(batch.column(c).to_pylist() for c in ("dealt", "size", "part"))):
+            if dealt != last:
+                if parts:
+                    yield told((every if split else _met)(parts))
+                parts, last, held, split = [], dealt, 0, False
+            elif held > limit:
+                yield told(every(parts))
+                parts, held, split = [], 0, True
+            parts.append((size, part))
+            held += len(part)
+    if parts:
+        yield told((every if split else _met)(parts))
+
+
+def _meeting(docs: DataFrame, distance: int | None) -> DataFrame:
+    """(met): the last bytes of ``hash_1`` of lines that share a key with another line."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[list[np.ndarray]] = []
+        held = 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                lines = Lines(part.column("text"))
+                long = np.flatnonzero(lines.size >= NEAR_CHARS)
+                for some, codes, start in lines.parts(long):
+                    of, size = Ranges(codes), lines.size[long[some]]
+                    hashes, one = np.unique(of.of(start, start + size), return_index=True)
+                    start, size = start[one], size[one]
+                    for edits, low, high in _groups(int(size.max(initial=0)), distance):
+                        mine = np.flatnonzero((size >= low) & (size < high + edits))
+                        row, key, own = _probes(of, start[mine], size[mine], edits, low, high)
+                        waiting.append([key, hashes[mine[row]], own])
+                        held += len(key)
+                    if held >= DEALT_KEYS:
+                        yield _dealt(*map(np.concatenate, zip(*waiting)))
+                        waiting, held = [], 0
+        if held:
+            yield _dealt(*map(np.concatenate, zip(*waiting)))
+
+    dealt = docs.select("text").mapInArrow(deal, "dealt int, size int, part binary")
+    return dealt.repartition("dealt").sortWithinPartitions("dealt").mapInArrow(_meet, "met long").distinct()
+
+
 def _segment_keys(table: DataFrame, distance: int | None, probe: bool) -> DataFrame:
     """(key, doc, line, own) of the lines of the table; ``own``: the line is indexed by the key, too."""
 
@@ -604,6 +738,9 @@ def repeated_lines(docs: DataFrame, distance: int | None = None) -> DataFrame:
     )
     classes = stored(classes, "line-classes", "zstd")
     firsts = classes.where(F.col("size") >= NEAR_CHARS).select("first.doc_id", "first.line", "hash_1")
+    met = stored(_meeting(docs.where("doc_id is not null"), distance), "lines-met", "zstd")
+    release(docs.sparkSession)  # of the keys that were dealt out
+    firsts = firsts.join(met, F.col("hash_1").bitwiseAND((1 << 8 * LINE_BYTES) - 1) == F.col("met"), "left_semi")
     near = near_lines(_packed(docs), firsts, distance)
     earliest = near.groupBy("b_doc", "b_line").agg(
         F.min(F.struct(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line"), "distance")).alias("near")
@@ -627,7 +764,7 @@ def repeated_lines(docs: DataFrame, distance: int | None = None) -> DataFrame:
         )
     )
     out = stored(gone, "repeated-lines")
-    discard(docs.sparkSession, lines, classes, near)
+    discard(docs.sparkSession, lines, classes, met, near)
     release(docs.sparkSession)
     return out
 
@@ -671,16 +808,18 @@ def _without(part: pa.RecordBatch) -> pa.RecordBatch:
     which, row = which[new], row[new]
     gone = np.zeros(len(lines.text), bool)
     gone[which] = True
-    stay = np.flatnonzero(~gone)
-    size = lines.size[stay] + 1
-    codes = gathered(np.append(lines.codes, np.uint32(10)), lines.start[stay], size)
-    to = np.cumsum(size)
-    codes[to - 1] = 10
-    cut = np.concatenate(([0], to))[np.searchsorted(stay, lines.first)].tolist()
+    last = lines.number == lines.count[lines.text] - 1
+    size = lines.size + ~last  # with the break that follows
+    codes = lines.codes[np.repeat(~gone, size)]
+    to = np.concatenate(([0], np.cumsum(np.where(gone, 0, size))))[lines.first]
+    rest = np.concatenate(([0], np.cumsum(~gone)))[lines.first]
+    ends = lines.first[1:] - 1
+    loose = np.zeros(len(part), bool)  # the break behind the last line that stays
+    some = lines.count > 0
+    loose[some] = gone[ends[some]] & (np.diff(rest)[some] > 0)
     null = part.column("text").is_null().to_pylist()
-    kept = [
-        None if none else codes[a : max(a, b - 1)].tobytes().decode("utf-32-le") for a, b, none in zip(cut, cut[1:], null)
-    ]
+    raw = memoryview(codes).cast("B")
+    kept = [None if none else str(raw[4 * a : 4 * b], "utf-32-le") for a, b, none in zip(to[:-1].tolist(), (to[1:] - loose).tolist(), null)]
     flat = part.column("wanted").flatten().take(pa.array(row))
     names = ["line", "source_doc", "source_line", "distance"]
     removed = pa.ListArray.from_arrays(

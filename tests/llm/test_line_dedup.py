@@ -289,3 +289,57 @@ def test_marks_are_no_further_apart_than_edits_allow():
             for key, i, a in sides[0] for other, _, b in sides[1]
         ), (x, y, t)
     assert tried > 200
+
+
+def test_only_lines_that_meet_another_are_compared(spark, monkeypatch):
+    """Texts and index keys are made of lines that share a segment with another line, not of all."""
+    listed = []
+    chosen = ld._line_table
+    monkeypatch.setattr(ld, "_line_table", lambda docs: (listed.extend(r["n"] for r in docs.selectExpr("size(wanted) AS n").collect()), chosen(docs))[1])
+    draw = random.Random(14)
+    rows = [(i, "".join(draw.choices("abcdefghijklmnop", k=draw.randint(40, 400)))) for i in range(300)]
+    rows += [(1000 + i, text[:20] + "é" + text[20:]) for i, text in rows[:20]]
+    assert len(agrees(rows, removed(spark, rows))) == 20
+    assert sum(listed) == 40
+
+
+@pytest.mark.parametrize("limit", [None, 1, 2, 3, 9])
+def test_lines_within_the_distance_meet(spark, limit):
+    """Lines near one another are told as meeting, whatever the edits; dealt keys are those of the index and the probes."""
+    rows = corpus()[:40] if limit else near_corpus()
+    texts = sorted({x for _, t in rows for x in t.split("\n") if len(x) >= ld.NEAR_CHARS})
+    lines = ld.Lines(pa.array(texts))
+    which = np.arange(len(texts))
+    hashes = lines.hashes(which, ld._FIRST)[0] & np.uint64((1 << 8 * ld.LINE_BYTES) - 1)
+    want = set()
+    keys = {}
+    for edits, low, high in ld._groups(int(lines.size.max()), limit):
+        for probe in (False, True):
+            some = np.flatnonzero((lines.size >= low) & (lines.size < high + (edits if probe else 0)))
+            owner, key, _ = ld._keys(lines, some, edits, probe, low, high)
+            for o, k in zip(some[owner].tolist(), key.tolist()):
+                keys.setdefault((edits, k), ([], []))[probe].append(o)
+    for index, probes in keys.values():
+        if index and len({*index, *probes}) > 1:
+            want |= {int(hashes[o]) for o in (*index, *probes)}
+    assert want and {r["met"] for r in ld._meeting(frame(spark, rows), limit).collect()} == want
+
+
+def test_keys_beyond_the_limit_let_all_their_lines_on():
+    draw = np.random.default_rng(15)
+    key, line = draw.integers(0, 1 << 63, 400).astype(np.uint64), draw.integers(0, 1 << 40, 400).astype(np.uint64)
+    key[200:] = key[:200]
+    own = np.arange(400) % 4 == 0
+    at = [slice(k, k + 50) for k in range(0, 400, 50)]
+    dealt = pa.Table.from_batches([ld._dealt(key[a], line[a], own[a]) for a in at]).sort_by("dealt").to_batches()
+    met = lambda limit: {x for b in ld._meet(iter(dealt), limit) for x in b.column("met").to_pylist()}
+    pairs = [k for k in range(200) if own[k] or own[k + 200]]
+    want = {int(line[k]) for i in pairs for k in (i, i + 200)}
+    assert met(1 << 20) == want
+    assert met(1) >= want
+
+
+def test_kept_texts_of_all_ends(spark):
+    """Removed lines first, last, in the middle or all, empty lines beside them, and texts beyond ASCII."""
+    rows = [(0, "a\nbé"), (1, "a\nx1\nbé"), (2, "x2\na\n\nbé"), (3, "a\nbé"), (4, "bé\n"), (5, "\na"), (6, "x😀\nbé\nx3"), (7, None), (8, ""), (9, "a\n\nbé")]
+    assert got(ld.dedup_lines(frame(spark, rows))) == plain(rows, 1)[0]
