@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from broadsheet.llm.arrow_text import Powers, Words, gathered, mixed, range_hashes, slices
 from broadsheet.llm.components import components
-from broadsheet.llm.work import stored
+from broadsheet.llm.work import release, stored
 
 BANDS, ROWS = 32, 5
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
@@ -300,8 +300,10 @@ def near_duplicates(
     ends = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     stars = shared.join(hubs, "key").where("doc_id <> hub").select(*ends("doc_id", "hub")).distinct()
     texts = stored(base.join(shared.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    release(base.sparkSession)  # of the shuffled bands and texts
     least = percent / 100 - MARGIN
     links = stored(_verified(_likely(stars, sets, least), texts, shingle, percent), "links")
+    release(base.sparkSession)  # of the shuffled sketches and texts
     label = components(links)
     # Pairs of one bucket that are still in different components.
     placed = shared.join(label.withColumnRenamed("vertex", "doc_id"), "doc_id", "left").join(
