@@ -9,7 +9,9 @@ the list's end, which bounds its score below and above. A round ends for a query
 candidate outside the ``k`` best lower bounds, but few, has an upper bound that reaches the
 ``k``-th lower one; the final scores of those that remain are then resolved.
 
-Each task returns at most ``k`` rows a query, from which a query's best are taken.
+Blocks of candidates lie in at most ``GROUPS`` groups, and each group gets one copy of the queries.
+Both sides are shuffled: copies of the queries are never broadcast, which would bring them to the driver.
+Each pair of blocks returns at most ``k`` rows a query, from which a query's best are taken.
 
 Cases: vectors that are null, empty, or hold a null or non-finite component take no part; rows
 that repeat an id and a vector count once; shorter vectors are padded with zeros; ties go to the
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CANDIDATES, QUERIES = 4096, 256  # vectors of a block
+GROUPS = 64  # groups of candidate blocks at most, and so copies of the queries
 FIRST_READ = 4  # the first round reads this fraction of the lists, each later one twice as much
 FEW = 8  # a query stops when at most so many times k candidates remain
 EXACT = 1 << 52  # sums below this are exact in double precision
@@ -99,9 +102,9 @@ def best_of_block(queries: np.ndarray, own: np.ndarray, values: np.ndarray, ids:
     return [np.concatenate(x) if out else np.zeros(0, np.int64) for x in (zip(*out) if out else ((), (), ()))]
 
 
-def _packed(vectors: DataFrame, blocks: int) -> DataFrame:
-    """(block, ids, width, vectors) with each block's vectors in one row."""
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
+def _packed(vectors: DataFrame, blocks: int, groups: int = 1) -> DataFrame:
+    """(group, ids, width, vectors) with each block's vectors in one row."""
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).withColumn("group", F.col("block") % groups)
 
     def run(group: pa.Table) -> pa.Table:
         lists = group.column("v").combine_chunks()
@@ -110,14 +113,14 @@ def _packed(vectors: DataFrame, blocks: int) -> DataFrame:
         matrix[np.arange(matrix.shape[1])[None, :] < sizes[:, None]] = lists.flatten().to_numpy()
         return pa.table(
             {
-                "block": pa.array([group.column("block")[0].as_py()], pa.int32()),
+                "group": pa.array([group.column("group")[0].as_py()], pa.int32()),
                 "ids": pa.array([group.column("id").to_numpy().astype(np.int64).tobytes()], pa.binary()),
                 "width": pa.array([matrix.shape[1]], pa.int32()),
                 "vectors": pa.array([matrix.tobytes()], pa.binary()),
             }
         )
 
-    return dealt.groupBy("block").applyInArrow(run, "block int, ids binary, width int, vectors binary")
+    return dealt.groupBy("group", "block").applyInArrow(run, "group int, ids binary, width int, vectors binary")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -132,11 +135,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
     ).distinct()
     size, asking = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0))).first()
     blocks, query_blocks = max(1, -(-size // CANDIDATES)), max(1, -(-asking // QUERIES))
+    groups = min(blocks, GROUPS)
     asked = _packed(rows.where("asks").drop("asks"), query_blocks).select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
         F.col("ids").alias("query_ids"), F.col("width").alias("query_width"), F.col("vectors").alias("queries"),
     )
-    met = _packed(rows.drop("asks"), blocks).join(asked, "block")
+    # The planner counts the queries without their copies, and would broadcast all copies for that.
+    met = _packed(rows.drop("asks"), blocks, groups).join(asked.hint("merge"), "group")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -66,5 +66,17 @@ def test_bounds_hold_what_is_best():
         assert set(best.tolist()) <= set(may.tolist())
 
 
+def test_copies_of_queries_are_few_and_never_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(tk, "CANDIDATES", 10)
+    monkeypatch.setattr(tk, "QUERIES", 2)
+    monkeypatch.setattr(tk, "GROUPS", 3, raising=False)
+    draw = random.Random(8)
+    rows = [(i, [draw.gauss(0, 1) for _ in range(4)]) for i in range(0, 1000, 5)]
+    found = tk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0, 4)
+    assert got(found) == plain(rows, 4)
+    plan = found._jdf.queryExecution().executedPlan().toString()  # as run
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
+
+
 def test_query_and_sql(spark):
     assert compare(op7_topk_search(spark, DATA), connect(DATA), SQL["op7_topk_search"]) is None
